@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.scalars import clip_low
 from millrace.operators.balance import DEFAULT_BUCKETS
@@ -112,7 +113,7 @@ def _exact_p(statistic: float, n: int, m: int) -> float:
     return min(max(1.0 - inside, 0.0), 1.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def exact_p_value(statistic: pd.Series, n_ref: pd.Series, n_cur: pd.Series) -> pd.Series:
     """Permutation p-value from (statistic, sizes) alone: one value per feature."""
     return pd.Series([_exact_p(d, int(a), int(b)) if d > 0 else 1.0

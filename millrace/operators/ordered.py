@@ -141,3 +141,31 @@ def latest_by(df: DataFrame, keys, order, values) -> DataFrame:
     ranked = F.struct(*[F.col(c) for c in order])
     last = F.max_by(F.struct(*[F.col(c) for c in values]), ranked).alias("_last")
     return df.groupBy(*keys).agg(last).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in values])
+
+
+def with_previous(df: DataFrame, order: str, value: str, keys=(), name: str = "previous",
+                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Add the value of the row before along `order` within `keys`; null for the first.
+
+    Looks back inside a range bucket; a bucket's first row takes the last value of
+    the nearest earlier bucket that has one, from a table of at most `buckets`
+    rows per key. `order` must be unique within `keys`.
+    """
+    keys = list(keys)
+    position = F.col(order)
+    if dict(df.dtypes)[order] == "timestamp_ntz":
+        position = position.cast("timestamp")
+    placed = with_bucket(df, position, buckets=buckets)
+    group = keys + ["_bucket"]
+    inside = W.partitionBy(*group).orderBy(order)
+    local = placed.withColumn("_place", F.row_number().over(inside)).withColumn(
+        "_back", F.lag(value).over(inside))
+    ends = placed.groupBy(*group).agg(F.max_by(F.struct(value), order).alias("_end"))
+    carried = ends.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_b"),
+        F.lag("_end").over(_by(W, keys).orderBy("_bucket")).alias("_carried"))
+    condition = F.col("_bucket") == F.col("_b")
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    previous = F.when(F.col("_place") == 1, F.col(f"_carried.{value}")).otherwise(F.col("_back"))
+    return local.join(carried, condition).select(*df.columns, previous.alias(name))
