@@ -21,6 +21,7 @@ from millrace.operators.ordered import row_index
 from millrace.session import cut_lineage
 
 CELL_ROWS = 100_000
+FEW_POSITIONS = 32
 MAX_LEVELS = 48
 
 
@@ -95,6 +96,7 @@ def _sub_of(columns, side, level):
 def _boxes(core, columns, side, level):
     """Bounding boxes of the core points, cells halved `level` times along each axis."""
     return core.groupBy("cell", _sub_of(columns, side, level).alias("sub")).agg(
+        F.count(F.lit(1)).alias("n"),
         F.struct(*[F.min(f"p.{c}").alias(c) for c in columns]).alias("lo"),
         F.struct(*[F.max(f"p.{c}").alias(c) for c in columns]).alias("hi"))
 
@@ -113,7 +115,7 @@ def _furthest(columns):
 
 def _side_of(boxes, name):
     return boxes.select(F.col("cell").alias(name), F.col("sub").alias(f"sub_{name}"),
-                        F.col("lo").alias(f"lo_{name}"), F.col("hi").alias(f"hi_{name}"))
+                        F.col("n").alias(f"n_{name}"), F.col("lo").alias(f"lo_{name}"), F.col("hi").alias(f"hi_{name}"))
 
 
 def cell_links(core: DataFrame, columns, eps: float, side: float, reach: int) -> DataFrame:
@@ -121,40 +123,37 @@ def cell_links(core: DataFrame, columns, eps: float, side: float, reach: int) ->
 
     Pairs of bounding boxes are compared instead of pairs of points: boxes
     wholly within eps link their cells, boxes further apart than eps are
-    dropped, and only the undecided ones are halved and compared again. A pair of
-    cells leaves as soon as one pair of its boxes decides it.
+    dropped. Undecided boxes with few positions each are compared position by
+    position, the others are halved and judged again. A pair of cells leaves as
+    soon as one pair of its boxes links it.
     """
     dims = len(columns)
     boxes = cut_lineage(_boxes(core, columns, side, 0), "boxes")
     pairs = (
-        boxes.withColumn("b", F.explode(_around(F.col("cell"), dims, reach))).filter(F.col("cell") < F.col("b"))
-        .select(F.col("cell").alias("a"), F.col("lo").alias("lo_a"), F.col("hi").alias("hi_a"), "b")
-        .join(_side_of(boxes, "b"), "b")
+        _side_of(boxes, "a").withColumn("b", F.explode(_around(F.col("a"), dims, reach)))
+        .filter(F.col("a") < F.col("b")).join(_side_of(boxes, "b"), "b")
     )
     found = []
-    for level in range(1, MAX_LEVELS):
+    for level in range(MAX_LEVELS):
         judged = pairs.withColumn("near", _nearest(columns)).withColumn("far", _furthest(columns)).filter(
             F.col("near") <= eps)
         judged = cut_lineage(judged, "pairs")
         linked = judged.filter(F.col("far") <= eps).select("a", "b").distinct()
-        found.append(linked)
         open_pairs = judged.join(linked, ["a", "b"], "left_anti")
-        if open_pairs.isEmpty():
+        few = (F.col("n_a") <= FEW_POSITIONS) & (F.col("n_b") <= FEW_POSITIONS)
+        if level == MAX_LEVELS - 1:
+            few = F.lit(True)  # boxes this small hold positions that differ in their last digits only
+        found += [linked, _compare_positions(open_pairs.filter(few), core, columns, side, level, eps)]
+        crowded = open_pairs.filter(~few)
+        if crowded.isEmpty():
             break
-        cells = open_pairs.select(F.col("a").alias("cell")).unionByName(
-            open_pairs.select(F.col("b").alias("cell"))).distinct()
-        finer = cut_lineage(_boxes(core.join(cells, "cell", "left_semi"), columns, side, level), "boxes")
-        if level == 1:
-            pairs = open_pairs.select("a", "b").join(_side_of(finer, "a"), "a").join(_side_of(finer, "b"), "b")
-        else:
-            pairs = (
-                open_pairs.select("a", "b", F.col("sub_a").alias("up_a"), F.col("sub_b").alias("up_b"))
-                .join(_halves(finer, "a", dims), ["a", "up_a"]).join(_halves(finer, "b", dims), ["b", "up_b"])
-                .drop("up_a", "up_b")
-            )
-    else:
-        # boxes this small hold positions that differ in their last digits only
-        found.append(_compare_positions(pairs, core, columns, side, MAX_LEVELS - 1, eps))
+        cells = crowded.select(F.col("a").alias("cell")).unionByName(crowded.select(F.col("b").alias("cell"))).distinct()
+        finer = cut_lineage(_boxes(core.join(cells, "cell", "left_semi"), columns, side, level + 1), "boxes")
+        pairs = (
+            crowded.select("a", "b", F.col("sub_a").alias("up_a"), F.col("sub_b").alias("up_b"))
+            .join(_halves(finer, "a", dims), ["a", "up_a"]).join(_halves(finer, "b", dims), ["b", "up_b"])
+            .drop("up_a", "up_b")
+        )
     return union_sets(*found).distinct().select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 

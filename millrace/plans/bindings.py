@@ -155,3 +155,20 @@ MEASUREMENTS = """measurements as (
 
 def with_ctes(*ctes):
     return "with " + ",\n".join(ctes) + "\n"
+
+
+PROFILE_COLUMNS = ["n_orders", "mean_price", "max_price", "balance"]
+
+
+def profiles(spark, folder):
+    """One row per customer with orders: four measures, a class 0-2 that follows from them but for
+    about one row in ten, and a number that is nearly linear in them."""
+    orders = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("id")).agg(
+        F.count(F.lit(1)).cast("double").alias("n_orders"), F.avg("o_totalprice").alias("mean_price"),
+        F.max("o_totalprice").alias("max_price"))
+    customers = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"))
+    score = F.col("n_orders") / 10 + F.col("balance") / 5000
+    exact = F.when(score < 1.5, 0).when(score < 2.2, 1).otherwise(2)
+    return orders.join(customers, "id").select(
+        "id", *PROFILE_COLUMNS, F.when(F.col("id") % 10 == 0, (exact + 1) % 3).otherwise(exact).alias("label"),
+        (F.col("mean_price") * 2 + F.col("balance") * 3 + F.col("id") % 1000).alias("target"))

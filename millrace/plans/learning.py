@@ -1,12 +1,15 @@
 """Queries over text features, neighbours, clusterings and Spark ML."""
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from millrace.functions import text
-from millrace.operators import density, neighbors, splits, textfeatures
+from millrace.operators import (
+    curves, density, evaluation, isolation, learn, neighbors, splits, textfeatures, validation,
+)
 from millrace.plans import bindings as b
 from millrace.plans.registry import query
-from millrace.plans.tabular import _CLEAN, _DIGEST, r
+from millrace.plans.tabular import _CLEAN, _DIGEST, CLASS_NAMES, r
 
 # fixed values: a short English stop list used on both sides of the comparison
 STOP_WORDS = ["the", "and", "that", "for", "with", "her", "his", "was", "are", "not", "this", "from", "have", "you",
@@ -99,3 +102,151 @@ assigned as (select vec_id, root from rooted
 select count(distinct root) as n_clusters, (select count(*) from plane) - count(*) as n_noise from assigned""")
 def dbscan_clusters(spark, d):
     return density.cluster_counts(density.dbscan(_plane(spark, d), "vec_id", ["x", "y"], 0.2, 5))
+
+
+# --- Spark ML: values depend on its solvers and random draws, so these have no SQL ---
+# Model sizes are parameters; the queries use smaller ones than the defaults to keep a run short.
+
+SMALL_FOREST = {"trees": 20, "depth": 5}
+
+
+@query("standardize", " union all ".join(
+    f"""select '{c}' as feature, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    round(({c} - avg({c}) over ()) / stddev_pop({c}) over (), 6) as scaled from lineitem""" for c in b.DRIFT_COLUMNS))
+def standardize(spark, d):
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    scaled = learn.standardize(b.table(spark, d, "lineitem"), b.DRIFT_COLUMNS)
+    long = scaled.select(*keys, *[F.col(f"{c}_scaled").alias(c) for c in b.DRIFT_COLUMNS]).unpivot(
+        keys, b.DRIFT_COLUMNS, "feature", "scaled")
+    return long.withColumn("scaled", r("scaled"))
+
+
+@query("pca_variance")
+def pca_variance(spark, d):
+    model = learn.fit_pca(b.profiles(spark, d), b.PROFILE_COLUMNS, len(b.PROFILE_COLUMNS))
+    return learn.explained_variance(model, spark)
+
+
+@query("forest_predictions")
+def forest_predictions(spark, d):
+    marked = splits.hash_split(b.profiles(spark, d), "id", 0.2)
+    stages = learn.preparation(b.PROFILE_COLUMNS) + [learn.random_forest(50, 5)]
+    model = Pipeline(stages=stages).fit(marked.filter(~F.col("is_test")))
+    return model.transform(marked.filter("is_test")).select("id", "label", "prediction")
+
+
+@query("classifier_benchmark")
+def classifier_benchmark(spark, d):
+    return learn.classifier_benchmark(
+        b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", folds=3, trees=20, boosting_rounds=5, max_iter=50)
+
+
+@query("grid_results")
+def grid_results(spark, d):
+    rows = learn.prepared(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", 3)
+    return learn.search(rows, *learn.forest_grid([5, 10], [3, 5], [1, 5]), folds=3)
+
+
+@query("param_search")
+def param_search(spark, d):
+    rows = learn.prepared(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", 3)
+    return learn.search(rows, *learn.sampled_forests(5, trees=(5, 20), depth=(3, 6)), folds=3)
+
+
+@query("cv_scores")
+def cv_scores(spark, d):
+    strategies = {"3-fold": (3, 7, False), "5-fold": (5, 7, False), "stratified 3-fold": (3, 42, True)}
+    return learn.cv_scores(
+        b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", learn.random_forest(10, 5), strategies)
+
+
+@query("learning_curve")
+def learning_curve(spark, d):
+    models = {"depth 1": learn.random_forest(10, 1), "depth 5": learn.random_forest(10, 5),
+              "depth 10": learn.random_forest(10, 10)}
+    return learn.learning_curve(
+        b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", models, [0.1, 0.4, 0.7, 1.0], folds=2)
+
+
+@query("calibrated_scores")
+def calibrated_scores(spark, d):
+    rows = b.profiles(spark, d).withColumn("label", (F.col("label") == 2).cast("double"))
+    rows = Pipeline(stages=learn.preparation(b.PROFILE_COLUMNS)).fit(rows).transform(rows).select("id", "label", "features")
+    marked = splits.exact_split(rows, "id", 0.3).persist()
+    train, test = marked.filter(~F.col("is_test")), marked.filter("is_test").drop("is_test")
+    parts = [
+        learn.calibrated_scores(train.drop("is_test"), test, "id", learn.random_forest(10, 5), scaling, 3).select(
+            F.lit(name).alias("method"), F.col("label").alias("y"), F.col("calibrated").alias("score"))
+        for name, scaling in (("platt", learn.PlattScaling()), ("isotonic", learn.IsotonicScaling()))]
+    return curves.calibration_curve(parts[0].unionByName(parts[1]), 10, keys=["method"])
+
+
+@query("regression_models")
+def regression_models(spark, d):
+    rows = b.profiles(spark, d).drop("label").withColumnRenamed("target", "label")
+    shaped = Pipeline(stages=learn.preparation(b.PROFILE_COLUMNS, True)).fit(rows).transform(rows)
+    marked = splits.exact_split(shaped.select("id", "label", "features"), "id", 0.2).persist()
+    return learn.regression_models(marked.filter(~F.col("is_test")), marked.filter("is_test"), boosting_rounds=20)
+
+
+def _scaled_profiles(spark, d):
+    rows = b.profiles(spark, d)
+    return Pipeline(stages=learn.preparation(b.PROFILE_COLUMNS, True)).fit(rows).transform(rows).select(
+        "id", "label", "features")
+
+
+@query("kmeans_elbow")
+def kmeans_elbow(spark, d):
+    return learn.kmeans_elbow(_scaled_profiles(spark, d).persist(), restarts=2)
+
+
+@query("kmeans_agreement")
+def kmeans_agreement(spark, d):
+    rows = _scaled_profiles(spark, d).persist()
+    labelled = learn.best_kmeans(rows, 3, 3).transform(rows)
+    return evaluation.adjusted_rand(labelled, "label", "prediction")
+
+
+@query("feature_importance")
+def feature_importance(spark, d):
+    rows = learn.prepared(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", 2)
+    return learn.feature_importance(learn.random_forest(50, 5).fit(rows), b.PROFILE_COLUMNS, spark)
+
+
+@query("anomaly_scores")
+def anomaly_scores(spark, d):
+    rows = b.profiles(spark, d).select("id", *b.PROFILE_COLUMNS)
+    return isolation.flag_anomalies(isolation.anomaly_scores(rows, "id", b.PROFILE_COLUMNS, trees=50), 0.06)
+
+
+LANGUAGES = {0: "de", 1: "en", 2: "es", 3: "fr"}
+
+
+@query("text_classifier")
+def text_classifier(spark, d):
+    """Language of a document from its words: report on a fifth of the documents."""
+    code = F.coalesce(*[F.when(F.col("lang") == n, F.lit(float(i))) for i, n in LANGUAGES.items()])
+    docs = b.table(spark, d, "documents").select(
+        "doc_id", code.alias("label"), text.clean_text(F.col("text")).alias("c"))
+    kept = docs.filter(text.word_count(F.col("c")) >= 3)
+    rows, _ = learn.term_vectors(kept, "doc_id", F.col("c"), ["label"], stop_words=STOP_WORDS)
+    marked = splits.stratified_split(rows, "doc_id", "label").persist()
+    model = learn.text_classifier(marked.filter(~F.col("is_test")), max_iter=100)
+    scored = model.transform(marked.filter("is_test"))
+    return evaluation.classification_report(scored, "label", "prediction")
+
+
+@query("batch_score")
+def batch_score(spark, d):
+    rows = b.profiles(spark, d)
+    model = Pipeline(stages=learn.preparation(b.PROFILE_COLUMNS) + [learn.random_forest(**SMALL_FOREST)]).fit(rows)
+    scored = learn.batch_score(model, rows, CLASS_NAMES, ["id"])
+    return scored.select("id", "prediction", "class_name", "confidence", F.map_entries("probabilities").alias("probabilities"))
+
+
+@query("train_and_gate")
+def train_and_gate(spark, d):
+    v = validation
+    checks = [v.no_nulls("label"), v.all_positive("n_orders"), v.only_values("label", [0, 1, 2]), v.not_empty()]
+    done = learn.train_and_gate(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", checks, 30, 6, 0.80)
+    return done.verdict
