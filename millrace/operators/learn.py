@@ -111,7 +111,7 @@ def benchmark_classifiers(trees: int = 100, boosting_rounds: int = 100, max_iter
         "Decision Tree": DecisionTreeClassifier(maxDepth=5),
         "Random Forest": random_forest(trees),
         "Gradient Boosting": OneVsRest(classifier=GBTClassifier(maxIter=boosting_rounds, maxDepth=3, seed=42), parallelism=4),
-        "SVM": OneVsRest(classifier=LinearSVC(maxIter=max_iter), parallelism=4),
+        "SVM": OneVsRest(classifier=LinearSVC(maxIter=max_iter, regParam=0.01, tol=1e-4), parallelism=4),
     }
 
 

@@ -138,7 +138,7 @@ def forest_predictions(spark, d):
 @query("classifier_benchmark")
 def classifier_benchmark(spark, d):
     return learn.classifier_benchmark(
-        b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", folds=3, trees=20, boosting_rounds=5, max_iter=50)
+        b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", folds=2, trees=20, boosting_rounds=3, max_iter=8)
 
 
 @query("grid_results")
