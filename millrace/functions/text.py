@@ -5,9 +5,12 @@ from pyspark.sql import functions as F
 
 
 def clean_text(text: Column) -> Column:
-    """Lower-case, everything but a-z, 0-9 and spaces to a space, runs of spaces to one."""
-    letters = F.regexp_replace(F.lower(text), r"[^a-z0-9\s]", " ")
-    return F.trim(F.regexp_replace(letters, r"\s+", " "))
+    """Lower-case; every run of anything but a-z and 0-9 becomes one space; no space at the ends.
+
+    The same as replacing other characters by spaces and then joining runs of
+    spaces, in one pass over the text.
+    """
+    return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
 
 
 def word_count(cleaned: Column) -> Column:
@@ -22,18 +25,18 @@ def truncate(text: Column, limit: int = 60) -> Column:
 def tokens(cleaned: Column, stop_words=()) -> Column:
     """Words of two or more characters, without the stop words, in order."""
     words = F.regexp_extract_all(cleaned, F.lit(r"\b\w\w+\b"), F.lit(0))
-    if stop_words:
-        stops = F.array(*[F.lit(w) for w in stop_words])
-        words = F.filter(words, lambda w: ~F.array_contains(stops, w))
-    return words
+    stops = list(stop_words)
+    return F.filter(words, lambda w: ~w.isin(stops)) if stops else words
 
 
 def ngrams(words: Column, low: int = 1, high: int = 2) -> Column:
     """All runs of `low` to `high` consecutive words, joined by a space."""
-    def runs(size):
-        starts = F.when(F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - size + 1)) \
-            .otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
-
-    parts = [words if size == 1 else runs(size) for size in range(low, high + 1)]
-    return F.concat(*parts)
+    runs, kept = words, []
+    for size in range(1, high + 1):
+        if size > 1:
+            # the runs one word shorter, each followed by the next word
+            n = F.greatest(F.size(words) - (size - 1), F.lit(0))
+            runs = F.zip_with(F.slice(runs, 1, n), F.slice(words, size, n), lambda run, word: F.concat_ws(" ", run, word))
+        if size >= low:
+            kept.append(runs)
+    return F.concat(*kept)

@@ -20,35 +20,30 @@ DEFAULT_BUCKETS = 1024
 def split_points(value: Column, buckets: int = DEFAULT_BUCKETS) -> Column:
     """Aggregate: `buckets - 1` approximate quantiles of `value`, ascending."""
     shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    return F.percentile_approx(value.cast("double"), shares, F.lit(buckets * 10))
+    return F.percentile_approx(value.cast("double"), shares, F.lit(buckets * 4))
 
 
-def bucket_of(value: Column, splits: Column, buckets: int = DEFAULT_BUCKETS) -> Column:
-    """Number of split points at or below `value`, by binary search.
+def bucket_by(df: DataFrame, value: Column, splits: Column, name: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Add the number of split points at or below `value`; equal values share a bucket.
 
-    `buckets` must be a power of two. Equal values always share a bucket.
+    A binary search written as one projection per halving: each reads one
+    element of the array inside generated code, where a higher-order function
+    would be interpreted. `buckets` must be a power of two.
     """
     if buckets < 2 or buckets & (buckets - 1):
         raise ValueError("buckets must be a power of two, at least 2")
-    strides = [buckets >> i for i in range(1, buckets.bit_length())]
-    number = value.cast("double")
-
-    def step(position, stride):
-        ahead = F.element_at(splits, position + stride) <= number
-        return F.when(ahead, position + stride).otherwise(position)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in strides]), F.lit(0), step)
+    df = df.withColumns({name: F.lit(0), "_number": value.cast("double"), "_points": splits})
+    for halving in range(1, buckets.bit_length()):
+        stride = buckets >> halving
+        ahead = F.get("_points", F.col(name) + (stride - 1)) <= F.col("_number")
+        df = df.withColumn(name, F.col(name) + F.when(ahead, stride).otherwise(0))
+    return df.drop("_number", "_points")
 
 
 def with_bucket(df: DataFrame, value: Column, name: str = "_bucket",
                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Add the range bucket of `value` over the whole frame."""
-    splits = df.agg(split_points(value, buckets)).scalar()
-    return (
-        df.withColumn("_splits", splits)
-        .withColumn(name, bucket_of(value, F.col("_splits"), buckets))
-        .drop("_splits")
-    )
+    return bucket_by(df, value, df.agg(split_points(value, buckets)).scalar(), name, buckets)
 
 
 def shuffle_partitions(df: DataFrame) -> int:

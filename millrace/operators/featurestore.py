@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.operators.balance import bucket_of, hot_keys, split_points
+from millrace.operators.balance import bucket_by, hot_keys, split_points
 from millrace.operators.ordered import latest_by
 
 
@@ -116,11 +116,8 @@ def get_historical_features(entities: DataFrame, features: DataFrame, view: Feat
     moment = F.col("_at").cast("timestamp") if dict(line.dtypes)["_at"].startswith("timestamp") else F.col("_at")
     line = line.join(F.broadcast(hot), view.entity, "left")
     splits = line.filter(F.col("_hot")).agg(split_points(moment)).scalar()
-    line = (
-        line.withColumn("_splits", splits)
-        .withColumn("_slot", F.when(F.col("_hot"), bucket_of(moment, F.col("_splits"))).otherwise(F.lit(-1)))
-        .drop("_splits")
-    )
+    line = bucket_by(line, moment, splits, "_slot").withColumn(
+        "_slot", F.when(F.col("_hot"), F.col("_slot")).otherwise(F.lit(-1)))
     upto = (W.partitionBy(view.entity, "_slot").orderBy("_at", "_side")
             .rowsBetween(W.unboundedPreceding, 0))
     matched = line.withColumn("_match", F.last("_row", ignorenulls=True).over(upto))

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.operators.balance import DEFAULT_BUCKETS, bucket_of, split_points
+from millrace.operators.balance import DEFAULT_BUCKETS, bucket_by, split_points
 
 
 def to_long(df: DataFrame, columns, *keep) -> DataFrame:
@@ -20,11 +20,8 @@ def tag_buckets(long: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     The broadcast side has one row per feature, that is per column of the frame.
     """
     splits = long.groupBy("feature").agg(split_points(F.col("value"), buckets).alias("_splits"))
-    return (
-        long.join(F.broadcast(splits), "feature")
-        .withColumn("bucket", bucket_of(F.col("value"), F.col("_splits"), buckets))
-        .drop("_splits")
-    )
+    tagged = long.join(F.broadcast(splits), "feature")
+    return bucket_by(tagged, F.col("value"), F.col("_splits"), "bucket", buckets).drop("_splits")
 
 
 def exact_percentiles(long: DataFrame, shares, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
@@ -35,36 +32,41 @@ def exact_percentiles(long: DataFrame, shares, buckets: int = DEFAULT_BUCKETS) -
     rows of those buckets are shuffled and ordered.
     Returns (feature, share, percentile).
     """
-    shares = sorted({float(s) for s in shares})
     tagged = tag_buckets(long, buckets)
+    return select_percentiles(
+        tagged, tagged.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n")), shares)
+
+
+def select_percentiles(tagged: DataFrame, sizes: DataFrame, shares) -> DataFrame:
+    """`exact_percentiles` of tagged rows whose (feature, bucket, n) are already counted."""
+    shares = sorted({float(s) for s in shares})
     running = W.partitionBy("feature").orderBy("bucket")
     counts = (
-        tagged.groupBy("feature", "bucket").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("before", F.sum("n").over(running) - F.col("n"))
+        sizes.withColumn("before", F.sum("n").over(running) - F.col("n"))
         .withColumn("total", F.sum("n").over(W.partitionBy("feature")))
     )
     wanted = (
         counts.withColumn("share", F.explode(F.array(*[F.lit(s) for s in shares])))
         .withColumn("height", F.col("share") * (F.col("total") - 1))
-        .withColumn("rank", F.explode(F.array(F.floor("height"), F.ceil("height"))))
+        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("height"), F.ceil("height")))))
         .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
         .select("feature", "bucket", "before", "share",
                 (F.col("height") - F.floor("height")).alias("part"), "rank")
-        .distinct()
     )
-    # at most two buckets per share and feature
-    needed = F.broadcast(wanted.select("feature", "bucket").distinct())
+    # at most two ranks per share and feature, so this is a small list per bucket and few buckets
+    wanted = wanted.groupBy("feature", "bucket").agg(
+        F.first("before").alias("before"), F.collect_list(F.struct("share", "part", "rank")).alias("_ranks"))
     inside = W.partitionBy("feature", "bucket").orderBy("value")
     values = (
-        tagged.join(needed, ["feature", "bucket"], "left_semi")
-        .groupBy("feature", "bucket", "value").agg(F.count(F.lit(1)).alias("m"))
-        .withColumn("upto", F.sum("m").over(inside))
+        tagged.join(F.broadcast(wanted), ["feature", "bucket"])
+        .groupBy("feature", "bucket", "value")
+        .agg(F.count(F.lit(1)).alias("m"), F.first("before").alias("before"), F.first("_ranks").alias("_ranks"))
+        .withColumn("upto", F.col("before") + F.sum("m").over(inside))
     )
-    at_rank = values.join(F.broadcast(wanted), ["feature", "bucket"]).filter(
-        (F.col("rank") < F.col("before") + F.col("upto"))
-        & (F.col("rank") >= F.col("before") + F.col("upto") - F.col("m")))
+    hits = F.filter("_ranks", lambda w: (w["rank"] < F.col("upto")) & (w["rank"] >= F.col("upto") - F.col("m")))
     return (
-        at_rank.groupBy("feature", "share")
+        values.select("feature", "value", F.inline(hits))
+        .groupBy("feature", "share")
         .agg(F.min("value").alias("low"), F.max("value").alias("high"), F.max("part").alias("part"))
         .select("feature", "share",
                 (F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("percentile"))

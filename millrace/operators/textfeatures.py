@@ -2,6 +2,7 @@
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.text import ngrams, tokens
@@ -16,10 +17,12 @@ def english_stop_words() -> list[str]:
 def term_rows(df: DataFrame, key: str, cleaned: Column, stop_words=(), ngram_range=(1, 2)) -> DataFrame:
     """(key, term, tf) of words and n-grams; stop words leave before n-grams are built.
 
-    A document's terms are one array in its own row; repeated terms of one
-    document are combined before the shuffle.
+    The texts are shuffled by `key` before they are cut up: they are a fraction
+    of the size of their n-grams, and all later grouping by document finds its
+    rows in place.
     """
-    words = df.select(key, tokens(cleaned, stop_words).alias("_words"))
+    texts = df.select(key, cleaned.alias("_text")).repartition(key)
+    words = texts.select(key, tokens(F.col("_text"), stop_words).alias("_words"))
     return (
         words.select(key, F.explode(ngrams(F.col("_words"), *ngram_range)).alias("term"))
         .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -56,5 +59,6 @@ def tfidf_weights(df: DataFrame, key: str, cleaned: Column, stop_words=(), ngram
     idf = F.ln((1 + n_docs) / (1 + F.col("df"))) + 1
     raw = terms.join(vocabulary.select("term", idf.alias("idf")), "term").select(
         key, "term", ((1 + F.ln("tf")) * F.col("idf")).alias("weight"))
-    lengths = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_length"))
-    return raw.join(lengths, key).select(key, "term", (F.col("weight") / F.col("_length")).alias("weight"))
+    # a document's terms lie together already, so its length needs no further shuffle
+    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy(key)))
+    return raw.select(key, "term", (F.col("weight") / length).alias("weight"))

@@ -674,12 +674,12 @@ def array_argmax(spark, d):
 
 
 @query("normalize_probs", b.with_ctes(b.PRED_LOG) + """
-select request_id, round(a / (a + b + 1), 6) as p0, round(b / (a + b + 1), 6) as p1, round(1 / (a + b + 1), 6) as p2
+select request_id, round(a / (a + b + 1), 10) as p0, round(b / (a + b + 1), 10) as p1, round(1 / (a + b + 1), 10) as p2
 from (select request_id, value as a, max_prob as b from pred_log)""")
 def normalize_probs(spark, d):
     raw = F.array(F.col("value"), F.col("max_prob"), F.lit(1.0))
     return b.pred_log(spark, d).withColumn("p", arrays.normalize(raw)).select(
-        "request_id", *[r(F.col("p")[i]).alias(f"p{i}") for i in range(3)])
+        "request_id", *[r(F.col("p")[i], 10).alias(f"p{i}") for i in range(3)])
 
 
 @query("prob_map", b.with_ctes(b.PRED_LOG) + " union all ".join(
