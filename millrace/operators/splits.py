@@ -36,48 +36,44 @@ def random_split(df: DataFrame, share: float = 0.2, seed=42):
     return df.randomSplit([1 - share, share], seed)
 
 
-def _ranked_cut(df, key, seed, quota, label=None):
-    """Per class, the last (digest, id) inside the quota.
+def _place(key, seed):
+    return F.struct(digest(F.col(key), seed).alias("h"), F.col(key).alias("id"))
 
-    `quota` maps a frame of (label, total) to one with a `take` column. Returns
-    (label, take, cut) with a null cut where nothing is taken.
-    """
-    place = digest(F.col(key), seed)
-    cls = F.col(label) if label else F.lit(0)
-    tagged = df.select(cls.alias("_c"), F.substring(place, 1, _BUCKET_DIGITS).alias("_b"),
-                       F.struct(place.alias("h"), F.col(key).alias("id")).alias("_p"))
-    counts = tagged.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.withColumn(
-        "_before", F.sum("_n").over(W.partitionBy("_c").orderBy("_b")) - F.col("_n"))
-    takes = quota(counts.groupBy("_c").agg(F.sum("_n").alias("total")))
-    edge = (
-        counts.join(takes, "_c")
-        .filter((F.col("_before") < F.col("take")) & (F.col("take") <= F.col("_before") + F.col("_n")))
-        .select("_c", "_b", (F.col("take") - F.col("_before")).alias("_k"))
-    )
-    edge = broadcast_if_small(edge)
-    order = W.partitionBy("_c", "_b").orderBy("_p")
+
+def _tagged(df, key, seed, *classes):
+    """Digest bucket and place of every row, and the rows before each (class, bucket)."""
+    tagged = df.select(*classes, F.substring(digest(F.col(key), seed), 1, _BUCKET_DIGITS).alias("_b"),
+                       _place(key, seed).alias("_p"))
+    names = [c for c in tagged.columns if c not in ("_b", "_p")]
+    counts = tagged.groupBy(*names, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    # a fixed number of buckets per class
+    upto = W.partitionBy(*(names or [F.lit(0)])).orderBy("_b")
+    return tagged, counts.withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
+
+
+def _cuts(tagged, edge, *names):
+    """The places at which each class's quota ends: only the bucket holding it is ordered."""
+    order = W.partitionBy(*names, "_b").orderBy("_p")
     return (
-        tagged.join(edge, ["_c", "_b"]).withColumn("_r", F.row_number().over(order))
-        .filter(F.col("_r") == F.col("_k")).select("_c", F.col("_p").alias("_cut"))
+        tagged.join(broadcast_if_small(edge), [*names, "_b"])
+        .withColumn("_r", F.row_number().over(order)).filter(F.col("_r") == F.col("_k"))
+        .select(*names, F.col("_p").alias("_cut"))
     )
 
 
-def _mark(df, key, seed, cut, label=None):
-    place = F.struct(digest(F.col(key), seed).alias("h"), F.col(key).alias("id"))
-    cls = F.col(label) if label else F.lit(0)
+def _edge(counts, names):
     return (
-        df.withColumn("_c", cls).join(broadcast_if_small(cut), "_c", "left")
-        .withColumn("is_test", F.coalesce(place <= F.col("_cut"), F.lit(False)))
-        .drop("_c", "_cut")
+        counts.filter((F.col("_before") < F.col("take")) & (F.col("take") <= F.col("_before") + F.col("_n")))
+        .select(*names, "_b", (F.col("take") - F.col("_before")).alias("_k"))
     )
 
 
 def exact_split(df: DataFrame, key: str, share: float = 0.2, seed=42) -> DataFrame:
     """Mark exactly ceil(share x n) rows as test: those first in digest order."""
-    def quota(totals):
-        return totals.withColumn("take", F.ceil(F.col("total") * share))
-    return _mark(df, key, seed, _ranked_cut(df, key, seed, quota))
+    tagged, counts = _tagged(df, key, seed)
+    take = counts.agg(F.ceil(F.sum("_n") * share)).scalar()
+    cut = _cuts(tagged, _edge(counts.withColumn("take", take), [])).select("_cut").scalar()
+    return df.withColumn("is_test", F.coalesce(_place(key, seed) <= cut, F.lit(False)))
 
 
 def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.2, seed=42) -> DataFrame:
@@ -87,21 +83,26 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.2, se
     one row each, to the classes with the greatest remainders (smallest label on
     ties).
     """
-    def quota(totals):
-        # one row per class
-        every = W.partitionBy(F.lit(0))
-        shares = (
-            totals.withColumn("n_test", F.ceil(F.sum("total").over(every) * share))
-            .withColumn("want", F.col("n_test") * F.col("total") / F.sum("total").over(every))
-            .withColumn("base", F.floor("want"))
-        )
-        by_rest = every.orderBy(F.desc(F.round(F.col("want") - F.col("base"), 9)), "_c")
-        return (
-            shares.withColumn("left", F.col("n_test") - F.sum("base").over(every))
-            .withColumn("take", F.col("base") + (F.row_number().over(by_rest) <= F.col("left")).cast("bigint"))
-            .select("_c", "take")
-        )
-    return _mark(df, key, seed, _ranked_cut(df, key, seed, quota, label), label)
+    tagged, counts = _tagged(df, key, seed, F.col(label).alias("_c"))
+    # one row per class
+    every = W.partitionBy(F.lit(0))
+    shares = (
+        counts.groupBy("_c").agg(F.sum("_n").alias("total"))
+        .withColumn("n_test", F.ceil(F.sum("total").over(every) * share))
+        .withColumn("want", F.col("n_test") * F.col("total") / F.sum("total").over(every))
+        .withColumn("base", F.floor("want"))
+    )
+    by_rest = every.orderBy(F.desc(F.round(F.col("want") - F.col("base"), 9)), "_c")
+    takes = (
+        shares.withColumn("left", F.col("n_test") - F.sum("base").over(every))
+        .select("_c", (F.col("base") + (F.row_number().over(by_rest) <= F.col("left")).cast("bigint")).alias("take"))
+    )
+    cuts = _cuts(tagged, _edge(counts.join(takes, "_c"), ["_c"]), "_c")
+    return (
+        df.withColumn("_c", F.col(label)).join(broadcast_if_small(cuts), "_c", "left")
+        .withColumn("is_test", F.coalesce(_place(key, seed) <= F.col("_cut"), F.lit(False)))
+        .drop("_c", "_cut")
+    )
 
 
 def kfold_assign(df: DataFrame, key: str, folds: int = 5, seed=42, label: str | None = None) -> DataFrame:

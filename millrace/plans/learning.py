@@ -39,7 +39,7 @@ def top_terms(spark, d):
 @query("tfidf_weights", b.with_ctes(_TERMS, """raw as (
   select doc_id, term, (1 + ln(tf)) * (ln((1 + (select count(*) from documents)) / (1 + df)) + 1) as w
   from terms join vocabulary using (term))""") + """
-select doc_id, term, round(w / sqrt(sum(w * w) over (partition by doc_id)), 6) as weight from raw""")
+select doc_id, term, round(w / sqrt(sum(w * w) over (partition by doc_id)), 9) as weight from raw""")
 def tfidf_weights(spark, d):
     return textfeatures.tfidf_weights(_documents(spark, d), "doc_id", F.col("c"), STOP_WORDS).withColumn("weight", r("weight"))
 
@@ -63,7 +63,7 @@ def _knn(spark, d):
 
 
 @query("knn_topk", b.with_ctes(_KNN) + """
-select query_id, neighbor_id, round(distance, 6) as distance, cast(rank as integer) as rank from nearest""")
+select query_id, neighbor_id, round(distance, 9) as distance, cast(rank as integer) as rank from nearest""")
 def knn_topk(spark, d):
     return _knn(spark, d)[1].withColumn("distance", r("distance"))
 
@@ -118,7 +118,7 @@ def standardize(spark, d):
     scaled = learn.standardize(b.table(spark, d, "lineitem"), b.DRIFT_COLUMNS)
     long = scaled.select(*keys, *[F.col(f"{c}_scaled").alias(c) for c in b.DRIFT_COLUMNS]).unpivot(
         keys, b.DRIFT_COLUMNS, "feature", "scaled")
-    return long.withColumn("scaled", r("scaled"))
+    return long.withColumn("scaled", r("scaled", 6))
 
 
 @query("pca_variance")
@@ -150,7 +150,7 @@ def grid_results(spark, d):
 @query("param_search")
 def param_search(spark, d):
     rows = learn.prepared(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", 3)
-    return learn.search(rows, *learn.sampled_forests(5, trees=(5, 20), depth=(3, 6)), folds=3)
+    return learn.search(rows, *learn.sampled_forests(5, trees=(5, 20), depth=(3, 9)), folds=3)
 
 
 @query("cv_scores")

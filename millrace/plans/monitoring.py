@@ -103,14 +103,14 @@ _ALL_ROWS = "pred_rows as (select * from pred_log)"
 
 
 @query("classification_report", b.with_ctes(b.PRED_LOG, _ALL_ROWS, scores_sql()) + """
-select cast(class as varchar) as class, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from class_scores
+select cast(class as varchar) as class, round(precision, 9) as precision, round(recall, 9) as recall, round(f1, 9) as f1, support from class_scores
 union all
-select 'accuracy', round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), round(sum(hits) / sum(support), 6), sum(support)::bigint from class_scores
+select 'accuracy', round(sum(hits) / sum(support), 9), round(sum(hits) / sum(support), 9), round(sum(hits) / sum(support), 9), sum(support)::bigint from class_scores
 union all
-select 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support)::bigint from class_scores
+select 'macro avg', round(avg(precision), 9), round(avg(recall), 9), round(avg(f1), 9), sum(support)::bigint from class_scores
 union all
-select 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
-       round(sum(f1 * support) / sum(support), 6), sum(support)::bigint from class_scores""")
+select 'weighted avg', round(sum(precision * support) / sum(support), 9), round(sum(recall * support) / sum(support), 9),
+       round(sum(f1 * support) / sum(support), 9), sum(support)::bigint from class_scores""")
 def classification_report(spark, d):
     report = evaluation.classification_report(b.pred_log(spark, d))
     return report.withColumns({c: r(c) for c in ("precision", "recall", "f1")})
@@ -152,7 +152,7 @@ def monitor_history(spark, d):
 
 @query("quality_gate", b.with_ctes(b.PRED_LOG, """q as (
   select model_version, count(*) filter (where y_true = prediction) / count(*) as accuracy from pred_log group by 1)""") + """
-select model_version, round(accuracy, 6) as accuracy, threshold, passed, case when passed then 'deploy' else 'retrain' end as branch, rounded
+select model_version, round(accuracy, 9) as accuracy, threshold, passed, case when passed then 'deploy' else 'retrain' end as branch, rounded
 from (select *, 0.8::double as threshold, accuracy >= 0.8 as passed, false as rounded from q
       union all select *, 0.8, round(accuracy, 1) >= 0.8, true from q)""")
 def quality_gate(spark, d):
@@ -175,7 +175,7 @@ def alert_rows(spark, d):
 
 @query("regression_metrics", """
 select l_returnflag, count(*) as n, round(sqrt(avg(e * e)), 4) as rmse, round(avg(abs(e)), 4) as mae,
-       round(1 - sum(e * e) / (var_pop(l_extendedprice) * count(*)), 6) as r2
+       round(1 - sum(e * e) / (var_pop(l_extendedprice) * count(*)), 9) as r2
 from (select *, l_extendedprice - l_quantity * 1500 as e from lineitem) group by l_returnflag""")
 def regression_metrics(spark, d):
     rows = b.table(spark, d, "lineitem").withColumn("predicted", F.col("l_quantity") * 1500)
@@ -190,7 +190,7 @@ s as (select (select sum(n * (n - 1) / 2) from cells) as both_pairs,
              (select sum(n * (n - 1) / 2) from (select sum(n) as n from cells group by a)) as sa,
              (select sum(n * (n - 1) / 2) from (select sum(n) as n from cells group by b)) as sb,
              (select sum(n) from cells) as n)
-select n::bigint as n_rows, round((both_pairs - sa * sb / (n * (n - 1) / 2)) / ((sa + sb) / 2 - sa * sb / (n * (n - 1) / 2)), 6) as adjusted_rand from s""")
+select n::bigint as n_rows, round((both_pairs - sa * sb / (n * (n - 1) / 2)) / ((sa + sb) / 2 - sa * sb / (n * (n - 1) / 2)), 9) as adjusted_rand from s""")
 def adjusted_rand(spark, d):
     peak = (F.array_position("embedding", F.array_max("embedding")) % 10).alias("peak")
     return evaluation.adjusted_rand(b.table(spark, d, "embeddings").select("label", peak), "label", "peak").withColumn(
@@ -199,7 +199,7 @@ def adjusted_rand(spark, d):
 
 @query("rule_score", b.with_ctes(b.MEASUREMENTS, """scored as (
   select *, petal_length * 0.5::double + petal_width * 0.8::double as score from measurements)""") + """
-select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(score, 6) as score,
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, round(score, 9) as score,
        case when score < 2.5 then 0 when score < 5.0 then 1 else 2 end as prediction,
        case when score < 2.5 then 0.9 when score < 5.0 then 0.85 else 0.85 end::double as confidence from scored""")
 def rule_score(spark, d):
@@ -217,7 +217,7 @@ _POINTS = """points as (
 
 
 @query("roc_points", b.with_ctes(b.DOC_SCORES, _POINTS) + """
-select lang, threshold, round(fp / nullif(n_neg, 0), 6) as fpr, round(tp / nullif(n_pos, 0), 6) as tpr from points""")
+select lang, threshold, round(fp / nullif(n_neg, 0), 9) as fpr, round(tp / nullif(n_pos, 0), 9) as tpr from points""")
 def roc_points(spark, d):
     return curves.roc_points(b.doc_scores(spark, d), keys=["lang"]).withColumns({"fpr": r("fpr"), "tpr": r("tpr")})
 
@@ -225,7 +225,7 @@ def roc_points(spark, d):
 @query("roc_auc", b.with_ctes(b.DOC_SCORES, """ranked as (
   select y, rank() over (order by score) + (count(*) over (partition by score) - 1) / 2 as place from doc_scores)""") + """
 select round((sum(place) filter (where y = 1) - count(*) filter (where y = 1) * (count(*) filter (where y = 1) + 1) / 2)
-       / (count(*) filter (where y = 1) * count(*) filter (where y = 0)), 6) as auc from ranked""")
+       / (count(*) filter (where y = 1) * count(*) filter (where y = 0)), 9) as auc from ranked""")
 def roc_auc(spark, d):
     return curves.roc_auc(b.doc_scores(spark, d)).withColumn("auc", r("auc"))
 
@@ -238,21 +238,21 @@ def _ovr(i):
   select class, y, rank() over (partition by class order by score) + (count(*) over (partition by class, score) - 1) / 2 as place from ovr)""",
   """per_class as (select class, (sum(place) filter (where y = 1) - count(*) filter (where y = 1) * (count(*) filter (where y = 1) + 1) / 2)
        / (count(*) filter (where y = 1) * count(*) filter (where y = 0)) as auc from ranked group by class)""") + """
-select count(*) as n_classes, round(avg(auc), 6) as macro_auc from per_class""")
+select count(*) as n_classes, round(avg(auc), 9) as macro_auc from per_class""")
 def macro_auc(spark, d):
     scored = b.class_probabilities(b.pred_log(spark, d))
     return curves.macro_auc(scored, "y_true", "probabilities", range(3)).withColumn("macro_auc", r("macro_auc"))
 
 
 @query("pr_points", b.with_ctes(b.DOC_SCORES, _POINTS) + """
-select lang, threshold, round(tp / (tp + fp), 6) as precision, round(tp / nullif(n_pos, 0), 6) as recall from points""")
+select lang, threshold, round(tp / (tp + fp), 9) as precision, round(tp / nullif(n_pos, 0), 9) as recall from points""")
 def pr_points(spark, d):
     return curves.pr_points(b.doc_scores(spark, d), keys=["lang"]).withColumns(
         {"precision": r("precision"), "recall": r("recall")})
 
 
 @query("average_precision", b.with_ctes(b.DOC_SCORES, _POINTS) + """
-select lang, round(sum(tp / (tp + fp) * p) / nullif(max(n_pos), 0), 6) as average_precision from points group by lang""")
+select lang, round(sum(tp / (tp + fp) * p) / nullif(max(n_pos), 0), 9) as average_precision from points group by lang""")
 def average_precision(spark, d):
     return curves.average_precision(b.doc_scores(spark, d), keys=["lang"]).withColumn(
         "average_precision", r("average_precision"))
@@ -267,15 +267,15 @@ def _hits(spark, d):
 
 
 @query("calibration_curve", b.with_ctes(b.PRED_LOG, _CALIBRATION) + """
-select model_version, least(floor(score * 10), 9)::integer as bin, count(*) as n, round(avg(y), 6) as fraction_positive,
-       round(avg(score), 6) as mean_predicted from hits group by all""")
+select model_version, least(floor(score * 10), 9)::integer as bin, count(*) as n, round(avg(y), 9) as fraction_positive,
+       round(avg(score), 9) as mean_predicted from hits group by all""")
 def calibration_curve(spark, d):
     return curves.calibration_curve(_hits(spark, d), 10, keys=["model_version"]).withColumns(
         {"fraction_positive": r("fraction_positive"), "mean_predicted": r("mean_predicted")})
 
 
 @query("brier_score", b.with_ctes(b.PRED_LOG, _CALIBRATION) + """
-select model_version, count(*) as n, round(avg((score - y) * (score - y)), 6) as brier from hits group by model_version""")
+select model_version, count(*) as n, round(avg((score - y) * (score - y)), 9) as brier from hits group by model_version""")
 def brier_score(spark, d):
     return curves.brier_score(_hits(spark, d), keys=["model_version"]).withColumn("brier", r("brier"))
 
@@ -323,7 +323,7 @@ def stream_summary(spark, d):
 
 
 RATE_SQL = """
-select window_start, count(*) as n, round(count(*) / 300, 6) as rate
+select window_start, count(*) as n, round(count(*) / 300, 9) as rate
 from (select date_trunc('minute', ts) - to_minutes(unnest(range(5))) as window_start from events) group by window_start"""
 
 
@@ -345,7 +345,7 @@ def stream_rate(spark, d):
   select model_version, ts, k::double as value, lag(k) over (partition by model_version order by ts) as previous from pred_log)""") + """
 select model_version, date_trunc('hour', ts) as window_start,
        sum(case when previous is null then 0 when value < previous then value else value - previous end) as increase,
-       round(sum(case when previous is null then 0 when value < previous then value else value - previous end) / 3600, 6) as rate
+       round(sum(case when previous is null then 0 when value < previous then value else value - previous end) / 3600, 9) as rate
 from samples group by 1, 2""")
 def counter_rate(spark, d):
     # k falls again and again, which reads as a counter being reset

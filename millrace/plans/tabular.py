@@ -13,7 +13,7 @@ from millrace.sources import events as ev
 from millrace.sources import files
 
 
-def r(column, digits=6):
+def r(column, digits=9):
     return F.round(column, digits)
 
 
@@ -56,7 +56,7 @@ def prediction_events(log):
 EVENT_FIELDS_SQL = b.with_ctes(b.PRED_LOG) + f"""
 select request_id as key, 'ml.predictions' as topic, 'prediction' as event_type, request_id,
        strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as timestamp, model_version, value as feature_value, prediction,
-       round({b.class_probability_sql(2)}, 6) as probability_2, max_prob
+       round({b.class_probability_sql(2)}, 9) as probability_2, max_prob
 from pred_log"""
 
 
@@ -401,7 +401,7 @@ def snapshot_diff(spark, d):
 MODEL_PERFORMANCE_SQL = b.with_ctes(b.RUNS_LOG) + """
 select model, round(avg(accuracy), 8) as avg_accuracy, round(min(accuracy), 8) as min_accuracy, count(*) as n_runs,
        count(*) filter (where status = 'failure') as failures,
-       round(count(*) filter (where status = 'failure') / count(*), 6) as failure_rate
+       round(count(*) filter (where status = 'failure') / count(*), 9) as failure_rate
 from runs_log group by model order by avg(accuracy) desc, model"""
 
 
@@ -417,7 +417,7 @@ def model_performance(spark, d):
     min({c}) as "min", max({c}) as "max" from lineitem""" for c in b.DRIFT_COLUMNS))
 def describe_numeric(spark, d):
     return aggregates.describe_numeric(b.table(spark, d, "lineitem"), b.DRIFT_COLUMNS).withColumns(
-        {"mean": r("mean"), "stddev": r("stddev")})
+        {"mean": r("mean", 6), "stddev": r("stddev", 6)})
 
 
 @query("value_counts", "select event_type, count(*) as n from events group by event_type")
@@ -427,7 +427,7 @@ def value_counts(spark, d):
 
 SUMMARY_SQL = b.with_ctes(b.PRED_LOG) + """
 select prediction, count(*) as n, count(*) filter (where max_prob < 0.7) as low_confidence,
-       round(avg(max_prob), 6) as avg_max_prob
+       round(avg(max_prob), 9) as avg_max_prob
 from pred_log group by prediction"""
 
 
@@ -492,7 +492,7 @@ def confidence_histogram(spark, d):
   from le left join limits on bound_index = i
   window w as (partition by model_version order by bound_index))""") + """
 select model_version, round(first(case when bound is null then below_bound
-    else below_bound + (bound - below_bound) * (0.95 * count - below_n) / (n - below_n) end order by bound_index), 6) as quantile
+    else below_bound + (bound - below_bound) * (0.95 * count - below_n) / (n - below_n) end order by bound_index), 9) as quantile
 from steps where n >= 0.95::double * count group by model_version""")
 def histogram_quantile(spark, d):
     buckets = quantiles.le_histogram(b.pred_log(spark, d), "latency_s", LATENCY_BOUNDS, ["model_version"])
@@ -509,7 +509,7 @@ def percentiles(spark, d):
     reference, _ = b.drift_samples(spark, d)
     long = quantiles.to_long(reference, b.DRIFT_COLUMNS)
     return quantiles.exact_percentiles(long, [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0]).withColumn(
-        "percentile", r("percentile"))
+        "percentile", r("percentile", 6))
 
 
 @query("histogram_edges", """
@@ -522,7 +522,7 @@ def histogram_edges(spark, d):
 
 
 @query("fold_summary", b.with_ctes(b.RUNS_LOG) + """
-select model, count(accuracy) as folds, round(avg(accuracy), 6) as mean_score, round(stddev_pop(accuracy), 6) as std_score
+select model, count(accuracy) as folds, round(avg(accuracy), 9) as mean_score, round(stddev_pop(accuracy), 9) as std_score
 from runs_log group by model""")
 def fold_summary(spark, d):
     return aggregates.fold_summary(b.runs_log(spark, d), "accuracy", "model").withColumns(
@@ -533,7 +533,7 @@ def fold_summary(spark, d):
 
 @query("cumulative_share", """
 select o_orderdate, round(o_totalprice, 2) as o_totalprice, round(sum(o_totalprice) over w, 2) as cumulative,
-       round(sum(o_totalprice) over w / sum(o_totalprice) over (), 6) as share
+       round(sum(o_totalprice) over w / sum(o_totalprice) over (), 9) as share
 from (select o_orderdate, sum(o_totalprice) as o_totalprice from orders group by o_orderdate)
 window w as (order by o_orderdate)""")
 def cumulative_share(spark, d):
