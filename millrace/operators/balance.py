@@ -14,16 +14,28 @@ Two ideas are used throughout the package:
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1024
+FEWEST_BUCKETS = 1 << 10
+MOST_BUCKETS = 1 << 16
 
 
-def split_points(value: Column, buckets: int = DEFAULT_BUCKETS) -> Column:
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bucket_count(df: DataFrame) -> int:
+    """Enough buckets for every shuffle partition to get several: a power of two that grows with
+    the cluster's setting, kept small enough for its split points to be one array."""
+    wanted = max(FEWEST_BUCKETS, 4 * shuffle_partitions(df))
+    return min(MOST_BUCKETS, 1 << (wanted - 1).bit_length())
+
+
+def split_points(value: Column, buckets: int) -> Column:
     """Aggregate: `buckets - 1` approximate quantiles of `value`, ascending."""
     shares = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     return F.percentile_approx(value.cast("double"), shares, F.lit(buckets * 4))
 
 
-def bucket_by(df: DataFrame, value: Column, splits: Column, name: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def bucket_by(df: DataFrame, value: Column, splits: Column, name: str, buckets: int) -> DataFrame:
     """Add the number of split points at or below `value`; equal values share a bucket.
 
     A binary search written as one projection per halving: each reads one
@@ -41,15 +53,12 @@ def bucket_by(df: DataFrame, value: Column, splits: Column, name: str, buckets:
 
 
 def with_bucket(df: DataFrame, value: Column, name: str = "_bucket",
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                buckets: int | None = None) -> DataFrame:
     """Add the range bucket of `value` over the whole frame."""
+    buckets = buckets or bucket_count(df)
     return bucket_by(df, value, df.agg(split_points(value, buckets)).scalar(), name, buckets)
 
 
-def shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def hot_keys(df: DataFrame, keys, parts: int | None = None) -> DataFrame:
     """Keys holding more than 1/`parts` of all rows: never more than `parts` of them."""
     parts = parts or shuffle_partitions(df)
@@ -66,3 +75,19 @@ def fits(df: DataFrame, rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """Mark `df` for broadcast after counting it, else leave it to a shuffle join."""
     return F.broadcast(df) if fits(df, rows) else df
+
+
+def join_unique(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Inner join with a `right` side that has one row per key, whatever `left` looks like.
+
+    The rows of `left` with a hot key meet a broadcast of the few matching rows of
+    `right`; only the others are shuffled.
+    """
+    keys = list(keys)
+    hot = hot_keys(left, keys)
+    if hot.isEmpty():
+        return left.join(right, keys)
+    hot = F.broadcast(hot)
+    few = F.broadcast(right.join(hot, keys, "left_semi"))  # one row per hot key
+    return left.join(hot, keys, "left_semi").join(few, keys).unionByName(
+        left.join(hot, keys, "left_anti").join(right, keys))

@@ -7,14 +7,13 @@ its core points are one cluster; only the few points of thin cells (fewer than
 are merged first and carry their count.
 """
 
-from functools import reduce
 from itertools import product
 from math import ceil, sqrt
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.balance import join_unique
 from millrace.operators.components import connected_components
 from millrace.operators.frames import union_sets
 from millrace.operators.ordered import row_index
@@ -208,8 +207,10 @@ def core_flags(df: DataFrame, key: str, columns, eps: float = 0.5, min_points: i
 
 
 def _rows_at(df, placed, columns):
-    condition = reduce(and_, [F.col(c).cast("double") == F.col(f"_{c}") for c in columns])
-    return df.join(placed, condition)
+    """All rows of `df` with what is known of their position; a position may hold very many rows."""
+    at = [f"_{c}" for c in columns]
+    rows = df.withColumns({name: F.col(c).cast("double") for name, c in zip(at, columns)})
+    return join_unique(rows, placed, at).drop(*at)
 
 
 def cluster_counts(labels: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.scalars import clip_low
-from millrace.operators.balance import DEFAULT_BUCKETS
 from millrace.operators.quantiles import bin_index, exact_percentiles, tag_buckets, to_long
 
 # fixed values: severity limits of the stability index
@@ -33,7 +32,7 @@ def _both(reference, current, columns):
 
 
 def ks_statistic(reference: DataFrame, current: DataFrame, columns,
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """(feature, statistic, n_ref, n_cur): the greatest distance between the two ECDFs.
 
     Counts per range bucket give the distance at every bucket edge, and bound it

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.operators.balance import bucket_by, hot_keys, split_points
+from millrace.operators.balance import bucket_by, bucket_count, hot_keys, join_unique, split_points
 from millrace.operators.ordered import latest_by
 
 
@@ -67,14 +67,13 @@ def get_online_features(store: DataFrame, requests: DataFrame, view: FeatureView
                         position: str = "position") -> DataFrame:
     """One row per request whose entity is known; unknown feature names give null.
 
-    Requests carry their place in `position`, so order and repeats survive. The
-    join is left to the optimizer, which broadcasts the requests only when their
-    size is known to be small.
+    Requests carry their place in `position`, so order and repeats survive. An
+    entity asked for very often does not pile up in one task.
     """
     wanted = [F.col(n) if n in store.columns else F.lit(None).cast("double").alias(n) for n in names]
     return (
-        requests.select(position, view.entity)
-        .join(store, view.entity).select(position, view.entity, *wanted)
+        join_unique(requests.select(position, view.entity), store, [view.entity])
+        .select(position, view.entity, *wanted)
     )
 
 
@@ -115,14 +114,15 @@ def get_historical_features(entities: DataFrame, features: DataFrame, view: Feat
     hot = hot_keys(line.select(view.entity), [view.entity]).withColumn("_hot", F.lit(True))
     moment = F.col("_at").cast("timestamp") if dict(line.dtypes)["_at"].startswith("timestamp") else F.col("_at")
     line = line.join(F.broadcast(hot), view.entity, "left")
-    splits = line.filter(F.col("_hot")).agg(split_points(moment)).scalar()
-    line = bucket_by(line, moment, splits, "_slot").withColumn(
+    buckets = bucket_count(line)
+    splits = line.filter(F.col("_hot")).agg(split_points(moment, buckets)).scalar()
+    line = bucket_by(line, moment, splits, "_slot", buckets).withColumn(
         "_slot", F.when(F.col("_hot"), F.col("_slot")).otherwise(F.lit(-1)))
     upto = (W.partitionBy(view.entity, "_slot").orderBy("_at", "_side")
             .rowsBetween(W.unboundedPreceding, 0))
     matched = line.withColumn("_match", F.last("_row", ignorenulls=True).over(upto))
 
-    # hot entities only: at most partitions x buckets rows
+    # hot entities only; the rows above already lie by (entity, slot), so this join moves `ends` alone
     ends = (
         line.filter(F.col("_hot")).groupBy(view.entity, "_slot")
         .agg(F.max_by("_row", F.when(F.col("_side") == 0, F.col("_at"))).alias("_end"))
@@ -132,7 +132,7 @@ def get_historical_features(entities: DataFrame, features: DataFrame, view: Feat
     )
     found = (
         matched.filter(F.col("_side") == 1)
-        .join(F.broadcast(ends), [view.entity, "_slot"], "left")
+        .join(ends, [view.entity, "_slot"], "left")
         .withColumn("_match", F.coalesce("_match", "_carried"))
     )
     alive = F.col("_match").isNotNull()

@@ -50,8 +50,8 @@ def union_sets(*frames: DataFrame) -> DataFrame:
 
 def replicate_rows(df: DataFrame, times: int, name: str = "copy") -> DataFrame:
     """Every row `times` times, numbered 1..times; no rows for times = 0."""
-    return df.withColumn(name, F.explode(F.array(*[F.lit(i) for i in range(1, times + 1)])
-                                         if times else F.array().cast("array<int>")))
+    copies = F.sequence(F.lit(1), F.lit(times)) if times else F.array().cast("array<int>")
+    return df.withColumn(name, F.explode(copies))
 
 
 def leaderboard(df: DataFrame, metric: str, *ties) -> DataFrame:

@@ -21,14 +21,16 @@ from pyspark.sql import types as T
 
 from millrace.functions.arrays import argmax, named_probabilities
 from millrace.functions.scalars import label_name
+from millrace.operators.balance import broadcast_if_small
 from millrace.operators.evaluation import (
     classification_report, quality, quality_gate, regression_metrics,
 )
 from millrace.operators.neighbors import knn_topk, knn_vote
+from millrace.operators.ordered import row_index
 from millrace.operators.splits import exact_split, kfold_assign, stratified_split
 from millrace.operators.textfeatures import tfidf_weights
 from millrace.operators.validation import run_checks
-from millrace.session import scratch_path
+from millrace.session import cut_lineage, scratch_path
 
 
 # --- features ----------------------------------------------------------------
@@ -73,23 +75,22 @@ def explained_variance(model: PipelineModel, spark: SparkSession) -> DataFrame:
 def term_vectors(df: DataFrame, key: str, cleaned, keep=(), **tfidf) -> tuple[DataFrame, DataFrame]:
     """(rows with a sparse vector column `features`, vocabulary with term numbers).
 
-    A document's terms are gathered in one row, at most `max_features` of them.
+    A document's terms are gathered in one row: as many as its text has, at most the vocabulary.
     The rows are written with the layout of a vector and read back as vectors,
     which takes no Python function and spares the fit from redoing the text work.
     """
     spark = df.sparkSession
-    weights = tfidf_weights(df, key, cleaned, **tfidf)
-    path = scratch_path(spark, "weights")
-    weights.write.parquet(path)
-    weights = spark.read.parquet(path)
-    terms = sorted(row["term"] for row in weights.select("term").distinct().collect())  # at most max_features
-    vocabulary = spark.createDataFrame(list(enumerate(terms)), "index int, term string")
+    weights = cut_lineage(tfidf_weights(df, key, cleaned, **tfidf), "weights")
+    vocabulary = cut_lineage(
+        row_index(weights.select("term").distinct(), ["term"], "index").withColumn("index", F.col("index").cast("int")),
+        "vocabulary")
+    size = vocabulary.count()
     entries = F.array_sort(F.collect_list(F.struct("index", "weight")))
-    vectors = weights.join(F.broadcast(vocabulary), "term").groupBy(key).agg(entries.alias("_e"))
+    vectors = weights.join(broadcast_if_small(vocabulary), "term").groupBy(key).agg(entries.alias("_e"))
     empty = F.array().cast("array<struct<index:int,weight:double>>")
     rows = df.select(key, *keep).join(vectors, key, "left").withColumn("_e", F.coalesce("_e", empty)).select(
         key, *keep, F.struct(
-            F.lit(0).cast("tinyint").alias("type"), F.lit(len(terms)).alias("size"),
+            F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
             F.transform("_e", lambda e: e["index"]).alias("indices"),
             F.transform("_e", lambda e: e["weight"]).alias("values")).alias("features"))
     path = scratch_path(spark, "vectors")
@@ -279,9 +280,9 @@ class PlattScaling:
         model = LogisticRegression(weightCol="weight", maxIter=200, tol=1e-10).fit(shaped)
         return float(model.coefficients[0]), float(model.intercept)
 
-    def apply(self, fitted, score):
+    def transform(self, fitted, df: DataFrame, name: str) -> DataFrame:
         slope, intercept = fitted
-        return 1 / (1 + F.exp(-(F.lit(slope) * score + F.lit(intercept))))
+        return df.withColumn(name, 1 / (1 + F.exp(-(F.lit(slope) * F.col("score") + F.lit(intercept)))))
 
 
 @dataclass(frozen=True)
@@ -289,18 +290,12 @@ class IsotonicScaling:
     """Non-decreasing step function of the score, linear between its steps."""
 
     def fit(self, scored: DataFrame):
-        model = IsotonicRegression(featuresCol="score").fit(scored.select("score", "label"))
-        return list(map(float, model.boundaries)), list(map(float, model.predictions))
+        # equal scores become one weighted row before the fit
+        merged = scored.groupBy("score").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
+        return IsotonicRegression(featuresCol="score", weightCol="weight").fit(merged)
 
-    def apply(self, fitted, score):
-        xs, ys = fitted
-        edges, levels = F.array(*map(F.lit, xs)), F.array(*map(F.lit, ys))
-        below = F.size(F.filter(edges, lambda e: e <= score))
-        low, high = F.element_at(edges, F.greatest(below, F.lit(1))), F.element_at(edges, F.least(below + 1, F.lit(len(xs))))
-        at = F.element_at(levels, F.greatest(below, F.lit(1)))
-        step = F.element_at(levels, F.least(below + 1, F.lit(len(xs)))) - at
-        return F.when(below == 0, F.lit(ys[0])).otherwise(
-            at + step * F.coalesce(F.try_divide(score - low, high - low), F.lit(0.0)))
+    def transform(self, fitted, df: DataFrame, name: str) -> DataFrame:
+        return fitted.setPredictionCol(name).transform(df)
 
 
 def calibrated_scores(train: DataFrame, test: DataFrame, key: str, estimator, scaling, folds: int = 5) -> DataFrame:
@@ -319,8 +314,8 @@ def calibrated_scores(train: DataFrame, test: DataFrame, key: str, estimator, sc
 
     scored = test
     for fold, (model, fitted) in enumerate(_in_parallel([(lambda i=i: one(i)) for i in range(folds)])):
-        scored = _positive(model.transform(scored)).withColumn(
-            f"_c{fold}", scaling.apply(fitted, F.col("score"))).drop("score", "rawPrediction", "probability", "prediction")
+        scored = scaling.transform(fitted, _positive(model.transform(scored)), f"_c{fold}").drop(
+            "score", "rawPrediction", "probability", "prediction")
     dealt.unpersist()
     parts = [F.col(f"_c{i}") for i in range(folds)]
     return scored.withColumn("calibrated", sum(parts[1:], parts[0]) / folds).drop(*[f"_c{i}" for i in range(folds)])

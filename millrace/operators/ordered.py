@@ -4,9 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.operators.balance import (
-    DEFAULT_BUCKETS, shuffle_partitions, with_bucket,
-)
+from millrace.operators.balance import shuffle_partitions, with_bucket
 from millrace.session import cut_lineage
 
 # monotonically_increasing_id() keeps the row's place in its partition in the low 33 bits
@@ -14,13 +12,14 @@ _PLACE_BITS = 33
 
 
 def running_sums(df: DataFrame, order: str, sums: dict, keys=(),
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """Add running totals along `order` within `keys`.
 
     `sums` maps a new column to the column summed. `order` (a number or a time)
     must be unique within `keys`: group by it first. Rows are placed in range
     buckets, summed inside each bucket, and shifted by the totals of the buckets
-    before: at most `buckets` totals per key meet in one ordered group.
+    before: at most `buckets` totals per key meet in one ordered group. Without
+    `buckets` their number follows the cluster's shuffle setting.
     """
     keys = list(keys)
     position = F.col(order)
@@ -100,7 +99,7 @@ def slice_rows(df: DataFrame, order, start: int = 0, stop: int | None = None) ->
 
 
 def cumulative_share(df: DataFrame, order: str, value: str, keys=(),
-                     buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     buckets: int | None = None) -> DataFrame:
     """Running total of `value` along `order` and its share of the key's total."""
     keys = list(keys)
     summed = df.groupBy(*keys, order).agg(F.sum(value).alias(value))
@@ -116,7 +115,7 @@ def cumulative_share(df: DataFrame, order: str, value: str, keys=(),
 
 
 def in_flight(df: DataFrame, start: str, end: str, keys=(),
-              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """Requests running after every moment at which one starts or ends.
 
     Each request counts +1 at `start` and -1 at `end`; changes at the same moment
@@ -144,7 +143,7 @@ def latest_by(df: DataFrame, keys, order, values) -> DataFrame:
 
 
 def with_previous(df: DataFrame, order: str, value: str, keys=(), name: str = "previous",
-                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  buckets: int | None = None) -> DataFrame:
     """Add the value of the row before along `order` within `keys`; null for the first.
 
     Looks back inside a range bucket; a bucket's first row takes the last value of

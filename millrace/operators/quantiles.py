@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.operators.balance import DEFAULT_BUCKETS, bucket_by, split_points
+from millrace.operators.balance import bucket_by, bucket_count, split_points
 
 
 def to_long(df: DataFrame, columns, *keep) -> DataFrame:
@@ -14,17 +14,18 @@ def to_long(df: DataFrame, columns, *keep) -> DataFrame:
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def tag_buckets(long: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def tag_buckets(long: DataFrame, buckets: int | None = None) -> DataFrame:
     """Range bucket of every value within its feature.
 
     The broadcast side has one row per feature, that is per column of the frame.
     """
+    buckets = buckets or bucket_count(long)
     splits = long.groupBy("feature").agg(split_points(F.col("value"), buckets).alias("_splits"))
     tagged = long.join(F.broadcast(splits), "feature")
     return bucket_by(tagged, F.col("value"), F.col("_splits"), "bucket", buckets).drop("_splits")
 
 
-def exact_percentiles(long: DataFrame, shares, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def exact_percentiles(long: DataFrame, shares, buckets: int | None = None) -> DataFrame:
     """Linearly interpolated percentiles of each feature, exact at any size.
 
     Rows are counted per range bucket (combined map-side, nothing is moved), the

@@ -59,7 +59,9 @@ def test_boxes_are_halved_when_crowded_cells_are_undecided(spark, monkeypatch):
     assert len(set(got.values())) == len(set(root))
 
 
-def test_components_of_a_long_chain_and_a_star(spark):
+@pytest.mark.parametrize("many", [0, 10**6])
+def test_components_of_a_long_chain_and_a_star(spark, monkeypatch, many):
+    monkeypatch.setattr(components, "MANY_EDGES", many)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + j) for j in range(1, 200)]
     nodes = spark.createDataFrame([(i,) for i in list(range(61)) + list(range(100, 300)) + [999]], "node bigint")
     got = {r["node"]: r["component"] for r in components.connected_components(

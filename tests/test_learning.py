@@ -87,7 +87,7 @@ def test_calibration_is_monotone_and_bounded(spark, scaling):
         (F.col("id") % 100 / 100).alias("score"), ((F.col("id") * 37 % 100) < F.col("id") % 100).cast("double").alias("label"))
     fitted = scaling.fit(scored)
     points = spark.range(-5, 106).select((F.col("id") / 100).alias("score"))
-    got = [r[0] for r in points.select(scaling.apply(fitted, F.col("score")).alias("p"), "score").orderBy("score").select("p").collect()]
+    got = [r[0] for r in scaling.transform(fitted, points, "p").orderBy("score").select("p").collect()]
     assert all(a <= b + 1e-12 for a, b in zip(got, got[1:])) and 0 <= got[0] and got[-1] <= 1
 
 
