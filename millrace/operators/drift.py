@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.scalars import clip_low
-from millrace.operators.quantiles import bin_index, exact_percentiles, tag_buckets, to_long
+from millrace.operators.quantiles import (
+    bin_index, exact_percentiles, select_percentiles, tag_buckets, to_long,
+)
 
 # fixed values: severity limits of the stability index
 PSI_SLIGHT = 0.1
@@ -31,6 +33,11 @@ def _both(reference, current, columns):
     return sides[0].unionByName(sides[1])
 
 
+def _side_counts(tagged):
+    return tagged.groupBy("feature", "bucket").agg(
+        F.count_if("is_ref").alias("r"), F.count_if(~F.col("is_ref")).alias("c"))
+
+
 def ks_statistic(reference: DataFrame, current: DataFrame, columns,
                  buckets: int | None = None) -> DataFrame:
     """(feature, statistic, n_ref, n_cur): the greatest distance between the two ECDFs.
@@ -39,13 +46,14 @@ def ks_statistic(reference: DataFrame, current: DataFrame, columns,
     inside every bucket. Only buckets whose bound beats the best edge are opened,
     so nearly all rows are counted in place and never shuffled; the result is exact.
     """
-    columns = list(columns)
-    tagged = tag_buckets(_both(reference, current, columns), buckets)
-    per_side = [F.count_if("is_ref").alias("r"), F.count_if(~F.col("is_ref")).alias("c")]
+    return _ks_of(tag_buckets(_both(reference, current, list(columns)), buckets))
+
+
+def _ks_of(tagged):
     upto = W.partitionBy("feature").orderBy("bucket")
     whole = W.partitionBy("feature")
     edges = (
-        tagged.groupBy("feature", "bucket").agg(*per_side)
+        _side_counts(tagged)
         .withColumn("n_ref", F.sum("r").over(whole)).withColumn("n_cur", F.sum("c").over(whole))
         .withColumn("r_upto", F.sum("r").over(upto)).withColumn("c_upto", F.sum("c").over(upto))
         .withColumn("after", F.try_divide("r_upto", "n_ref") - F.try_divide("c_upto", "n_cur"))
@@ -63,7 +71,8 @@ def ks_statistic(reference: DataFrame, current: DataFrame, columns,
     # one row per feature and bucket at most
     refined = (
         tagged.join(F.broadcast(opened.select("feature", "bucket")), ["feature", "bucket"], "left_semi")
-        .groupBy("feature", "bucket", "value").agg(*per_side)
+        .groupBy("feature", "bucket", "value")
+        .agg(F.count_if("is_ref").alias("r"), F.count_if(~F.col("is_ref")).alias("c"))
         .select("feature", "bucket", F.sum("r").over(inside).alias("r"), F.sum("c").over(inside).alias("c"))
         .join(F.broadcast(opened), ["feature", "bucket"])
         .select("feature", F.abs(
@@ -126,7 +135,10 @@ def ks_test(reference: DataFrame, current: DataFrame, columns, threshold: float
     `method`: "asymptotic", "exact", or "auto" (exact while both samples have at
     most 10,000 rows). The method used is a column of the result.
     """
-    stats = ks_statistic(reference, current, columns)
+    return _ks_verdict(ks_statistic(reference, current, columns), threshold, method, digits)
+
+
+def _ks_verdict(stats, threshold=0.05, method="asymptotic", digits=4):
     d, a, b = F.col("statistic"), F.col("n_ref"), F.col("n_cur")
     limit = asymptotic_p_value(d, a, b)
     small = F.greatest(a, b) <= EXACT_P_VALUE_ROWS
@@ -152,13 +164,13 @@ def psi(reference: DataFrame, current: DataFrame, columns, buckets: int = 10, di
     open. Shares are kept at 1e-4 or more. Severity and verdict use the
     unrounded index.
     """
-    columns = list(columns)
-    long = _both(reference, current, columns)
+    long = _both(reference, current, list(columns))
     points = [i / buckets for i in range(1, buckets)]
-    edges = (
-        exact_percentiles(long.filter("is_ref").drop("is_ref"), points).groupBy("feature")
-        .agg(F.array_sort(F.collect_list("percentile")).alias("edges"))
-    )
+    return _psi_of(long, exact_percentiles(long.filter("is_ref").drop("is_ref"), points), buckets, digits)
+
+
+def _psi_of(long, percentiles, buckets=10, digits=4):
+    edges = percentiles.groupBy("feature").agg(F.array_sort(F.collect_list("percentile")).alias("edges"))
     # the broadcast side has one row per column
     counts = (
         long.join(F.broadcast(edges), "feature")
@@ -181,11 +193,19 @@ def psi(reference: DataFrame, current: DataFrame, columns, buckets: int = 10, di
     )
 
 
-def drift_report(reference: DataFrame, current: DataFrame, columns=None, **ks_options) -> DataFrame:
-    """Both tests for every numeric column of the reference."""
-    columns = list(columns or numeric_columns(reference))
-    return ks_test(reference, current, columns, **ks_options).join(
-        psi(reference, current, columns), "feature")
+def drift_report(reference: DataFrame, current: DataFrame, columns=None, buckets: int = 10, **ks_options) -> DataFrame:
+    """Both tests for every numeric column of the reference.
+
+    The two tests share the range buckets and the counts in them: the optimizer
+    sees the same shuffle twice and runs it once.
+    """
+    long = _both(reference, current, list(columns or numeric_columns(reference)))
+    tagged = tag_buckets(long)
+    # both counts are read here, or this aggregation would be pruned and no longer be the one of the other test
+    sizes = _side_counts(tagged).filter("r > 0 and c >= 0").select("feature", "bucket", F.col("r").alias("n"))
+    points = [i / buckets for i in range(1, buckets)]
+    percentiles = select_percentiles(tagged.filter("is_ref"), sizes, points)
+    return _ks_verdict(_ks_of(tagged), **ks_options).join(_psi_of(long, percentiles, buckets), "feature")
 
 
 def drift_summary(report: DataFrame) -> DataFrame:

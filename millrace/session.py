@@ -24,6 +24,9 @@ def build_session(app_name="millrace", master=None, **settings):
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # streaming state on disk, so that it may outgrow the executors' memory
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **settings,
     }
     for key, value in options.items():
