@@ -77,6 +77,11 @@ def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if fits(df, rows) else df
 
 
+def join_lookup(left: DataFrame, right: DataFrame, keys, rows: int = 100_000) -> DataFrame:
+    """Inner join with a one-row-per-key side: broadcast once counted as small, else `join_unique`."""
+    return left.join(F.broadcast(right), list(keys)) if fits(right, rows) else join_unique(left, right, keys)
+
+
 def join_unique(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     """Inner join with a `right` side that has one row per key, whatever `left` looks like.
 

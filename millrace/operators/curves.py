@@ -28,14 +28,9 @@ def score_table(df: DataFrame, label="y", score="score", keys=()) -> DataFrame:
     """(keys, threshold, tp, fp, n_pos, n_neg): counts of rows at or above every score."""
     keys = list(keys)
     counts = _counts(df, label, score, keys)
-    running = running_sums(counts, "_down", {"tp": "p", "fp": "q"}, keys)
-    sides = counts.groupBy(*keys).agg(F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"))
-    if keys:
-        joined = running.join(sides, keys)
-    else:
-        joined = running.select(
-            "*", counts.agg(F.sum("p")).scalar().alias("n_pos"), counts.agg(F.sum("q")).scalar().alias("n_neg"))
-    return joined.withColumn("threshold", -F.col("_down")).drop("_down")
+    running = running_sums(counts, "_down", {"tp": "p", "fp": "q"}, keys, totals=True)
+    return running.withColumnsRenamed({"tp_total": "n_pos", "fp_total": "n_neg"}).withColumn(
+        "threshold", -F.col("_down")).drop("_down")
 
 
 def roc_points(df: DataFrame, label="y", score="score", keys=()) -> DataFrame:

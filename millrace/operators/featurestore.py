@@ -79,7 +79,8 @@ def get_online_features(store: DataFrame, requests: DataFrame, view: FeatureView
 
 def online_misses(store: DataFrame, requests: DataFrame, view: FeatureView) -> DataFrame:
     """Requests for entities the store does not hold."""
-    return requests.join(store.select(view.entity), view.entity, "left_anti")
+    missing = requests.select(view.entity).distinct().join(store.select(view.entity), view.entity, "left_anti")
+    return join_unique(requests, missing, [view.entity]).select(*requests.columns)
 
 
 def get_historical_features(entities: DataFrame, features: DataFrame, view: FeatureView,

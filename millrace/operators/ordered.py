@@ -12,8 +12,9 @@ _PLACE_BITS = 33
 
 
 def running_sums(df: DataFrame, order: str, sums: dict, keys=(),
-                 buckets: int | None = None) -> DataFrame:
-    """Add running totals along `order` within `keys`.
+                 buckets: int | None = None, totals: bool = False) -> DataFrame:
+    """Add running totals along `order` within `keys`, and with `totals` also each key's
+    whole sum as `<name>_total`.
 
     `sums` maps a new column to the column summed. `order` (a number or a time)
     must be unique within `keys`: group by it first. Rows are placed in range
@@ -27,14 +28,16 @@ def running_sums(df: DataFrame, order: str, sums: dict, keys=(),
         position = position.cast("timestamp")
     placed = with_bucket(df, position, buckets=buckets)
     group = keys + ["_bucket"]
-    totals = placed.groupBy(*group).agg(
+    sizes = placed.groupBy(*group).agg(
         *[F.sum(source).alias(f"_t_{new}") for new, source in sums.items()])
-    before = _by(W, keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    whole = _by(W, keys)
+    before = whole.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     # without keys the bucket totals are at most `buckets` rows, so one group may hold them
-    shifts = totals.select(
+    shifts = sizes.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_b"),
         *[F.coalesce(F.sum(f"_t_{new}").over(before), F.lit(0)).alias(f"_s_{new}")
-          for new in sums])
+          for new in sums],
+        *[F.sum(f"_t_{new}").over(whole).alias(f"{new}_total") for new in sums if totals])
     inside = W.partitionBy(*group).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     local = placed.select("*", *[F.sum(source).over(inside).alias(f"_l_{new}")
                                  for new, source in sums.items()])
@@ -45,7 +48,8 @@ def running_sums(df: DataFrame, order: str, sums: dict, keys=(),
     return (
         local.join(shifts, condition)
         .select(*df.columns, *[(F.col(f"_l_{new}") + F.col(f"_s_{new}")).alias(new)
-                               for new in sums])
+                               for new in sums],
+                *[f"{new}_total" for new in sums if totals])
     )
 
 
@@ -103,15 +107,8 @@ def cumulative_share(df: DataFrame, order: str, value: str, keys=(),
     """Running total of `value` along `order` and its share of the key's total."""
     keys = list(keys)
     summed = df.groupBy(*keys, order).agg(F.sum(value).alias(value))
-    running = running_sums(summed, order, {"cumulative": value}, keys, buckets)
-    if not keys:
-        total = df.agg(F.sum(value)).scalar()
-        return running.withColumn("share", F.try_divide("cumulative", total))
-    totals = df.groupBy(*keys).agg(F.sum(value).alias("_total"))
-    return (
-        running.join(totals, keys)
-        .withColumn("share", F.try_divide("cumulative", "_total")).drop("_total")
-    )
+    running = running_sums(summed, order, {"cumulative": value}, keys, buckets, totals=True)
+    return running.withColumn("share", F.try_divide("cumulative", "cumulative_total")).drop("cumulative_total")
 
 
 def in_flight(df: DataFrame, start: str, end: str, keys=(),

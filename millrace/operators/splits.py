@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.operators.balance import broadcast_if_small
+from millrace.operators.balance import broadcast_if_small, fits
+from millrace.operators.ordered import row_index
 
 _DIGITS = 15          # hexadecimal digits of the digest that are used: 60 bits
+MANY_CLASSES = 100_000
 _BUCKET_DIGITS = 3    # leading digits that name a bucket: 4096 of them
 
 
@@ -81,22 +83,22 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.2, se
 
     Each class gets the floor of its share of the test rows; what is left goes,
     one row each, to the classes with the greatest remainders (smallest label on
-    ties).
+    ties). Rows without a class stay in training.
     """
     tagged, counts = _tagged(df, key, seed, F.col(label).alias("_c"))
-    # one row per class
-    every = W.partitionBy(F.lit(0))
+    totals = counts.groupBy("_c").agg(F.sum("_n").alias("total"))
+    n = totals.agg(F.sum("total")).scalar()
     shares = (
-        counts.groupBy("_c").agg(F.sum("_n").alias("total"))
-        .withColumn("n_test", F.ceil(F.sum("total").over(every) * share))
-        .withColumn("want", F.col("n_test") * F.col("total") / F.sum("total").over(every))
-        .withColumn("base", F.floor("want"))
-    )
-    by_rest = every.orderBy(F.desc(F.round(F.col("want") - F.col("base"), 9)), "_c")
-    takes = (
-        shares.withColumn("left", F.col("n_test") - F.sum("base").over(every))
-        .select("_c", (F.col("base") + (F.row_number().over(by_rest) <= F.col("left")).cast("bigint")).alias("take"))
+        totals.withColumn("n_test", F.ceil(n * share))
+        .withColumn("want", F.col("n_test") * F.col("total") / n).withColumn("base", F.floor("want"))
     )
+    by_rest = [F.desc(F.round(F.col("want") - F.col("base"), 9)), F.col("_c")]
+    if fits(totals, MANY_CLASSES):
+        ranked = shares.withColumn("_nth", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*by_rest)) - 1)
+    else:
+        ranked = row_index(shares, by_rest, "_nth")
+    left = F.col("n_test") - shares.agg(F.sum("base")).scalar()
+    takes = ranked.select("_c", (F.col("base") + (F.col("_nth") < left).cast("bigint")).alias("take"))
     cuts = _cuts(tagged, _edge(counts.join(takes, "_c"), ["_c"]), "_c")
     return (
         df.withColumn("_c", F.col(label)).join(broadcast_if_small(cuts), "_c", "left")

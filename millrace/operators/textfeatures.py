@@ -6,7 +6,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.text import ngrams, tokens
-from millrace.operators.balance import broadcast_if_small
+from millrace.operators.balance import join_lookup
+
+SMALL_VOCABULARY = 100_000
 
 
 def english_stop_words() -> list[str]:
@@ -51,13 +53,17 @@ def tfidf_weights(df: DataFrame, key: str, cleaned: Column, stop_words=(), ngram
     """
     terms = term_rows(df, key, cleaned, stop_words, ngram_range)
     if max_features is None:
-        vocabulary = broadcast_if_small(document_terms(terms).filter(F.col("df") >= min_df))
+        vocabulary = document_terms(terms).filter(F.col("df") >= min_df)
     else:
         vocabulary = top_terms(terms, max_features, min_df)
-        vocabulary = F.broadcast(vocabulary) if max_features <= 100_000 else broadcast_if_small(vocabulary)
     n_docs = df.agg(F.count(F.lit(1))).scalar()
     idf = F.ln((1 + n_docs) / (1 + F.col("df"))) + 1
-    raw = terms.join(vocabulary.select("term", idf.alias("idf")), "term").select(
+    weighted = vocabulary.select("term", idf.alias("idf"))
+    if max_features is not None and max_features <= SMALL_VOCABULARY:
+        known = terms.join(F.broadcast(weighted), "term")
+    else:
+        known = join_lookup(terms, weighted, ["term"], SMALL_VOCABULARY)
+    raw = known.select(
         key, "term", ((1 + F.ln("tf")) * F.col("idf")).alias("weight"))
     # a document's terms lie together already, so its length needs no further shuffle
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy(key)))

@@ -18,7 +18,8 @@ ENVELOPE = "key STRING, value STRING, topic STRING, timestamp TIMESTAMP"
 
 # fixed values: delivery and polling settings
 SINK_OPTIONS = {"kafka.acks": "all", "kafka.retries": "3", "kafka.linger.ms": "10"}
-SOURCE_OPTIONS = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "100"}
+SOURCE_OPTIONS = {"startingOffsets": "earliest"}
+POLL_RECORDS = 100
 
 
 def encode(df: DataFrame, topic: str, key: str) -> DataFrame:
@@ -42,13 +43,16 @@ def split_corrupt(decoded: DataFrame):
     return good, decoded.filter(F.col("_corrupt").isNotNull()).select("_corrupt")
 
 
-def read_events(spark: SparkSession, fmt: str = "kafka", path=None, **options) -> DataFrame:
+def read_events(spark: SparkSession, fmt: str = "kafka", path=None, per_trigger: int | None = None, **options) -> DataFrame:
     """Stream of message envelopes.
 
-    "kafka" reads a topic from the earliest offset, at most 100 records per
-    trigger unless options say otherwise; the query's checkpoint takes the place
-    of group offsets. Any file format reads a folder holding the same envelope.
+    "kafka" reads a topic from the earliest offset; the query's checkpoint takes
+    the place of group offsets. `per_trigger` limits one micro-batch, for example
+    to POLL_RECORDS records; without it a batch takes all there is. Any file
+    format reads a folder holding the same envelope (the limit counts files).
     """
+    if per_trigger:
+        options["maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"] = str(per_trigger)
     if fmt == "kafka":
         return spark.readStream.format("kafka").options(**{**SOURCE_OPTIONS, **options}).load()
     return spark.readStream.format(fmt).schema(ENVELOPE).options(**options).load(path)
