@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 FEWEST_BUCKETS = 1 << 10
 MOST_BUCKETS = 1 << 16
+MANY_ROWS = 1_000_000
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -86,9 +87,11 @@ def join_unique(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     """Inner join with a `right` side that has one row per key, whatever `left` looks like.
 
     The rows of `left` with a hot key meet a broadcast of the few matching rows of
-    `right`; only the others are shuffled.
+    `right`; only the others are shuffled. A `left` of few rows is joined as it is.
     """
     keys = list(keys)
+    if fits(left.select(*keys), MANY_ROWS):
+        return left.join(right, keys)
     hot = hot_keys(left, keys)
     if hot.isEmpty():
         return left.join(right, keys)

@@ -273,6 +273,7 @@ def historical_features(spark, d):
     return featurestore.get_historical_features(b.entity_rows(spark, d), b.feature_rows(spark, d), VIEW)
 
 
+# fixed values: class names by code
 CLASS_NAMES = {0: "negative", 1: "neutral", 2: "positive"}
 _CLASS_SQL = "case prediction when 0 then 'negative' when 1 then 'neutral' when 2 then 'positive' end"
 

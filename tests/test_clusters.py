@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from millrace.operators import components, density, isolation, neighbors
+from millrace.operators import balance, components, density, isolation, neighbors
 
 
 def plane(spark, points):
@@ -35,8 +35,12 @@ CASES = {
 }
 
 
-@pytest.mark.parametrize("name", CASES)
-def test_dbscan_equals_brute_force(spark, name):
+@pytest.mark.parametrize("many", [0, 10**6])
+@pytest.mark.parametrize("name", ["hot point", "scattered", "crowded neighbours", "space"])
+def test_dbscan_equals_brute_force(spark, monkeypatch, name, many):
+    if many == 0 and name in ("scattered", "space"):
+        pytest.skip("no crowded cell to join apart")
+    monkeypatch.setattr(balance, "MANY_ROWS", many)
     points, eps = CASES[name], 0.4
     columns = [f"c{j}" for j in range(points.shape[1])]
     core, root, near = brute_dbscan(points, eps, 5)
@@ -62,6 +66,7 @@ def test_boxes_are_halved_when_crowded_cells_are_undecided(spark, monkeypatch):
 @pytest.mark.parametrize("many", [0, 10**6])
 def test_components_of_a_long_chain_and_a_star(spark, monkeypatch, many):
     monkeypatch.setattr(components, "MANY_EDGES", many)
+    monkeypatch.setattr(balance, "MANY_ROWS", many)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + j) for j in range(1, 200)]
     nodes = spark.createDataFrame([(i,) for i in list(range(61)) + list(range(100, 300)) + [999]], "node bigint")
     got = {r["node"]: r["component"] for r in components.connected_components(

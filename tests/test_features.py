@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import featurestore
+from millrace.operators import balance, featurestore
 from millrace.operators.featurestore import FeatureView
 
 VIEW = FeatureView("f", "k", "event_ts", {"x": "double"}, "created", timedelta(days=3))
@@ -54,7 +54,9 @@ def test_hot_entity_is_cut_into_buckets_and_still_exact(spark):
     pd.testing.assert_frame_equal(got[key].sort_values(key).reset_index(drop=True), want[key].sort_values(key).reset_index(drop=True))
 
 
-def test_online_lookup_keeps_order_and_repeats(spark):
+@pytest.mark.parametrize("many", [0, 10**6])
+def test_online_lookup_keeps_order_and_repeats(spark, monkeypatch, many):
+    monkeypatch.setattr(balance, "MANY_ROWS", many)
     store = featurestore.materialize(rows(spark, [(1, 0, 1, 1.0), (1, 1, 1, 2.0), (2, 0, 1, 3.0)]), VIEW)
     requests = spark.createDataFrame([(0, 2), (1, 1), (2, 2), (3, 9)], "position bigint, k bigint")
     got = featurestore.get_online_features(store, requests, VIEW, ["x", "none"]).orderBy("position").collect()

@@ -99,7 +99,8 @@ def test_quantile_from_buckets(spark):
     assert quantiles.histogram_quantile(none, 0.95, bounds).first()["quantile"] is None
 
 
-def test_join_unique_equals_a_plain_join(spark):
+def test_join_unique_equals_a_plain_join(spark, monkeypatch):
+    monkeypatch.setattr(balance, "MANY_ROWS", 10)
     left = skewed(spark)
     right = spark.createDataFrame([("hot", 1), ("k3", 2), ("none", 3)], "k string, w int")
     got = balance.join_unique(left, right, ["k"])
