@@ -126,11 +126,14 @@ def _cross_validator(estimator, grid, folds, parallelism):
 def cross_validate(df: DataFrame, estimator, folds: int, grid=None, parallelism: int = 4):
     """Accuracy of every parameter map: [(params, mean, population std)]. `df` has label, features, fold."""
     grid = grid or [{}]
-    rows = df.select("label", "features", "fold").persist()
+    rows = df.select("label", "features", "fold")
+    if not df.is_cached:
+        rows = rows.persist()
     try:
         model = _cross_validator(estimator, grid, folds, parallelism).fit(rows)
     finally:
-        rows.unpersist()
+        if not df.is_cached:
+            rows.unpersist()
     return [({p.name: v for p, v in params.items()}, float(m), float(s))
             for params, m, s in zip(grid, model.avgMetrics, model.stdMetrics)]
 
@@ -152,24 +155,28 @@ def classifier_benchmark(df: DataFrame, key: str, columns, label: str, folds: in
               for side in (train, test)]
     train = kfold_assign(shaped[0], key, folds, label="label").persist()
     test = shaped[1].persist()
+    train.count(), test.count()  # both are in memory before the fits start side by side
 
     def measured(name, scores, predictions):
         found = quality(predictions, label="label").first()
         return name, *scores, found["accuracy"], found["f1_weighted"]
 
-    rows = []
-    for name, estimator in benchmark_classifiers(**sizes).items():
+    def one(name, estimator):
         _, mean, std = cross_validate(train, estimator, folds)[0]
-        rows.append(measured(name, (mean, std), estimator.fit(train).transform(test)))
-    if knn:
-        def neighbours(fit_on, asked):
-            arrays = [side.select(key, "label", vector_to_array("features").alias("v")) for side in (fit_on, asked)]
-            votes = knn_vote(knn_topk(*arrays, knn, key, "v"), arrays[0], key)
-            return asked.select(F.col(key).alias("query_id"), "label").join(votes, "query_id")
+        return measured(name, (mean, std), estimator.fit(train).transform(test))
+
+    def neighbours(fit_on, asked):
+        arrays = [side.select(key, "label", vector_to_array("features").alias("v")) for side in (fit_on, asked)]
+        votes = knn_vote(knn_topk(*arrays, knn, key, "v"), arrays[0], key)
+        return asked.select(F.col(key).alias("query_id"), "label").join(votes, "query_id")
 
+    def by_neighbours():
         scores = [quality(neighbours(train.filter(F.col("fold") != i), train.filter(F.col("fold") == i)),
                           label="label").first()["accuracy"] for i in range(folds)]
-        rows.append(measured("KNN", (float(np.mean(scores)), float(np.std(scores))), neighbours(train, test)))
+        return measured("KNN", (float(np.mean(scores)), float(np.std(scores))), neighbours(train, test))
+
+    tasks = [(lambda a=pair: one(*a)) for pair in benchmark_classifiers(**sizes).items()]
+    rows = _in_parallel(tasks + ([by_neighbours] if knn else []))
     train.unpersist()
     test.unpersist()
     digits = [(name, *[round(float(x), 4) for x in values]) for name, *values in rows]
