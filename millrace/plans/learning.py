@@ -231,7 +231,7 @@ def text_classifier(spark, d):
     kept = docs.filter(text.word_count(F.col("c")) >= 3)
     rows, _ = learn.term_vectors(kept, "doc_id", F.col("c"), ["label"], stop_words=STOP_WORDS)
     marked = splits.stratified_split(rows, "doc_id", "label").persist()
-    model = learn.text_classifier(marked.filter(~F.col("is_test")), max_iter=100)
+    model = learn.text_classifier(marked.filter(~F.col("is_test")), max_iter=40)
     scored = model.transform(marked.filter("is_test"))
     return evaluation.classification_report(scored, "label", "prediction")
 
