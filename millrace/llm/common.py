@@ -14,7 +14,8 @@ def table(spark, folder, name) -> DataFrame:
 
 def whole_text(column) -> Column:
     """The text, a null one as the empty text."""
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+    column = F.col(column) if isinstance(column, str) else column
+    return F.coalesce(column.cast("string"), F.lit(""))
 
 
 def lower_ascii(column) -> Column:

@@ -20,9 +20,7 @@ def codec(spark):
 
 
 def token_report(docs, coder):
-    coded = tokens.decode(tokens.encode(docs, coder), coder)
-    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-                        tokens.ids_digest("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return docs.select("doc_id", coder.round_trip("text").alias("coded")).select("doc_id", "coded.*")
 
 
 @query("op7_byte_bpe")

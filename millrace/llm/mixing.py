@@ -28,6 +28,7 @@ from millrace.session import cut_lineage
 GOLDEN = 0.6180339887498949
 PARTS_A_PARTITION = 4
 BLOCK_WORDS = 256
+_WORD_ENDS = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 
 
 def source_targets(sizes: DataFrame, weights, share: float, most_repeats: int) -> DataFrame:
@@ -144,8 +145,8 @@ def mix(docs: DataFrame, weights, share=1.5, most_repeats=2, block_words=BLOCK_W
     narrow = rows.drop("row")
     takes = _taken(narrow, weights, share, most_repeats, block_words).filter("taken > 0").select(
         "row_no", "size", F.explode("copies").alias("words"))
-    lead = F.expr(r"regexp_extract(row.`%s`, concat('^[\\x20\\x09-\\x0D]*([^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*){', "
-                  r"words, '}'), 0)" % text_col)
+    whole = whole_text(F.col(f"row.{text_col}"))
+    lead = F.array_join(F.slice(F.split(whole, _WORD_ENDS), F.lit(1), F.col("words").cast("int")), "")
     text = F.when(F.col("words") < F.col("size"), lead).otherwise(F.col(f"row.{text_col}"))
     return rows.select("row_no", "row").join(takes, "row_no").select(
         *[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

@@ -11,12 +11,12 @@ place, so repeated rows and ids do not matter; an empty table gives no rows.
 """
 
 import base64
+import hashlib
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from millrace.llm.common import whole_text
 
@@ -54,6 +54,15 @@ def encode_text(tokenizer, text: str, most: int = LONG) -> np.ndarray:
     return np.concatenate([np.asarray(part, dtype=np.uint32) for part in parts])
 
 
+def decode_ids(tokenizer, ids) -> bytes:
+    return tokenizer.decode_bytes(np.asarray(ids).tolist())
+
+
+def ids_digest(ids) -> str:
+    """SHA-256 of ids as little-endian unsigned 32-bit integers."""
+    return hashlib.sha256(np.asarray(ids).astype("<u4").tobytes()).hexdigest()
+
+
 def _here(shared):
     """The worker's encoder for a broadcast (ranks, pattern), built once per worker."""
     key = shared.id if hasattr(shared, "id") else id(shared)
@@ -88,10 +97,27 @@ class Codec:
         @F.pandas_udf("binary")
         def raw(ids: pd.Series) -> pd.Series:
             tokenizer = _here(shared)
-            return ids.map(lambda some: tokenizer.decode_bytes([int(i) for i in some]))
+            return ids.map(lambda some: decode_ids(tokenizer, some))
 
         return raw(F.coalesce(F.col(column), F.array().cast("array<int>")))
 
+    def round_trip(self, column) -> Column:
+        """n_tokens, ids_sha256 and decoded_sha256 of each text, encoded and decoded again.
+
+        One text at a time in one worker: neither ids nor decoded bytes of a batch are held or moved.
+        """
+        shared = self._shared
+
+        @F.pandas_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        def reported(texts: pd.Series) -> pd.DataFrame:
+            tokenizer, rows = _here(shared), []
+            for text in texts:
+                ids = encode_text(tokenizer, text)
+                rows.append((len(ids), ids_digest(ids), hashlib.sha256(decode_ids(tokenizer, ids)).hexdigest()))
+            return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+        return reported(whole_text(column))
+
 
 def encode(docs: DataFrame, codec: Codec, id_col="doc_id", text_col="text") -> DataFrame:
     """(doc_id, ids) for every row of `docs`."""
@@ -101,11 +127,3 @@ def encode(docs: DataFrame, codec: Codec, id_col="doc_id", text_col="text") -> D
 def decode(encoded: DataFrame, codec: Codec, ids_col="ids") -> DataFrame:
     """`encoded` with the decoded bytes."""
     return encoded.withColumn("decoded", codec.decoded(ids_col))
-
-
-@F.pandas_udf(StringType())
-def ids_digest(ids: pd.Series) -> pd.Series:
-    """SHA-256 of the ids as little-endian unsigned 32-bit integers."""
-    import hashlib
-
-    return ids.map(lambda some: hashlib.sha256(np.asarray(some, dtype="<u4").tobytes()).hexdigest())
