@@ -24,7 +24,7 @@ import base64
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
@@ -195,10 +195,13 @@ class Digester:
         return digested(whole_text(text_col))
 
 
-@F.pandas_udf(DoubleType())
-def likeness_of(a: pd.Series, b: pd.Series) -> pd.Series:
+def likeness_of(a, b) -> Column:
     """The likeness of two digest columns."""
-    return pd.Series([likeness(from_text(x), from_text(y)) for x, y in zip(a, b)], dtype="float64")
+    @F.pandas_udf(DoubleType())
+    def compared(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([likeness(from_text(p), from_text(q)) for p, q in zip(x, y)], dtype="float64")
+
+    return compared(a, b)
 
 
 def fingerprint(docs: DataFrame, histogram: np.ndarray | None = None, id_col="doc_id", text_col="text") -> DataFrame:

@@ -106,7 +106,7 @@ class BKTree:
 
 
 def forest(values, radius: int):
-    """Links (larger, smaller index) that join the values into their components, one fewer than each has."""
+    """Pairs of indexes within the radius that join the values into their components, one fewer than each has."""
     tree, parent, links = BKTree(), [], []
 
     def root(i):
@@ -123,7 +123,7 @@ def forest(values, radius: int):
             a, b = root(new), root(other)
             if a != b:
                 parent[max(a, b)] = min(a, b)
-                links.append((max(a, b), min(a, b)))
+                links.append((new, other))
     return links
 
 

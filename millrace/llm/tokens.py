@@ -99,7 +99,7 @@ class Codec:
             tokenizer = _here(shared)
             return ids.map(lambda some: decode_ids(tokenizer, some))
 
-        return raw(F.coalesce(F.col(column), F.array().cast("array<int>")))
+        return raw(F.coalesce(F.col(column) if isinstance(column, str) else column, F.array().cast("array<int>")))
 
     def round_trip(self, column) -> Column:
         """n_tokens, ids_sha256 and decoded_sha256 of each text, encoded and decoded again.
