@@ -10,6 +10,7 @@ from millrace.llm.common import shuffle_partitions, table, whole_text
 from millrace.llm.kneser_ney import KneserNey
 from millrace.llm.registry import query
 from millrace.operators.balance import bucket_by, split_points
+from millrace.session import cut_lineage
 
 SHINGLE, RADIUS = 3, 2
 URL_RULES = (urls.UrlRule("allow", "com/"), urls.UrlRule("block", "example.com/en/"),
@@ -131,6 +132,8 @@ def _compare_with_next(digester):
                 if len(out) >= 1024:
                     yield pd.DataFrame(out, columns=names)
                     out = []
+        if waiting:
+            raise RuntimeError("a bucket came without the first row of the next one")
         yield pd.DataFrame(out, columns=names)
 
     return run
@@ -143,7 +146,8 @@ def edited_fingerprints(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", whole_text("text").alias("text"))
     digester = fingerprints.Digester(fingerprints.class_histogram(docs))
     buckets = 1 << (4 * shuffle_partitions(docs) - 1).bit_length()
-    splits = docs.agg(split_points(F.col("doc_id"), buckets)).scalar()
+    # approximate quantiles may differ from one run to the next, so they are written: both uses must agree
+    splits = cut_lineage(docs.agg(split_points(F.col("doc_id"), buckets).alias("splits")), "id-splits").scalar()
     placed = bucket_by(docs, F.col("doc_id"), splits, "bucket", buckets)
     # one row per bucket
     firsts = bucket_by(docs.select("doc_id"), F.col("doc_id"), splits, "bucket", buckets).groupBy("bucket").agg(
