@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 FEWEST_BUCKETS = 1 << 10
 MOST_BUCKETS = 1 << 16
-MANY_ROWS = 1_000_000
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -66,36 +65,3 @@ def hot_keys(df: DataFrame, keys, parts: int | None = None) -> DataFrame:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
     return counts.filter(F.col("_rows") * parts > total).select(*keys)
-
-
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether `df` has at most `rows` rows; reads no more than one row beyond."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """Mark `df` for broadcast after counting it, else leave it to a shuffle join."""
-    return F.broadcast(df) if fits(df, rows) else df
-
-
-def join_lookup(left: DataFrame, right: DataFrame, keys, rows: int = 100_000) -> DataFrame:
-    """Inner join with a one-row-per-key side: broadcast once counted as small, else `join_unique`."""
-    return left.join(F.broadcast(right), list(keys)) if fits(right, rows) else join_unique(left, right, keys)
-
-
-def join_unique(left: DataFrame, right: DataFrame, keys) -> DataFrame:
-    """Inner join with a `right` side that has one row per key, whatever `left` looks like.
-
-    The rows of `left` with a hot key meet a broadcast of the few matching rows of
-    `right`; only the others are shuffled. A `left` of few rows is joined as it is.
-    """
-    keys = list(keys)
-    if fits(left.select(*keys), MANY_ROWS):
-        return left.join(right, keys)
-    hot = hot_keys(left, keys)
-    if hot.isEmpty():
-        return left.join(right, keys)
-    hot = F.broadcast(hot)
-    few = F.broadcast(right.join(hot, keys, "left_semi"))  # one row per hot key
-    return left.join(hot, keys, "left_semi").join(few, keys).unionByName(
-        left.join(hot, keys, "left_anti").join(right, keys))

@@ -3,25 +3,20 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.balance import join_unique
 from millrace.operators.runs import fingerprint
 from millrace.session import cut_lineage
 
 
-MANY_EDGES = 1_000_000  # from here on a node with very many neighbours is worth looking for
-
-
 def _links(df):
     return df.select("u", "v").filter(F.col("u") != F.col("v")).distinct()
 
 
-def _large_star(edges, many):
+def _large_star(edges):
     """Every larger neighbour of a node is linked to the node's smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     lowest = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
     upwards = both.filter(F.col("v") > F.col("u"))
-    joined = join_unique(upwards, lowest, ["u"]) if many else upwards.join(lowest, "u")
-    return _links(joined.select(F.col("v").alias("u"), F.col("m").alias("v")))
+    return _links(upwards.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def _small_star(edges):
@@ -43,7 +38,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     current = cut_lineage(_links(edges.select("u", "v")), "edges")
     mark = fingerprint(current).first()
     for _ in range(max_rounds):
-        following = cut_lineage(_small_star(_large_star(current, mark["n_rows"] > MANY_EDGES)), "edges")
+        following = cut_lineage(_small_star(_large_star(current)), "edges")
         next_mark = fingerprint(following).first()
         # equal digests are cheap to see; that nothing changed is then made sure of row by row
         settled = mark == next_mark and following.join(current, ["u", "v"], "left_anti").isEmpty()

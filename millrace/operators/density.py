@@ -13,7 +13,6 @@ from math import ceil, sqrt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.balance import join_unique
 from millrace.operators.components import connected_components
 from millrace.operators.frames import union_sets
 from millrace.operators.ordered import row_index
@@ -46,7 +45,7 @@ def _meet(thin, others, dims, reach, condition, own=False):
     and its visitors go to every part, so no join key holds more than CELL_ROWS rows.
     """
     sizes = others.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("parts"))
-    spread = join_unique(others, sizes, ["cell"]).withColumn("part", F.pmod(F.xxhash64("p"), F.col("parts")).cast("int")).select(
+    spread = others.join(sizes, "cell").withColumn("part", F.pmod(F.xxhash64("p"), F.col("parts")).cast("int")).select(
         "cell", "part", F.struct(*[c for c in others.columns if c != "cell"]).alias("o"))
     visits = (
         thin.withColumn("cell", F.explode(_around(F.col("cell"), dims, reach, own)))
@@ -72,7 +71,7 @@ def core_points(df: DataFrame, columns, eps: float = 0.5, min_points: int = 5):
     )
     positions = cut_lineage(positions, "positions")
     cells = positions.groupBy("cell").agg(F.sum("weight").alias("cell_weight"))
-    weighed = join_unique(positions, cells, ["cell"])
+    weighed = positions.join(cells, "cell")
     thin = weighed.filter(F.col("cell_weight") < min_points)
     near = (
         _meet(thin.select("cell", "p", "cell_weight"), positions.select("cell", "p", "weight"), dims, reach,
@@ -147,7 +146,7 @@ def cell_links(core: DataFrame, columns, eps: float, side: float, reach: int) ->
         if crowded.isEmpty():
             break
         cells = crowded.select(F.col("a").alias("cell")).unionByName(crowded.select(F.col("b").alias("cell"))).distinct()
-        finer = cut_lineage(_boxes(join_unique(core, cells, ["cell"]), columns, side, level + 1), "boxes")
+        finer = cut_lineage(_boxes(core.join(cells, "cell"), columns, side, level + 1), "boxes")
         pairs = (
             crowded.select("a", "b", F.col("sub_a").alias("up_a"), F.col("sub_b").alias("up_b"))
             .join(_halves(finer, "a", dims), ["a", "up_a"]).join(_halves(finer, "b", dims), ["b", "up_b"])
@@ -185,7 +184,7 @@ def dbscan(df: DataFrame, key: str, columns, eps: float = 0.5, min_points: int =
     components = connected_components(nodes, links)
     numbers = row_index(components.select("component").distinct(), ["component"], "cluster")
     labels = components.join(numbers, "component").select(F.col("node").alias("cell"), "cluster")
-    labelled = join_unique(core, labels, ["cell"]).select("p", "cell", "cluster")
+    labelled = core.join(labels, "cell").select("p", "cell", "cluster")
     border = (
         _meet(flagged.filter(~F.col("is_core")).select("cell", "p"), labelled, len(columns), reach,
               _gap("p", "o.p", columns) <= eps, own=True)
@@ -210,7 +209,7 @@ def _rows_at(df, placed, columns):
     """All rows of `df` with what is known of their position; a position may hold very many rows."""
     at = [f"_{c}" for c in columns]
     rows = df.withColumns({name: F.col(c).cast("double") for name, c in zip(at, columns)})
-    return join_unique(rows, placed, at).drop(*at)
+    return rows.join(placed, list(at)).drop(*at)
 
 
 def cluster_counts(labels: DataFrame) -> DataFrame:

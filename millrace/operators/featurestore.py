@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.operators.balance import bucket_by, bucket_count, hot_keys, join_unique, split_points
+from millrace.operators.balance import bucket_by, bucket_count, hot_keys, split_points
 from millrace.operators.ordered import latest_by
 
 
@@ -67,12 +67,12 @@ def get_online_features(store: DataFrame, requests: DataFrame, view: FeatureView
                         position: str = "position") -> DataFrame:
     """One row per request whose entity is known; unknown feature names give null.
 
-    Requests carry their place in `position`, so order and repeats survive. An
-    entity asked for very often does not pile up in one task.
+    Requests carry their place in `position`, so order and repeats survive. The
+    store has one row per entity; adaptive execution splits an entity asked for very often.
     """
     wanted = [F.col(n) if n in store.columns else F.lit(None).cast("double").alias(n) for n in names]
     return (
-        join_unique(requests.select(position, view.entity), store, [view.entity])
+        requests.select(position, view.entity).join(store, view.entity)
         .select(position, view.entity, *wanted)
     )
 
@@ -80,7 +80,7 @@ def get_online_features(store: DataFrame, requests: DataFrame, view: FeatureView
 def online_misses(store: DataFrame, requests: DataFrame, view: FeatureView) -> DataFrame:
     """Requests for entities the store does not hold."""
     missing = requests.select(view.entity).distinct().join(store.select(view.entity), view.entity, "left_anti")
-    return join_unique(requests, missing, [view.entity]).select(*requests.columns)
+    return requests.join(missing, view.entity).select(*requests.columns)
 
 
 def get_historical_features(entities: DataFrame, features: DataFrame, view: FeatureView,

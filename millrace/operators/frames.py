@@ -65,6 +65,6 @@ def head_n(df: DataFrame, n: int, *order) -> DataFrame:
 
 def best_run(df: DataFrame, metric: str, run_id: str, keep, keys=()) -> DataFrame:
     """The run with the greatest metric (smallest id on ties) and its other columns."""
-    best = F.max_by(F.struct(run_id, metric, *keep),
-                    F.struct(F.col(metric), -F.col(run_id))).alias("_best")
+    best = F.min_by(F.struct(run_id, metric, *keep),
+                    F.struct(-F.col(metric), F.col(run_id))).alias("_best")
     return df.filter(F.col(metric).isNotNull()).groupBy(*keys).agg(best).select(*keys, "_best.*")

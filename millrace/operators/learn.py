@@ -21,7 +21,6 @@ from pyspark.sql import types as T
 
 from millrace.functions.arrays import argmax, named_probabilities
 from millrace.functions.scalars import label_name
-from millrace.operators.balance import join_lookup
 from millrace.operators.evaluation import (
     classification_report, quality, quality_gate, regression_metrics,
 )
@@ -86,7 +85,7 @@ def term_vectors(df: DataFrame, key: str, cleaned, keep=(), **tfidf) -> tuple[Da
         "vocabulary")
     size = vocabulary.count()
     entries = F.array_sort(F.collect_list(F.struct("index", "weight")))
-    vectors = join_lookup(weights, vocabulary, ["term"]).groupBy(key).agg(entries.alias("_e"))
+    vectors = weights.join(vocabulary, "term").groupBy(key).agg(entries.alias("_e"))
     empty = F.array().cast("array<struct<index:int,weight:double>>")
     rows = df.select(key, *keep).join(vectors, key, "left").withColumn("_e", F.coalesce("_e", empty)).select(
         key, *keep, F.struct(

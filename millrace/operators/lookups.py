@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import label_name
-from millrace.operators.balance import broadcast_if_small
 
 
 def label_lookup(df: DataFrame, code: str, names: dict, name: str = "class_name") -> DataFrame:
@@ -37,10 +36,9 @@ def diff_runs(runs: DataFrame, baseline, run_id="run_id", key="key", value="valu
 
     Metrics only the baseline has appear once with a null run.
     """
-    base = broadcast_if_small(
-        runs.filter(F.col(run_id) == baseline).select(F.col(key), F.col(value).alias("baseline_value")))
+    base = runs.filter(F.col(run_id) == baseline).select(F.col(key), F.col(value).alias("baseline_value"))
     others = runs.filter(F.col(run_id) != baseline).select(run_id, key, F.col(value).alias("run_value"))
-    # few metric names hold all rows, so the baseline goes to the rows and not the rows to their metric
+    # a run has few metrics: adaptive execution sees their true size and sends them to the rows
     only_base = base.join(others.select(key).distinct(), key, "left_anti")
     return (
         others.join(base, key, "left").unionByName(only_base, allowMissingColumns=True)

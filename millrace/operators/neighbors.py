@@ -139,5 +139,5 @@ def knn_vote(neighbors: DataFrame, labels: DataFrame, key: str = "id", label: st
         .groupBy("query_id", label).agg(F.count(F.lit(1)).alias("votes"))
     )
     return votes.groupBy("query_id").agg(
-        F.max_by(F.struct(F.col(label).alias("prediction"), "votes"), F.struct("votes", -F.col(label))).alias("b")
+        F.min_by(F.struct(F.col(label).alias("prediction"), "votes"), F.struct(-F.col("votes"), F.col(label))).alias("b")
     ).select("query_id", "b.prediction", "b.votes")

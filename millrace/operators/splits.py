@@ -10,11 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.operators.balance import broadcast_if_small, fits
-from millrace.operators.ordered import row_index
 
 _DIGITS = 15          # hexadecimal digits of the digest that are used: 60 bits
-MANY_CLASSES = 100_000
 _BUCKET_DIGITS = 3    # leading digits that name a bucket: 4096 of them
 
 
@@ -57,7 +54,7 @@ def _cuts(tagged, edge, *names):
     """The places at which each class's quota ends: only the bucket holding it is ordered."""
     order = W.partitionBy(*names, "_b").orderBy("_p")
     return (
-        tagged.join(broadcast_if_small(edge), [*names, "_b"])
+        tagged.join(edge, [*names, "_b"])
         .withColumn("_r", F.row_number().over(order)).filter(F.col("_r") == F.col("_k"))
         .select(*names, F.col("_p").alias("_cut"))
     )
@@ -93,15 +90,13 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.2, se
         .withColumn("want", F.col("n_test") * F.col("total") / n).withColumn("base", F.floor("want"))
     )
     by_rest = [F.desc(F.round(F.col("want") - F.col("base"), 9)), F.col("_c")]
-    if fits(totals, MANY_CLASSES):
-        ranked = shares.withColumn("_nth", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*by_rest)) - 1)
-    else:
-        ranked = row_index(shares, by_rest, "_nth")
+    # one row per class
+    ranked = shares.withColumn("_nth", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*by_rest)) - 1)
     left = F.col("n_test") - shares.agg(F.sum("base")).scalar()
     takes = ranked.select("_c", (F.col("base") + (F.col("_nth") < left).cast("bigint")).alias("take"))
     cuts = _cuts(tagged, _edge(counts.join(takes, "_c"), ["_c"]), "_c")
     return (
-        df.withColumn("_c", F.col(label)).join(broadcast_if_small(cuts), "_c", "left")
+        df.withColumn("_c", F.col(label)).join(cuts, "_c", "left")
         .withColumn("is_test", F.coalesce(_place(key, seed) <= F.col("_cut"), F.lit(False)))
         .drop("_c", "_cut")
     )

@@ -6,7 +6,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.text import ngrams, tokens
-from millrace.operators.balance import join_lookup
 
 SMALL_VOCABULARY = 100_000
 
@@ -49,7 +48,7 @@ def tfidf_weights(df: DataFrame, key: str, cleaned: Column, stop_words=(), ngram
     """(key, term, weight): (1 + ln tf) x (ln((1 + n) / (1 + df)) + 1), each document scaled to length 1.
 
     n counts all documents, also those without terms. The vocabulary is
-    broadcast when `max_features` bounds it, else after counting it.
+    broadcast when `max_features` bounds it.
     """
     terms = term_rows(df, key, cleaned, stop_words, ngram_range)
     if max_features is None:
@@ -62,7 +61,7 @@ def tfidf_weights(df: DataFrame, key: str, cleaned: Column, stop_words=(), ngram
     if max_features is not None and max_features <= SMALL_VOCABULARY:
         known = terms.join(F.broadcast(weighted), "term")
     else:
-        known = join_lookup(terms, weighted, ["term"], SMALL_VOCABULARY)
+        known = terms.join(weighted, "term")
     raw = known.select(
         key, "term", ((1 + F.ln("tf")) * F.col("idf")).alias("weight"))
     # a document's terms lie together already, so its length needs no further shuffle

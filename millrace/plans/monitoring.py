@@ -23,10 +23,12 @@ ks_steps as (
 ks as (
   select feature, max(abs(r_upto / n_ref - c_upto / n_cur)) as d, max(n_ref)::bigint as n_ref, max(n_cur)::bigint as n_cur
   from ks_steps group by feature),
+ks_x as (select *, d * d * n_ref * n_cur / (n_ref + n_cur) as x2 from ks),
 ks_p as (
-  select feature, d, n_ref, n_cur, case when d <= 0 then 1.0 else least(greatest(2 * (
-      select sum((case when k % 2 = 1 then 1.0::double else -1.0::double end) * exp(-2.0::double * k * k * d * d * n_ref * n_cur / (n_ref + n_cur)))
-      from range(1, 101) t(k)), 0.0), 1.0) end as p from ks)"""
+  select feature, d, n_ref, n_cur, case when d <= 0 or x2 < 0.001 then 1.0 else least(greatest(case when x2 >= 1 then 2 * (
+      select sum((case when k % 2 = 1 then 1.0::double else -1.0::double end) * exp(-2.0::double * k * k * x2)) from range(1, 101) t(k))
+      else 1 - sqrt(2 * pi() / x2) * (select sum(exp(0 - pow((2 * k - 1) * pi(), 2) / (8 * x2))) from range(1, 41) t(k)) end, 0.0), 1.0) end as p
+  from ks_x)"""
 
 PSI = """psi_edges as (
   select feature, quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) as edges
@@ -58,6 +60,34 @@ def ks_test(spark, d):
     return drift.ks_test(*b.drift_samples(spark, d), b.DRIFT_COLUMNS)
 
 
+_NEAR = """drift_long as (
+  select 'one_changed' as feature, l_extendedprice as value, true as is_ref from lineitem
+  union all select 'one_changed', case when l_orderkey = m and l_linenumber = 1 then -1 else l_extendedprice end, false
+  from lineitem, (select min(l_orderkey) as m from lineitem)
+  union all select 'few_changed', l_extendedprice, true from lineitem
+  union all select 'few_changed', case when l_orderkey % 100 = 0 then -1 else l_extendedprice end, false from lineitem
+  union all select 'all_null', null, true from lineitem where false)"""
+
+
+@query("ks_near_equal", b.with_ctes(_NEAR, KS) + f"""
+select f.feature, ks_statistic, ks_p_value, ks_drift, ks_threshold, method, psi_known from
+(select unnest(['all_null', 'few_changed', 'one_changed']) as feature, unnest([false, true, true]) as psi_known) f
+left join (select {_KS_COLUMNS} from ks_p) k on f.feature = k.feature""")
+def ks_near_equal(spark, d):
+    """Samples that differ in one row and in one row of a hundred, and a column without values."""
+    lines = b.table(spark, d, "lineitem")
+    first = lines.agg(F.min("l_orderkey")).scalar()
+    price, key = F.col("l_extendedprice"), F.col("l_orderkey")
+    none = F.lit(None).cast("double").alias("all_null")
+    reference = lines.select(price.alias("one_changed"), price.alias("few_changed"), none)
+    current = lines.select(
+        F.when((key == first) & (F.col("l_linenumber") == 1), -1.0).otherwise(price).alias("one_changed"),
+        F.when(key % 100 == 0, -1.0).otherwise(price).alias("few_changed"), none)
+    return drift.drift_report(reference, current).select(
+        "feature", "ks_statistic", "ks_p_value", "ks_drift", "ks_threshold", "method",
+        F.col("psi").isNotNull().alias("psi_known"))
+
+
 @query("psi", b.with_ctes(b.DRIFT, PSI) + f"select {_PSI_COLUMNS} from psi")
 def psi(spark, d):
     return drift.psi(*b.drift_samples(spark, d), b.DRIFT_COLUMNS)

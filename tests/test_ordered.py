@@ -99,16 +99,6 @@ def test_quantile_from_buckets(spark):
     assert quantiles.histogram_quantile(none, 0.95, bounds).first()["quantile"] is None
 
 
-def test_join_unique_equals_a_plain_join(spark, monkeypatch):
-    monkeypatch.setattr(balance, "MANY_ROWS", 10)
-    left = skewed(spark)
-    right = spark.createDataFrame([("hot", 1), ("k3", 2), ("none", 3)], "k string, w int")
-    got = balance.join_unique(left, right, ["k"])
-    assert sorted(got.collect()) == sorted(left.join(right, "k").select(*got.columns).collect())
-    assert "_hot" not in got.columns and got.filter("k = 'hot'").count() == left.filter("k = 'hot'").count()
-    assert sorted(balance.join_lookup(left, right, ["k"], rows=1).collect()) == sorted(got.collect())
-
-
 def test_whole_sums_come_with_running_sums(spark):
     got = ordered.running_sums(skewed(spark), "id", {"total": "v"}, ["k"], buckets=16, totals=True).toPandas()
     assert np.allclose(got["total_total"], got.groupby("k")["v"].transform("sum"))

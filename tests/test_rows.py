@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import scalars, text
-from millrace.operators import aggregates, evaluation, frames, runs, validation
+from millrace.operators import aggregates, evaluation, frames, neighbors, runs, validation
 from millrace.sources import events as ev
 from millrace.sources import files
 
@@ -41,11 +41,13 @@ def test_batch_limit_edge(spark):
 
 
 def test_flagship_on_literal_rows(spark):
-    rows = [("a", 0.91, "success"), ("b", 0.84, "success"), ("a", 0.78, "degraded"), ("b", 0.95, "success"), ("a", 0.62, "failure")]
+    rows = [("left", 0.5, "failure"), ("right", 0.6, "success"), ("left", 0.3, "success"), ("right", 0.7, "degraded"),
+            ("right", 0.8, "failure"), ("left", 0.1, "failure")]
     df = files.from_rows(spark, rows, "model string, accuracy double, status string")
     got = aggregates.model_performance(df).collect()
-    assert [r["model"] for r in got] == ["b", "a"]
-    assert got[1]["avg_accuracy"] == pytest.approx(0.77) and got[1]["failure_rate"] == pytest.approx(1 / 3)
+    assert [r["model"] for r in got] == ["right", "left"]
+    assert [r["avg_accuracy"] for r in got] == pytest.approx([0.7, 0.3])
+    assert [r["failure_rate"] for r in got] == pytest.approx([1 / 3, 2 / 3])
 
 
 def test_empty_frames_do_not_fail(spark):
@@ -65,6 +67,14 @@ def test_replicate_and_missing_metric(spark):
     assert frames.low_confidence(low, 0.7).count() == 1 and frames.low_confidence(low, 0.6).count() == 0
 
 
+def test_best_run_and_votes_take_text_names(spark):
+    runs = spark.createDataFrame([("run-b", 0.9), ("run-a", 0.9), ("run-c", 0.4)], "run_id string, accuracy double")
+    assert frames.best_run(runs, "accuracy", "run_id", []).first()["run_id"] == "run-a"
+    near = spark.createDataFrame([(1, 10), (1, 11), (2, 10)], "query_id int, neighbor_id int")
+    labels = spark.createDataFrame([(10, "dog"), (11, "cat")], "id int, label string")
+    assert {r["query_id"]: r["prediction"] for r in neighbors.knn_vote(near, labels).collect()} == {1: "cat", 2: "dog"}
+
+
 def test_event_json_and_bad_messages(spark):
     df = spark.createDataFrame([("r1", 2, [0.1, 0.9])], "request_id string, prediction int, probabilities array<double>")
     row = ev.encode(df, ev.TOPIC_PREDICTIONS, "request_id").first()

@@ -46,10 +46,3 @@ def test_folds_are_balanced_within_classes(spark):
 def test_random_split_covers_everything(spark):
     train, test = splits.random_split(labelled(spark), 0.2)
     assert train.count() + test.count() == 1001
-
-
-def test_many_classes_are_ranked_without_one_task(spark, monkeypatch):
-    want = splits.stratified_split(labelled(spark), "id", "y", 0.2).filter("is_test").select("id").collect()
-    monkeypatch.setattr(splits, "MANY_CLASSES", 1)
-    got = splits.stratified_split(labelled(spark), "id", "y", 0.2).filter("is_test").select("id").collect()
-    assert sorted(got) == sorted(want)
