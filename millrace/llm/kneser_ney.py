@@ -42,7 +42,7 @@ from millrace.session import scratch_path
 
 VOCABULARY_TOKENS = 1 << 21  # text tokens to a vocabulary shard
 PAIR_TOKENS = 1 << 20        # text tokens to a pair shard
-ID_RANGE = 1 << 20           # ids to a file of id statistics
+ID_RANGE = 1 << 18           # ids to a file of id statistics
 _BITS = 32                   # of an id in a pair key
 _TOGETHER = 1 << 20          # characters tokenised together
 _HELD = 1 << 22              # distinct keys a batch holds before it sends them on
@@ -326,7 +326,7 @@ class KneserNey:
         sizes = {1: np.zeros(6, dtype=np.int64), 2: np.zeros(6, dtype=np.int64)}
         spread = statistics.withColumn("spread", F.when(
             F.col("shard") < 0, F.pmod(F.xxhash64("data"), F.lit(ranges))).otherwise(F.col("shard")))
-        placed = spread.repartition(ranges, "spread").drop("spread").sortWithinPartitions("shard")
+        placed = spread.repartition(4 * ranges, "spread").drop("spread").sortWithinPartitions("shard")
         for row in placed.mapInPandas(add_up, "order int, sizes array<bigint>").collect():  # counts of counts
             sizes[row["order"]] += np.array(row["sizes"], dtype=np.int64)
         for order, of in sizes.items():
