@@ -73,6 +73,7 @@ def schedule(targets: DataFrame, block_words: int) -> DataFrame:
         f" + (words % source_size + {block - 1}) div {block}"))
     bounds = wanted.withColumn("to", F.sum("words").over(everything.orderBy("is_null", "key"))
                                / F.sum("words").over(everything)).select("key", "needed", "to")
+    bounds = cut_lineage(bounds, "mix-bounds")  # read by several subqueries
     n, sources = bounds.agg(F.coalesce(F.sum("needed"), F.lit(0)), F.count(F.lit(1))).first()  # two numbers
     edges = F.array_sort(F.collect_list(F.struct("to", "key")))
     known = bounds.agg(edges.alias("edges"))
