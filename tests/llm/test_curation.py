@@ -55,7 +55,7 @@ def test_every_shard_holds_the_mixture(spark, make):
     for r in got:
         total[r.stratum] += r["count"]
     for r in got:
-        assert abs(r["count"] - total[r.stratum] / 10) <= 1
+        assert abs(r["count"] - total[r.stratum] / 10) < 2  # less than one row at either cut
 
 
 def test_shards_of_odd_rows(spark, odd, empty, make, tmp_path):
