@@ -200,7 +200,7 @@ def fingerprint_links(entries: DataFrame, radius: int = 2, most: int = MOST) ->
     keyed = entries.select("fp", F.explode(_coarse_keys(F.col("fp"), radius)).alias("k")).select(
         "fp", F.col("k.block").alias("block"), F.xxhash64("k.block", "k.value").alias("shard"))
     sizes = cut_lineage(keyed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shards")
-    shared = cut_lineage(keyed.join(sizes, "shard"), "shard-entries")
+    shared = keyed.join(sizes, "shard")
     fine = F.coalesce(*[F.when(F.col("block") == number, _fine_keys(F.col("fp"), number, radius))
                         for number in range(radius + 1)])
     crowded = shared.filter(F.col("n") > most).select("fp", F.explode(fine).alias("shard"))
@@ -213,14 +213,13 @@ def _decide(rows: DataFrame, radius: int, most: int) -> DataFrame:
     """(row_no, doc_id, fp, component_id, kept) from a written table (row_no, doc_id, fp)."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_no"))
     entries = cut_lineage(rows.groupBy("fp").agg(first.alias("first")), "fingerprints")
-    links = cut_lineage(fingerprint_links(entries, radius, most), "links")
-    nodes = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    joined = cut_lineage(connected_components(nodes, links), "components")
+    joined = connected_components(entries.select(F.col("fp").alias("node")), fingerprint_links(entries, radius, most))
     linked = entries.join(joined, entries.fp == joined.node).select("fp", "component", "first")
-    lowest = linked.groupBy("component").agg(F.min("first").alias("lowest"))
-    labels = linked.select("fp", "component").join(lowest, "component").select("fp", "lowest")
-    firsts = cut_lineage(entries.join(labels, "fp", "left").select("fp", F.coalesce("lowest", "first").alias("first")),
-                         "firsts")
+    # written, so that Spark can split the rows of a hot component in the join
+    lowest = cut_lineage(linked.groupBy("component").agg(F.min("first").alias("lowest"), F.count(F.lit(1)).alias("n"))
+                         .filter("n > 1").drop("n"), "lowest")
+    firsts = cut_lineage(linked.join(lowest, "component", "left").select(
+        "fp", F.coalesce("lowest", "first").alias("first")), "firsts")
     return rows.join(firsts, "fp").select(
         "row_no", "doc_id", "fp", F.col("first.doc_id").alias("component_id"),
         (F.col("row_no") == F.col("first.row_no")).alias("kept"))
