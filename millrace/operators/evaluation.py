@@ -98,6 +98,16 @@ def windows_report(metrics: DataFrame, keys, threshold: float) -> DataFrame:
         (F.col("accuracy") < threshold).alias("alert"))
 
 
+def append_history(report: DataFrame, path: str, run: str) -> None:
+    """Add one run's report to the history at `path`; a run written again replaces itself."""
+    report.write.mode("overwrite").parquet(f"{path}/run={run}")
+
+
+def read_history(spark, path: str) -> DataFrame:
+    """All reports of a history, with the run each came from."""
+    return spark.read.parquet(path)
+
+
 def quality_gate(metrics: DataFrame, threshold: float = 0.90, round_digits: int | None = None,
                  metric: str = "accuracy") -> DataFrame:
     """Whether the metric reaches the threshold and which way to go on.

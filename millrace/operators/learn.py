@@ -12,12 +12,10 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.functions.arrays import argmax, named_probabilities
 from millrace.functions.scalars import label_name
@@ -25,11 +23,8 @@ from millrace.operators.evaluation import (
     classification_report, quality, quality_gate, regression_metrics,
 )
 from millrace.operators.neighbors import knn_topk, knn_vote
-from millrace.operators.ordered import row_index
 from millrace.operators.splits import exact_split, kfold_assign, stratified_split
-from millrace.operators.textfeatures import tfidf_weights
 from millrace.operators.validation import run_checks
-from millrace.session import cut_lineage, scratch_path
 
 
 # --- features ----------------------------------------------------------------
@@ -71,33 +66,6 @@ def explained_variance(model: PipelineModel, spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "component int, share double, cumulative double")
 
 
-def term_vectors(df: DataFrame, key: str, cleaned, keep=(), **tfidf) -> tuple[DataFrame, DataFrame]:
-    """(rows with a sparse vector column `features`, vocabulary with term numbers).
-
-    A document's terms are gathered in one row: as many as its text has, at most the vocabulary.
-    The rows are written with the layout of a vector and read back as vectors,
-    which takes no Python function and spares the fit from redoing the text work.
-    """
-    spark = df.sparkSession
-    weights = cut_lineage(tfidf_weights(df, key, cleaned, **tfidf), "weights")
-    vocabulary = cut_lineage(
-        row_index(weights.select("term").distinct(), ["term"], "index").withColumn("index", F.col("index").cast("int")),
-        "vocabulary")
-    size = vocabulary.count()
-    entries = F.array_sort(F.collect_list(F.struct("index", "weight")))
-    vectors = weights.join(vocabulary, "term").groupBy(key).agg(entries.alias("_e"))
-    empty = F.array().cast("array<struct<index:int,weight:double>>")
-    rows = df.select(key, *keep).join(vectors, key, "left").withColumn("_e", F.coalesce("_e", empty)).select(
-        key, *keep, F.struct(
-            F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
-            F.transform("_e", lambda e: e["index"]).alias("indices"),
-            F.transform("_e", lambda e: e["weight"]).alias("values")).alias("features"))
-    path = scratch_path(spark, "vectors")
-    rows.write.parquet(path)
-    schema = T.StructType([f for f in rows.schema if f.name != "features"] + [T.StructField("features", VectorUDT())])
-    return spark.read.schema(schema).parquet(path), vocabulary
-
-
 # --- classifiers -------------------------------------------------------------
 
 def random_forest(trees: int = 100, depth: int = 5, seed: int = 42, **options):
@@ -123,9 +91,12 @@ def _cross_validator(estimator, grid, folds, parallelism):
 
 
 def cross_validate(df: DataFrame, estimator, folds: int, grid=None, parallelism: int = 4):
-    """Accuracy of every parameter map: [(params, mean, population std)]. `df` has label, features, fold."""
+    """Accuracy of every parameter map: [(params, mean, population std)].
+
+    `df` has label, fold and what the estimator reads.
+    """
     grid = grid or [{}]
-    rows = df.select("label", "features", "fold")
+    rows = df
     if not df.is_cached:
         rows = rows.persist()
     try:
@@ -138,34 +109,38 @@ def cross_validate(df: DataFrame, estimator, folds: int, grid=None, parallelism:
 
 
 def prepared(df: DataFrame, key: str, columns, label: str, folds: int = 5, seed=42, stratified: bool = True) -> DataFrame:
-    """(key, label, features, fold): scaled features and balanced folds, computed once for all fits."""
-    scaled = Pipeline(stages=preparation(columns)).fit(df).transform(df)
-    rows = scaled.select(key, F.col(label).cast("double").alias("label"), "features")
+    """(key, label, columns, fold): balanced folds, dealt once for all fits. Nothing is fitted here."""
+    rows = df.select(key, F.col(label).cast("double").alias("label"), *columns)
     return kfold_assign(rows, key, folds, seed, "label" if stratified else None)
 
 
+def with_preparation(columns, estimator, scale_mean: bool = False) -> Pipeline:
+    """The estimator behind assembler and scaler, so that both learn from the rows of each fit alone."""
+    return Pipeline(stages=preparation(columns, scale_mean) + [estimator])
+
+
 def classifier_benchmark(df: DataFrame, key: str, columns, label: str, folds: int = 5, knn: int | None = 5,
                          **sizes) -> DataFrame:
     """(model, cv_mean, cv_std, test_accuracy, f1_weighted), best test accuracy first."""
     split = stratified_split(df, key, label)
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")
-    scaler = Pipeline(stages=preparation(columns)).fit(train)
-    shaped = [scaler.transform(side).select(key, F.col(label).cast("double").alias("label"), "features")
-              for side in (train, test)]
-    train = kfold_assign(shaped[0], key, folds, label="label").persist()
-    test = shaped[1].persist()
+    train = prepared(train, key, columns, label, folds).persist()
+    test = test.select(key, F.col(label).cast("double").alias("label"), *columns).persist()
     train.count(), test.count()  # both are in memory before the fits start side by side
 
     def measured(name, scores, predictions):
         found = quality(predictions, label="label").first()
         return name, *scores, found["accuracy"], found["f1_weighted"]
 
-    def one(name, estimator):
+    def one(name, classifier):
+        estimator = with_preparation(columns, classifier)
         _, mean, std = cross_validate(train, estimator, folds)[0]
         return measured(name, (mean, std), estimator.fit(train).transform(test))
 
     def neighbours(fit_on, asked):
-        arrays = [side.select(key, "label", vector_to_array("features").alias("v")) for side in (fit_on, asked)]
+        scaler = Pipeline(stages=preparation(columns)).fit(fit_on)
+        arrays = [scaler.transform(side).select(key, "label", vector_to_array("features").alias("v"))
+                  for side in (fit_on, asked)]
         votes = knn_vote(knn_topk(*arrays, knn, key, "v"), arrays[0], key)
         return asked.select(F.col(key).alias("query_id"), "label").join(votes, "query_id")
 
@@ -206,9 +181,9 @@ def sampled_forests(trials: int = 20, seed: int = 42, trees=(50, 300), depth=(3,
     return forest, grid
 
 
-def search(df: DataFrame, estimator, grid, folds: int = 5, parallelism: int = 4) -> DataFrame:
-    """(trial, params, mean_score, std_score, rank) of all parameter maps."""
-    results = cross_validate(df, estimator, folds, grid, parallelism)
+def search(df: DataFrame, estimator, grid, columns, folds: int = 5, parallelism: int = 4) -> DataFrame:
+    """(trial, params, mean_score, std_score, rank) of all parameter maps over `prepared` rows."""
+    results = cross_validate(df, with_preparation(columns, estimator), folds, grid, parallelism)
     by_score = sorted(range(len(results)), key=lambda i: (-results[i][1], i))
     rank = {i: place + 1 for place, i in enumerate(by_score)}
     rows = [(i, {k: str(v) for k, v in params.items()}, mean, std, rank[i])
@@ -222,8 +197,9 @@ def cv_scores(df: DataFrame, key: str, columns, label: str, estimator, strategie
     rows = []
     for name, (folds, seed, stratified) in strategies.items():
         shaped = prepared(df, key, columns, label, folds, seed, stratified).persist()
+        whole = with_preparation(columns, estimator)
         scores = _in_parallel([
-            (lambda i=i: _accuracy(estimator.fit(shaped.filter(F.col("fold") != i)), shaped.filter(F.col("fold") == i)))
+            (lambda i=i: _accuracy(whole.fit(shaped.filter(F.col("fold") != i)), shaped.filter(F.col("fold") == i)))
             for i in range(folds)])
         rows += [(name, i, s) for i, s in enumerate(scores)]
         shaped.unpersist()
@@ -249,17 +225,18 @@ def learning_curve(df: DataFrame, key: str, columns, label: str, models: dict, s
     shares = shares or [i / 10 for i in range(1, 11)]
     shaped = prepared(df, key, columns, label, folds).persist()
 
-    def one(name, estimator, share, fold):
+    def part(share, fold):
+        """All models on one share of one fold: its rows are chosen once."""
         chosen = exact_split(shaped.filter(F.col("fold") != fold), key, share, "curve").filter("is_test").persist()
-        model = estimator.fit(chosen)
-        row = (name, share, fold, chosen.count(), _accuracy(model, chosen),
-               _accuracy(model, shaped.filter(F.col("fold") == fold)))
+        n, held_out, rows = chosen.count(), shaped.filter(F.col("fold") == fold), []
+        for name, estimator in models.items():
+            model = with_preparation(columns, estimator).fit(chosen)
+            rows.append((name, share, fold, n, _accuracy(model, chosen), _accuracy(model, held_out)))
         chosen.unpersist()
-        return row
+        return rows
 
-    rows = _in_parallel([
-        (lambda a=(name, estimator, share, fold): one(*a))
-        for name, estimator in models.items() for share in shares for fold in range(folds)])
+    parts = _in_parallel([(lambda a=(share, fold): part(*a)) for share in shares for fold in range(folds)])
+    rows = [row for some in parts for row in some]
     shaped.unpersist()
     return df.sparkSession.createDataFrame(
         rows, "model string, share double, fold int, n_train bigint, train_accuracy double, validation_accuracy double")
@@ -307,7 +284,7 @@ class IsotonicScaling:
 def calibrated_scores(train: DataFrame, test: DataFrame, key: str, estimator, scaling, folds: int = 5) -> DataFrame:
     """`test` with `calibrated`: the mean over folds of (model of the other folds, scaling of this fold).
 
-    Both frames have the key, a 0/1 `label` and `features`.
+    Both frames have the key, a 0/1 `label` and what the estimator reads.
     """
     dealt = kfold_assign(train, key, folds, label="label").persist()
 
@@ -320,8 +297,8 @@ def calibrated_scores(train: DataFrame, test: DataFrame, key: str, estimator, sc
 
     scored = test
     for fold, (model, fitted) in enumerate(_in_parallel([(lambda i=i: one(i)) for i in range(folds)])):
-        scored = scaling.transform(fitted, _positive(model.transform(scored)), f"_c{fold}").drop(
-            "score", "rawPrediction", "probability", "prediction")
+        scored = scaling.transform(fitted, _positive(model.transform(scored)), f"_c{fold}").select(
+            *scored.columns, f"_c{fold}")
     dealt.unpersist()
     parts = [F.col(f"_c{i}") for i in range(folds)]
     return scored.withColumn("calibrated", sum(parts[1:], parts[0]) / folds).drop(*[f"_c{i}" for i in range(folds)])

@@ -9,7 +9,6 @@ from millrace.plans.registry import query
 from millrace.plans.tabular import r
 from millrace.session import scratch_path
 from millrace.sources import events as ev
-from millrace.sources import files
 from millrace.streaming import streams
 
 # --- drift -------------------------------------------------------------------
@@ -174,10 +173,14 @@ def monitor_windows(spark, d):
 
 @query("monitor_history", WINDOWS_SQL)
 def monitor_history(spark, d):
-    report = evaluation.monitor_windows(b.pred_log(spark, d), threshold=0.8)
-    path = scratch_path(spark, "report")
-    files.write_json(report, path)
-    return plain_time(files.read_json(spark, path, report.schema))
+    """Two monitoring runs, one after the other, appended to one history and read back."""
+    log, path = b.pred_log(spark, d), scratch_path(spark, "history")
+    middle = log.agg(F.date_trunc("day", F.timestamp_micros(
+        F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)))).first()[0]
+    early = F.col("ts").cast("timestamp") < F.lit(middle)
+    for run, rows in (("first", log.filter(early)), ("second", log.filter(~early))):
+        evaluation.append_history(evaluation.monitor_windows(rows, threshold=0.8), path, run)
+    return plain_time(evaluation.read_history(spark, path).drop("run"))
 
 
 @query("quality_gate", b.with_ctes(b.PRED_LOG, """q as (
@@ -345,6 +348,16 @@ def stream_low_confidence(spark, d):
     return spark.read.parquet(out)
 
 
+@query("stream_first", "select least(count(*), 250) as n_rows, least(count(*), 250) as n_different from events")
+def stream_first(spark, d):
+    """A consumer that stops for good after 250 messages, started twice on the same checkpoint."""
+    out, checkpoint = _folders(spark, "first")
+    for _ in range(2):
+        streams.run_first(event_stream(spark, d), 250, out, checkpoint)
+    return spark.read.parquet(out).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("request_id").alias("n_different"))
+
+
 @query("stream_summary", tabular.SUMMARY_SQL)
 def stream_summary(spark, d):
     out, checkpoint = _folders(spark, "summary")

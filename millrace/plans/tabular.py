@@ -147,11 +147,10 @@ _REASONS = " ".join(
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, reasons, reasons = '' as valid
 from (select *, '' {_REASONS} as reasons from measurements)""")
 def validate_rows(spark, d):
-    valid, rejected = validation.validate_rows(b.measurements(spark, d), validation.positive_rules(FEATURES, 20))
-    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    reasons = F.concat(F.array_join("failed_rules", ";"), F.lit(";"))
-    return valid.select(*keys, F.lit("").alias("reasons"), F.lit(True).alias("valid")).unionByName(
-        rejected.select(*keys, reasons.alias("reasons"), F.lit(False).alias("valid")))
+    checked = validation.check_rows(b.measurements(spark, d), validation.positive_rules(FEATURES, 20))
+    valid = F.size("failed_rules") == 0
+    reasons = F.when(valid, "").otherwise(F.concat(F.array_join("failed_rules", ";"), F.lit(";")))
+    return checked.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", reasons.alias("reasons"), valid.alias("valid"))
 
 
 @query("batch_limit", """
@@ -501,14 +500,18 @@ def histogram_quantile(spark, d):
         "quantile", r("quantile"))
 
 
-@query("percentiles", b.with_ctes(b.DRIFT) + """
+_ALL_VALUES = f"""all_values as (
+  select feature, value from (unpivot (select {', '.join(b.DRIFT_COLUMNS)} from lineitem)
+    on {', '.join(b.DRIFT_COLUMNS)} into name feature value value))"""
+
+
+@query("percentiles", b.with_ctes(_ALL_VALUES) + """
 select feature, share, round(p, 6) as percentile from (
   select feature, unnest([0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0]::double[]) as share,
          unnest(quantile_cont(value, [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0])) as p
-  from drift_long where is_ref group by feature)""")
+  from all_values group by feature)""")
 def percentiles(spark, d):
-    reference, _ = b.drift_samples(spark, d)
-    long = quantiles.to_long(reference, b.DRIFT_COLUMNS)
+    long = quantiles.to_long(b.table(spark, d, "lineitem"), b.DRIFT_COLUMNS)
     return quantiles.exact_percentiles(long, [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0]).withColumn(
         "percentile", r("percentile", 6))
 

@@ -43,12 +43,13 @@ def split_corrupt(decoded: DataFrame):
     return good, decoded.filter(F.col("_corrupt").isNotNull()).select("_corrupt")
 
 
-def read_events(spark: SparkSession, fmt: str = "kafka", path=None, per_trigger: int | None = None, **options) -> DataFrame:
+def read_events(spark: SparkSession, fmt: str = "kafka", path=None, per_trigger: int | None = POLL_RECORDS,
+                **options) -> DataFrame:
     """Stream of message envelopes.
 
     "kafka" reads a topic from the earliest offset; the query's checkpoint takes
-    the place of group offsets. `per_trigger` limits one micro-batch, for example
-    to POLL_RECORDS records; without it a batch takes all there is. Any file
+    the place of group offsets. `per_trigger` limits one micro-batch, to
+    POLL_RECORDS records unless told otherwise; with None a batch takes all there is. Any file
     format reads a folder holding the same envelope (the limit counts files).
     """
     if per_trigger:

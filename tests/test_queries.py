@@ -27,7 +27,7 @@ def test_every_sql_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-STREAMED = {"stream_parse", "stream_low_confidence", "stream_summary", "stream_rate", "stream_monitor",
+STREAMED = {"stream_parse", "stream_first", "stream_low_confidence", "stream_summary", "stream_rate", "stream_monitor",
             "feedback_join_stream", "stream_psi"}
 
 

@@ -55,6 +55,16 @@ def test_window_state_over_files_equals_the_batch(spark, tmp_path):
     assert streams.confusion_report(state, 0.8).count() == 3
 
 
+def test_the_first_rows_are_taken_once(spark, tmp_path):
+    src, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    for name in "abc":
+        write(spark, src, range(30), name)
+    streams.run_first(source(spark, src), 45, out, checkpoint)
+    write(spark, src, range(30), "d")
+    streams.run_first(source(spark, src), 45, out, checkpoint)
+    assert spark.read.parquet(out).select("request_id").distinct().count() == spark.read.parquet(out).count() == 45
+
+
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     src, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     write(spark, src, [600, 601], "a")
