@@ -10,21 +10,29 @@ from millrace.operators import (
 from millrace.plans import bindings as b
 from millrace.plans.registry import query
 from millrace.plans.tabular import _CLEAN, _DIGEST, CLASS_NAMES, r
+from millrace.session import cut_lineage, scratch_path
 
 # fixed values: a short English stop list used on both sides of the comparison
 STOP_WORDS = ["the", "and", "that", "for", "with", "her", "his", "was", "are", "not", "this", "from", "have", "you",
               "in", "on", "an", "at", "as", "of", "to", "is", "it", "he", "or"]
 
-_TERMS = f"""words as (
-  select doc_id, list_filter(regexp_extract_all({_CLEAN}, '\\w\\w+'), lambda w: not list_contains({STOP_WORDS}, w)) as w from documents),
-uses as (
-  select doc_id, unnest(w) as term from words
+
+def _term_ctes(prefix="", where="true"):
+    """Words, their uses with word pairs, and term counts of the documents that meet `where`."""
+    return f"""{prefix}words as (
+  select doc_id, list_filter(regexp_extract_all({_CLEAN}, '\\w\\w+'), lambda w: not list_contains({STOP_WORDS}, w)) as w
+  from documents where {where}),
+{prefix}uses as (
+  select doc_id, unnest(w) as term from {prefix}words
   union all
-  select doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from words where len(w) >= 2),
-terms as (select doc_id, term, count(*) as tf from uses group by all),
-vocabulary as (
+  select doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from {prefix}words where len(w) >= 2),
+{prefix}terms as (select doc_id, term, count(*) as tf from {prefix}uses group by all)"""
+
+
+_VOCABULARY = """vocabulary as (
   select term, count(*) as df, sum(tf)::bigint as total from terms group by term having count(*) >= 2
   order by total desc, term limit 5000)"""
+_TERMS = f"{_term_ctes()},\n{_VOCABULARY}"
 
 
 def _documents(spark, d):
@@ -44,6 +52,23 @@ def tfidf_weights(spark, d):
     return textfeatures.tfidf_weights(_documents(spark, d), "doc_id", F.col("c"), STOP_WORDS).withColumn("weight", r("weight"))
 
 
+_HELD_OUT = f"cast(('0x' || {_DIGEST.format('doc_id')}) as bigint)::double / 1152921504606846976::double < 0.2"
+
+
+@query("tfidf_held_out", b.with_ctes(
+    _term_ctes("", f"not ({_HELD_OUT})"), _VOCABULARY, _term_ctes("asked_", _HELD_OUT), f"""raw as (
+  select doc_id, term, (1 + ln(tf)) * (ln((1 + (select count(*) from documents where not ({_HELD_OUT}))) / (1 + df)) + 1) as w
+  from asked_terms join vocabulary using (term))""") + """
+select doc_id, term, round(w / sqrt(sum(w * w) over (partition by doc_id)), 9) as weight from raw""")
+def tfidf_held_out(spark, d):
+    """Weights of held-out documents under a vocabulary learned from the others, saved and loaded again."""
+    marked = splits.hash_split(_documents(spark, d), "doc_id", 0.2)
+    path = scratch_path(spark, "tfidf")
+    textfeatures.TfidfModel.fit(marked.filter(~F.col("is_test")), "doc_id", F.col("c"), STOP_WORDS).save(path)
+    loaded = textfeatures.TfidfModel.load(spark, path)
+    return loaded.weights(marked.filter("is_test"), "doc_id", F.col("c")).select("doc_id", "term", r("weight").alias("weight"))
+
+
 _KNN = f"""split as (
   select vec_id, embedding::double[] as v, label, cast(('0x' || {_DIGEST.format('vec_id')}) as bigint)::double / 1152921504606846976::double < 0.2 as is_test
   from embeddings),
@@ -105,9 +130,6 @@ def dbscan_clusters(spark, d):
 
 
 # --- Spark ML: values depend on its solvers and random draws, so these have no SQL ---
-# Model sizes are parameters; the queries use smaller ones than the defaults to keep a run short.
-
-SMALL_FOREST = {"trees": 20, "depth": 5}
 
 
 @query("standardize", " union all ".join(
@@ -130,52 +152,49 @@ def pca_variance(spark, d):
 @query("forest_predictions")
 def forest_predictions(spark, d):
     marked = splits.hash_split(b.profiles(spark, d), "id", 0.2)
-    stages = learn.preparation(b.PROFILE_COLUMNS) + [learn.random_forest(50, 5)]
+    stages = learn.preparation(b.PROFILE_COLUMNS) + [learn.random_forest(100, 5)]
     model = Pipeline(stages=stages).fit(marked.filter(~F.col("is_test")))
     return model.transform(marked.filter("is_test")).select("id", "label", "prediction")
 
 
 @query("classifier_benchmark")
 def classifier_benchmark(spark, d):
-    return learn.classifier_benchmark(
-        b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", folds=2, trees=20, boosting_rounds=3, max_iter=8)
+    return learn.classifier_benchmark(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label")
 
 
 @query("grid_results")
 def grid_results(spark, d):
-    rows = learn.prepared(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", 3)
-    return learn.search(rows, *learn.forest_grid([5, 10], [3, 5], [1, 5]), folds=3)
+    rows = learn.prepared(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", 5)
+    return learn.search(rows, *learn.forest_grid([50, 100, 200], [3, 5, 10], [1, 5]), b.PROFILE_COLUMNS)
 
 
 @query("param_search")
 def param_search(spark, d):
-    rows = learn.prepared(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", 3)
-    return learn.search(rows, *learn.sampled_forests(5, trees=(5, 20), depth=(3, 9)), folds=3)
+    rows = learn.prepared(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", 5)
+    return learn.search(rows, *learn.sampled_forests(20), b.PROFILE_COLUMNS)
 
 
 @query("cv_scores")
 def cv_scores(spark, d):
-    strategies = {"3-fold": (3, 7, False), "5-fold": (5, 7, False), "stratified 3-fold": (3, 42, True)}
+    strategies = {"5-fold": (5, 7, False), "10-fold": (10, 7, False), "stratified 5-fold": (5, 42, True)}
     return learn.cv_scores(
-        b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", learn.random_forest(10, 5), strategies)
+        b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", learn.random_forest(100, 5), strategies)
 
 
 @query("learning_curve")
 def learning_curve(spark, d):
-    models = {"depth 1": learn.random_forest(10, 1), "depth 5": learn.random_forest(10, 5),
-              "depth 10": learn.random_forest(10, 10)}
-    return learn.learning_curve(
-        b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", models, [0.1, 0.4, 0.7, 1.0], folds=2)
+    models = {f"depth {depth}": learn.random_forest(100, depth) for depth in (1, 5, 10)}
+    return learn.learning_curve(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", models)
 
 
 @query("calibrated_scores")
 def calibrated_scores(spark, d):
     rows = b.profiles(spark, d).withColumn("label", (F.col("label") == 2).cast("double"))
-    rows = Pipeline(stages=learn.preparation(b.PROFILE_COLUMNS)).fit(rows).transform(rows).select("id", "label", "features")
-    marked = splits.exact_split(rows, "id", 0.3).persist()
+    marked = cut_lineage(splits.exact_split(rows.select("id", "label", *b.PROFILE_COLUMNS), "id", 0.3), "calibration")
     train, test = marked.filter(~F.col("is_test")), marked.filter("is_test").drop("is_test")
+    forest = learn.with_preparation(b.PROFILE_COLUMNS, learn.random_forest(100, 5))
     parts = [
-        learn.calibrated_scores(train.drop("is_test"), test, "id", learn.random_forest(10, 5), scaling, 3).select(
+        learn.calibrated_scores(train.drop("is_test"), test, "id", forest, scaling, 5).select(
             F.lit(name).alias("method"), F.col("label").alias("y"), F.col("calibrated").alias("score"))
         for name, scaling in (("platt", learn.PlattScaling()), ("isotonic", learn.IsotonicScaling()))]
     return curves.calibration_curve(parts[0].unionByName(parts[1]), 10, keys=["method"])
@@ -184,39 +203,42 @@ def calibrated_scores(spark, d):
 @query("regression_models")
 def regression_models(spark, d):
     rows = b.profiles(spark, d).drop("label").withColumnRenamed("target", "label")
-    shaped = Pipeline(stages=learn.preparation(b.PROFILE_COLUMNS, True)).fit(rows).transform(rows)
-    marked = splits.exact_split(shaped.select("id", "label", "features"), "id", 0.2).persist()
-    return learn.regression_models(marked.filter(~F.col("is_test")), marked.filter("is_test"), boosting_rounds=20)
+    marked = splits.exact_split(rows.select("id", "label", *b.PROFILE_COLUMNS), "id", 0.2)
+    train = marked.filter(~F.col("is_test"))
+    scaler = Pipeline(stages=learn.preparation(b.PROFILE_COLUMNS, True)).fit(train)
+    shaped = cut_lineage(scaler.transform(marked).select("label", "features", "is_test"), "regression")
+    return learn.regression_models(shaped.filter(~F.col("is_test")), shaped.filter("is_test"), boosting_rounds=100)
 
 
 def _scaled_profiles(spark, d):
     rows = b.profiles(spark, d)
-    return Pipeline(stages=learn.preparation(b.PROFILE_COLUMNS, True)).fit(rows).transform(rows).select(
-        "id", "label", "features")
+    scaled = Pipeline(stages=learn.preparation(b.PROFILE_COLUMNS, True)).fit(rows).transform(rows)
+    return cut_lineage(scaled.select("id", "label", "features"), "profiles")
 
 
 @query("kmeans_elbow")
 def kmeans_elbow(spark, d):
-    return learn.kmeans_elbow(_scaled_profiles(spark, d).persist(), restarts=2)
+    return learn.kmeans_elbow(_scaled_profiles(spark, d), restarts=10)
 
 
 @query("kmeans_agreement")
 def kmeans_agreement(spark, d):
-    rows = _scaled_profiles(spark, d).persist()
-    labelled = learn.best_kmeans(rows, 3, 3).transform(rows)
+    rows = _scaled_profiles(spark, d)
+    labelled = learn.best_kmeans(rows, 3, 10).transform(rows)
     return evaluation.adjusted_rand(labelled, "label", "prediction")
 
 
 @query("feature_importance")
 def feature_importance(spark, d):
-    rows = learn.prepared(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", 2)
-    return learn.feature_importance(learn.random_forest(50, 5).fit(rows), b.PROFILE_COLUMNS, spark)
+    rows = b.profiles(spark, d).withColumn("label", F.col("label").cast("double"))
+    model = learn.with_preparation(b.PROFILE_COLUMNS, learn.random_forest(100, 5)).fit(rows)
+    return learn.feature_importance(model.stages[-1], b.PROFILE_COLUMNS, spark)
 
 
 @query("anomaly_scores")
 def anomaly_scores(spark, d):
     rows = b.profiles(spark, d).select("id", *b.PROFILE_COLUMNS)
-    return isolation.flag_anomalies(isolation.anomaly_scores(rows, "id", b.PROFILE_COLUMNS, trees=50), 0.06)
+    return isolation.flag_anomalies(isolation.anomaly_scores(rows, "id", b.PROFILE_COLUMNS, trees=100), 0.06)
 
 
 LANGUAGES = {0: "de", 1: "en", 2: "es", 3: "fr"}
@@ -224,22 +246,23 @@ LANGUAGES = {0: "de", 1: "en", 2: "es", 3: "fr"}
 
 @query("text_classifier")
 def text_classifier(spark, d):
-    """Language of a document from its words: report on a fifth of the documents."""
+    """Language of a document from its words, all learned on the training documents: report on the others."""
     code = F.coalesce(*[F.when(F.col("lang") == n, F.lit(float(i))) for i, n in LANGUAGES.items()])
     docs = b.table(spark, d, "documents").select(
         "doc_id", code.alias("label"), text.clean_text(F.col("text")).alias("c"))
     kept = docs.filter(text.word_count(F.col("c")) >= 3)
-    rows, _ = learn.term_vectors(kept, "doc_id", F.col("c"), ["label"], stop_words=STOP_WORDS)
-    marked = splits.stratified_split(rows, "doc_id", "label").persist()
-    model = learn.text_classifier(marked.filter(~F.col("is_test")), max_iter=40)
-    scored = model.transform(marked.filter("is_test"))
+    marked = cut_lineage(splits.stratified_split(kept, "doc_id", "label"), "texts")
+    train, test = marked.filter(~F.col("is_test")), marked.filter("is_test")
+    terms = textfeatures.TfidfModel.fit(train, "doc_id", F.col("c"), textfeatures.english_stop_words())
+    model = learn.text_classifier(terms.vectors(train, "doc_id", F.col("c"), ["label"]), max_iter=1000)
+    scored = model.transform(terms.vectors(test, "doc_id", F.col("c"), ["label"]))
     return evaluation.classification_report(scored, "label", "prediction")
 
 
 @query("batch_score")
 def batch_score(spark, d):
     rows = b.profiles(spark, d)
-    model = Pipeline(stages=learn.preparation(b.PROFILE_COLUMNS) + [learn.random_forest(**SMALL_FOREST)]).fit(rows)
+    model = Pipeline(stages=learn.preparation(b.PROFILE_COLUMNS) + [learn.random_forest()]).fit(rows)
     scored = learn.batch_score(model, rows, CLASS_NAMES, ["id"])
     return scored.select("id", "prediction", "class_name", "confidence", F.map_entries("probabilities").alias("probabilities"))
 
@@ -248,5 +271,5 @@ def batch_score(spark, d):
 def train_and_gate(spark, d):
     v = validation
     checks = [v.no_nulls("label"), v.all_positive("n_orders"), v.only_values("label", [0, 1, 2]), v.not_empty()]
-    done = learn.train_and_gate(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", checks, 30, 6, 0.80)
+    done = learn.train_and_gate(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", checks, 150, 6, 0.90)
     return done.verdict

@@ -4,7 +4,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from millrace.operators import learn, validation
+from millrace.operators import learn, textfeatures, validation
 from millrace.sources.models import load_model, save_model
 
 
@@ -60,6 +60,31 @@ def test_saved_model_predicts_the_same(rows, tmp_path):
     assert predicted(model) == predicted(back)
 
 
+def test_text_model_keeps_to_its_training_terms(spark, tmp_path):
+    train = spark.createDataFrame([(1, "red blue"), (2, "red green"), (3, "red blue green"), (4, "")], "k int, c string")
+    other = spark.createDataFrame([(7, "red red violet"), (8, "violet"), (9, "blue green")], "k int, c string")
+    model = textfeatures.TfidfModel.fit(train, "k", F.col("c"), min_df=2, ngram_range=(1, 1))
+    assert [r["term"] for r in model.vocabulary.orderBy("index").collect()] == ["blue", "green", "red"]
+    model.save(str(tmp_path / "terms"))
+    back = textfeatures.TfidfModel.load(spark, str(tmp_path / "terms"))
+    rows = [m.vectors(other, "k", F.col("c")).orderBy("k").collect() for m in (model, back)]
+    assert rows[0] == rows[1] and [r["features"].size for r in rows[0]] == [3, 3, 3]
+    assert rows[0][0]["features"].toArray().tolist() == [0, 0, 1] and rows[0][1]["features"].numNonzeros() == 0
+    labelled = train.withColumn("label", (F.col("k") % 2).cast("double"))
+    fitted = learn.text_classifier(model.vectors(labelled, "k", F.col("c"), ["label"]), max_iter=20)
+    scored = [learn.batch_score(fitted, m.vectors(other, "k", F.col("c")), {0: "a", 1: "b"}, ["k"]).orderBy("k").collect()
+              for m in (model, back)]
+    assert scored[0] == scored[1] and len(scored[0]) == 3
+
+
+def test_scaling_learns_from_the_fitted_rows_alone(rows):
+    _, df = rows
+    shaped = learn.prepared(df, "id", COLUMNS, "label", 2)
+    model = learn.with_preparation(COLUMNS, learn.random_forest(2, 2)).fit(shaped.filter("fold = 0"))
+    part = shaped.filter("fold = 0").agg(*[F.stddev_samp(c) for c in COLUMNS]).first()
+    assert np.allclose(model.stages[1].std.toArray(), list(part))
+
+
 def test_learning_curve_sizes_grow_exactly(rows):
     _, df = rows
     curve = learn.learning_curve(df, "id", COLUMNS, "label", {"tree": learn.random_forest(3, 3)}, [0.25, 1.0], folds=2).toPandas()
@@ -71,7 +96,7 @@ def test_learning_curve_sizes_grow_exactly(rows):
 
 def test_grid_search_ranks_all_maps(rows):
     _, df = rows
-    table = learn.search(learn.prepared(df, "id", COLUMNS, "label", 2), *learn.forest_grid([3], [1, 4], [1]), folds=2)
+    table = learn.search(learn.prepared(df, "id", COLUMNS, "label", 2), *learn.forest_grid([3], [1, 4], [1]), COLUMNS, folds=2)
     got = table.orderBy("rank").collect()
     assert len(got) == 2 and got[0]["mean_score"] >= got[1]["mean_score"]
 
