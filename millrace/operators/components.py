@@ -27,7 +27,7 @@ def _small_star(edges):
     return _links(near.unionByName(lowest.select("u", F.col("m").alias("v"))))
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, component) for every node, the component being its smallest node.
 
     `nodes` has a column `node`, `edges` columns u and v. Each round is written
@@ -37,15 +37,12 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     """
     current = cut_lineage(_links(edges.select("u", "v")), "edges")
     mark = fingerprint(current).first()
-    for _ in range(max_rounds):
+    settled = False
+    while not settled:  # every round that changes something brings nodes closer to their smallest one
         following = cut_lineage(_small_star(_large_star(current)), "edges")
         next_mark = fingerprint(following).first()
         # equal digests are cheap to see; that nothing changed is then made sure of row by row
         settled = mark == next_mark and following.join(current, ["u", "v"], "left_anti").isEmpty()
         current, mark = following, next_mark
-        if settled:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return nodes.join(current.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select(
         "node", F.coalesce("component", "node").alias("component"))

@@ -25,6 +25,7 @@ from millrace.operators.evaluation import (
 from millrace.operators.neighbors import knn_topk, knn_vote
 from millrace.operators.splits import exact_split, kfold_assign, stratified_split
 from millrace.operators.validation import run_checks
+from millrace.session import cut_lineage
 
 
 # --- features ----------------------------------------------------------------
@@ -383,7 +384,7 @@ def train_and_gate(df: DataFrame, key: str, columns, label: str, checks, trees:
     failed = [f"{row['check']}({row['column']})" for row in run_checks(df, checks).filter(~F.col("passed")).collect()]
     if failed:
         raise ValueError("data checks failed: " + ", ".join(failed))
-    split = stratified_split(df, key, label).persist()
+    split = cut_lineage(stratified_split(df, key, label), "gate")
     stages = preparation(columns) + [random_forest(trees, depth, labelCol=label)]
     model = Pipeline(stages=stages).fit(split.filter(~F.col("is_test")))
     predictions = model.transform(split.filter("is_test")).select(F.col(label).cast("double").alias("y_true"), "prediction")

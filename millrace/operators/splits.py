@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.operators.balance import shuffle_partitions
 
 _DIGITS = 15          # hexadecimal digits of the digest that are used: 60 bits
-_BUCKET_DIGITS = 3    # leading digits that name a bucket: 4096 of them
+_FEWEST_DIGITS = 3    # leading digits that name a bucket, at least: 4096 buckets
 
 
 def digest(key: Column, seed) -> Column:
@@ -35,17 +36,25 @@ def random_split(df: DataFrame, share: float = 0.2, seed=42):
     return df.randomSplit([1 - share, share], seed)
 
 
+def _bucket_digits(df: DataFrame) -> int:
+    """Enough digits for every shuffle partition to get several buckets; results do not depend on it."""
+    digits = _FEWEST_DIGITS
+    while 16 ** digits < 4 * shuffle_partitions(df):
+        digits += 1
+    return digits
+
+
 def _place(key, seed):
     return F.struct(digest(F.col(key), seed).alias("h"), F.col(key).alias("id"))
 
 
 def _tagged(df, key, seed, *classes):
     """Digest bucket and place of every row, and the rows before each (class, bucket)."""
-    tagged = df.select(*classes, F.substring(digest(F.col(key), seed), 1, _BUCKET_DIGITS).alias("_b"),
+    tagged = df.select(*classes, F.substring(digest(F.col(key), seed), 1, _bucket_digits(df)).alias("_b"),
                        _place(key, seed).alias("_p"))
     names = [c for c in tagged.columns if c not in ("_b", "_p")]
     counts = tagged.groupBy(*names, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    # a fixed number of buckets per class
+    # the number of buckets per class follows the cluster, not the data
     upto = W.partitionBy(*(names or [F.lit(0)])).orderBy("_b")
     return tagged, counts.withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
 
@@ -110,7 +119,7 @@ def kfold_assign(df: DataFrame, key: str, folds: int = 5, seed=42, label: str |
     """
     place = digest(F.col(key), seed)
     cls = F.col(label) if label else F.lit(0)
-    tagged = df.withColumn("_c", cls).withColumn("_b", F.substring(place, 1, _BUCKET_DIGITS))
+    tagged = df.withColumn("_c", cls).withColumn("_b", F.substring(place, 1, _bucket_digits(df)))
     counts = tagged.groupBy("_c", "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy("_c").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     firsts = counts.select("_c", "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))

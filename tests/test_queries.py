@@ -5,7 +5,8 @@ import pytest
 from millrace.plans.catalogue import ORACLES, QUERIES
 from tools.compare import difference, duck
 
-SLOW_WITHOUT_SQL = {"classifier_benchmark", "learning_curve"}
+# these fit a hundred and more ensembles; tests/test_learning.py runs their operators with small ones
+SLOW_WITHOUT_SQL = {"classifier_benchmark", "learning_curve", "grid_results", "param_search"}
 
 
 @pytest.fixture(scope="module")
