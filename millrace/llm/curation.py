@@ -28,7 +28,29 @@ def byte_bpe(spark, folder):
     return token_report(table(spark, folder, "documents"), codec(spark))
 
 
-@query("op8_sharding")
+def _crc_entry(number):
+    for _ in range(8):
+        number = number >> 1 ^ (0xEDB88320 if number & 1 else 0)
+    return number
+
+
+# DuckDB has no CRC-32: a byte at a time over the text's hexadecimal form, with the usual table of 256 steps as text
+_CRC32 = """xor(list_reduce([4294967295::bigint] || list_transform(
+      regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda p: ('0x' || p)::bigint),
+    lambda a, b: xor(a >> 8, ('0x' || substr('""" + "".join(f"{_crc_entry(i):08x}" for i in range(256)) + """',
+      8 * (xor(a, b) & 255) + 1, 8))::bigint)), 4294967295)"""
+
+
+@query("op8_sharding", f"""
+    with d as (select doc_id, case when source is null then '0' else '1' || source end as stratum,
+                      (strlen(coalesce(text, '')) + 1)::bigint as size, {_CRC32} as text_crc32,
+                      md5('{SEED}:' || coalesce(doc_id::varchar, '')) as digest from documents),
+    r as (select *, row_number() over (partition by stratum order by digest, doc_id, text_crc32, size) - 1 as place,
+                 count(*) over (partition by stratum) as n from d),
+    o as (select *, row_number() over (order by (2 * place + 1) / (2 * n), stratum, digest, doc_id, text_crc32, size) - 1 as p,
+                 count(*) over () as total from r)
+    select doc_id, size, text_crc32, 'rows' as law, p * 16 // total as shard,
+           p - ((p * 16 // total) * total + 15) // 16 as slot, null::integer as grown_shard from o""")
 def shards(spark, folder):
     assigned = sharding.assign_shards(table(spark, folder, "documents"), 16, SEED)
     return assigned.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",

@@ -14,7 +14,7 @@ from millrace.llm import curation, mixing, sharding, tokens
 from tools.compare import difference, duck
 
 
-@pytest.mark.parametrize("name", ["op9_exact_dedup", "op10_mixing"])
+@pytest.mark.parametrize("name", ["op8_sharding", "op9_exact_dedup", "op10_mixing"])
 def test_agrees_with_sql(spark, small, name):
     from millrace.llm.queries import ORACLES, QUERIES
 
