@@ -38,6 +38,21 @@ def row_fraction(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
+def rows_that_stay(docs: DataFrame, id_col, marks: dict, kept: DataFrame) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose id and `marks` (names to columns over `docs`)
+    are in `kept` (doc_id and the marks); of rows that agree in all of these one.
+
+    The rows are read again and shuffled once by id and marks, so no second copy of them is written.
+    """
+    keys = ["id_key", *marks]
+    wanted = kept.select(key_of("doc_id").alias("id_key"), *marks)
+    marked = docs.select(F.struct("*").alias("row"), key_of(id_col).alias("id_key"),
+                         *[mark.alias(name) for name, mark in marks.items()])
+    met = marked.join(wanted, keys, "left_semi")  # leaves the rows of equal keys together and in order
+    return met.withColumn("place", F.row_number().over(W.partitionBy(*keys).orderBy(*keys))).filter(
+        "place = 1").select("row.*")
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

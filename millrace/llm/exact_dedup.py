@@ -17,16 +17,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import SPACES, whole_text
+from millrace.llm.common import SPACES, rows_that_stay, whole_text
 from millrace.session import cut_lineage
 
 TRACKED = 4096
 
 
-def _digested(docs, id_col, text_col, *more):
-    text = F.regexp_replace(whole_text(text_col), SPACES, " ")
-    return docs.select(F.col(id_col).alias("doc_id"), F.sha2(text, 256).alias("digest"),
-                       F.monotonically_increasing_id().alias("row_no"), *more)
+def text_digest(text_col):
+    """SHA-256 of the text with every run of white space as one space."""
+    return F.sha2(F.regexp_replace(whole_text(text_col), SPACES, " "), 256)
+
+
+def _digested(docs, id_col, text_col):
+    return cut_lineage(docs.select(F.col(id_col).alias("doc_id"), text_digest(text_col).alias("digest"),
+                                   F.monotonically_increasing_id().alias("row_no")), "digests")
 
 
 def frequent_digests(rows: DataFrame, tracked: int = TRACKED) -> DataFrame:
@@ -53,12 +57,10 @@ def decide(rows: DataFrame, tracked: int = TRACKED) -> DataFrame:
 
 def decisions(docs: DataFrame, id_col="doc_id", text_col="text", tracked: int = TRACKED) -> DataFrame:
     """One row per row of `docs`: doc_id, keep_id, group_size, kept, digest."""
-    rows = cut_lineage(_digested(docs, id_col, text_col), "digests")
-    return decide(rows, tracked).drop("row_no")
+    return decide(_digested(docs, id_col, text_col), tracked).drop("row_no")
 
 
 def deduplicate(docs: DataFrame, id_col="doc_id", text_col="text", tracked: int = TRACKED) -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
-    rows = cut_lineage(_digested(docs, id_col, text_col, F.struct("*").alias("row")), "digested-rows")
-    kept = decide(rows.drop("row"), tracked).filter("kept").select("row_no")
-    return rows.join(kept, "row_no", "left_semi").select("row.*")
+    kept = decide(_digested(docs, id_col, text_col), tracked).filter("kept")
+    return rows_that_stay(docs, id_col, {"digest": text_digest(text_col)}, kept)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from millrace.llm.common import shuffle_partitions, whole_text
+from millrace.llm.common import rows_that_stay, shuffle_partitions, whole_text
 from millrace.operators.components import connected_components
 from millrace.session import cut_lineage
 
@@ -210,7 +210,7 @@ def fingerprint_links(entries: DataFrame, radius: int = 2, most: int = MOST) ->
 
 
 def _decide(rows: DataFrame, radius: int, most: int) -> DataFrame:
-    """(row_no, doc_id, fp, component_id, kept) from a written table (row_no, doc_id, fp)."""
+    """`rows` with component_id and kept, from a written table (row_no, doc_id, fp, text_hash)."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_no"))
     entries = cut_lineage(rows.groupBy("fp").agg(first.alias("first")), "fingerprints")
     joined = connected_components(entries.select(F.col("fp").alias("node")), fingerprint_links(entries, radius, most))
@@ -221,25 +221,24 @@ def _decide(rows: DataFrame, radius: int, most: int) -> DataFrame:
     firsts = cut_lineage(linked.join(lowest, "component", "left").select(
         "fp", F.coalesce("lowest", "first").alias("first")), "firsts")
     return rows.join(firsts, "fp").select(
-        "row_no", "doc_id", "fp", F.col("first.doc_id").alias("component_id"),
+        "doc_id", "fp", "text_hash", F.col("first.doc_id").alias("component_id"),
         (F.col("row_no") == F.col("first.row_no")).alias("kept"))
 
 
-def _rows(docs, shingle, id_col, text_col, *more):
-    return docs.select(F.col(id_col).alias("doc_id"), fingerprints(text_col, shingle).alias("fp"),
-                       F.monotonically_increasing_id().alias("row_no"), *more)
+def _rows(docs, shingle, id_col, text_col):
+    return cut_lineage(docs.select(
+        F.col(id_col).alias("doc_id"), fingerprints(text_col, shingle).alias("fp"),
+        F.xxhash64(whole_text(text_col)).alias("text_hash"), F.monotonically_increasing_id().alias("row_no")), "simhash-rows")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, most: int = MOST, id_col="doc_id",
                     text_col="text") -> DataFrame:
     """One row per row of `docs`: doc_id, fingerprint (hex), component_id, kept."""
-    rows = cut_lineage(_rows(docs, shingle, id_col, text_col), "simhash-rows")
-    return _decide(rows, radius, most).select("doc_id", as_hex("fp").alias("fingerprint"), "component_id", "kept")
+    return _decide(_rows(docs, shingle, id_col, text_col), radius, most).select("doc_id", as_hex("fp").alias("fingerprint"), "component_id", "kept")
 
 
 def deduplicate(docs: DataFrame, shingle: int = 3, radius: int = 2, most: int = MOST, id_col="doc_id",
                 text_col="text") -> DataFrame:
     """The rows of `docs` that stay, one of every component, with all their columns."""
-    rows = cut_lineage(_rows(docs, shingle, id_col, text_col, F.struct("*").alias("row")), "simhash-texts")
-    kept = _decide(rows.drop("row"), radius, most).filter("kept").select("row_no")
-    return rows.join(kept, "row_no", "left_semi").select("row.*")
+    kept = _decide(_rows(docs, shingle, id_col, text_col), radius, most).filter("kept")
+    return rows_that_stay(docs, id_col, {"text_hash": F.xxhash64(whole_text(text_col))}, kept)
