@@ -22,7 +22,6 @@ from millrace.llm.common import whole_text
 
 LONG = 1 << 16
 _CUT_BEFORE = " \n\t\r"
-_encoders = {}
 
 
 def read_ranks(path: str) -> dict:
@@ -64,13 +63,11 @@ def ids_digest(ids) -> str:
 
 
 def _here(shared):
-    """The worker's encoder for a broadcast (ranks, pattern), built once per worker."""
-    key = shared.id if hasattr(shared, "id") else id(shared)
-    if key not in _encoders:
-        _encoders.clear()
-        ranks, pattern = shared.value
-        _encoders[key] = encoder(ranks, pattern)
-    return _encoders[key]
+    """The worker's encoder for a broadcast (ranks, pattern), kept on it: a worker has one of each
+    broadcast through all of its tasks, while this module's own names come anew with every task."""
+    if not hasattr(shared, "encoder"):
+        shared.encoder = encoder(*shared.value)
+    return shared.encoder
 
 
 class Codec:
