@@ -46,11 +46,14 @@ BASE_RULES = (
     Rule("access", 1, "AKIA[A-Z0-9]+", least=20),
     Rule("hex", 1, "[0-9a-f]{24,}"),  # the runs of [0-9a-f]+ that are long enough
 )
-# repeats are bounded, so that a long run costs time in proportion to its length
+# No repeat has an upper bound, and a long run still costs time in proportion to its length: where a run holds
+# no secret, no later start in it does either, so the last alternative takes the run whole, without the group
+# that a span needs. Scheme runs of up to 40 characters are left to the search instead.
 ADDED_RULES = (
     Rule("key_block", 1, "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("web_token", 1, r"eyJ[A-Za-z0-9_-]{8,999}\.[A-Za-z0-9_-]{8,999}\.[A-Za-z0-9_-]{8,999}"),
-    Rule("url_login", 1, r"[a-z][a-z0-9+.-]{1,15}://[^\x09-\x0D\x20/@:]{1,200}:[^\x09-\x0D\x20/@]{1,200}@"),
+    Rule("web_token", 2, r"eyJ[A-Za-z0-9_-]{8,}(\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})|eyJ[A-Za-z0-9_-]*", least=1, group=1),
+    Rule("url_login", 2, r"[a-z][a-z0-9+.-]*(://[^\x09-\x0D\x20/@:]+:[^\x09-\x0D\x20/@]+@)|[a-z][a-z0-9+.-]{40,}",
+         least=1, group=1),
 )
 SPAN = "array<struct<start:bigint,kind_no:int,end:bigint,kind:string>>"
 LEDGER = f"blob string, scanned array<string>, findings {SPAN}"

@@ -174,6 +174,35 @@ def test_spans(spark, make):
     assert entries.count() == len({t or "" for t in SECRETS})  # a blob is scanned once
 
 
+def brute_added(text):
+    token = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+    login = re.compile(r"[a-z][a-z0-9+.-]*://[^\x09-\x0D\x20/@:]+:[^\x09-\x0D\x20/@]+@")
+    return sorted((m.start(), m.end(), kind) for kind, pattern in (("web_token", token), ("url_login", login))
+                  for m in pattern.finditer(text))
+
+
+def test_added_rules_have_no_upper_bounds(spark, make):
+    rng = random.Random(5)
+    parts = ["eyJ", "a" * 7, "b-_9" * 3, "C" * 1200, ".", "..", " ", "\n", "@", ":", "://", "/", "postgresql+psycopg2", "oauth2",
+             "p" * 300, "x" * 39, "y" * 41, "1", "-", "A", "é\U0001f600", "eyJeyJ"]
+    parts += ["eyJ" + "k" * 8 + ".", "." + "l" * 8, "l" * 8 + ".", "://u:", "://" + "m" * 250 + ":", "n" * 250 + "@", "o@"] * 4
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 40))) for _ in range(1500)]
+    texts += [f"say eyJ{'h' * 33}.{'P' * 1200}.{'s' * 340} end", f"eyJ{'h' * 1500}.{'P' * 12}.{'s' * 1500}",
+              f"https://oauth2:{'t' * 300}@host", f"postgresql+psycopg2://{'u' * 250}:{'w' * 250}@db", "a://u:p@b://u:p@",
+              f"{'long-scheme.' * 90}://u:p@h", f"{'z' * 60}://u/ {'z' * 60} x://u:{'é\U0001f600' * 5000}@",
+              f"eyJ{'h' * 9}.eyJ{'h' * 9}.{'i' * 9}.{'j' * 9}", "eyJ" * 400 + ".short.", f"http://{'q' * 45}://u:p@"]
+    assert sum(len(brute_added(t)) for t in texts) > 150
+    found, _ = secret_scan.scan_all(make([(i, t, "s") for i, t in enumerate(texts)]), secret_scan.ADDED_RULES)
+    for r in found.collect():
+        assert sorted((s.start, s.end, s.kind) for s in r.findings) == brute_added(texts[r.path]), texts[r.path][:200]
+
+
+def test_long_runs_cost_no_more_than_their_length(spark, make):
+    texts = ["ab1" * 1_000_000, "eyJ" * 1_000_000, "a" * 1_000_000 + "://u:p@"]
+    found, _ = secret_scan.scan_all(make([(i, t, "s") for i, t in enumerate(texts)]), secret_scan.ADDED_RULES)
+    assert {r.path: [(s.start, s.end) for s in r.findings] for r in found.collect()} == {0: [], 1: [], 2: [(0, 1_000_007)]}
+
+
 def test_the_ledger_saves_scans(spark, make, odd, empty, tmp_path):
     first = make([(1, "token=abcdef", "s"), (2, "plain", "s")])
     _, entries = secret_scan.scan_all(first)
