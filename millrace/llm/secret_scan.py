@@ -119,14 +119,19 @@ def append(entries: DataFrame, ledger_path: str) -> None:
 def findings(addressed: DataFrame, ledger: DataFrame, rules) -> DataFrame:
     """One row per version: path, blob, findings of the current rules ordered by start and rule.
 
-    `ledger` holds one row per blob and scan. Spans are renumbered by the current order of rules.
+    `ledger` holds one row per blob and scan. A row's spans of a kind were found by the version of that kind
+    in its `scanned`; they count only if that version is current, and once however many rows hold them.
+    Spans are renumbered by the current order of rules.
     """
     current = F.create_map(*[F.lit(x) for n, rule in enumerate(rules) for x in (rule.kind, n)])
-    spans = F.filter(F.flatten(F.collect_list("findings")), lambda s: F.map_contains_key(current, s["kind"]))
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(
+    pairs = F.create_map(*[F.lit(x) for rule in rules for x in (rule.kind, rule.pair)])
+    valid = F.filter("findings", lambda s: F.coalesce(
+        F.array_contains("scanned", F.element_at(pairs, s["kind"])), F.lit(False)))
+    ordered = F.array_sort(F.array_distinct(F.transform(F.flatten(F.collect_list("valid")), lambda s: F.struct(
         s["start"].alias("start"), F.element_at(current, s["kind"]).alias("kind_no"), s["end"].alias("end"),
-        s["kind"].alias("kind"))))
-    hits = ledger.filter(F.size("findings") > 0).groupBy("blob").agg(ordered.alias("findings"))
+        s["kind"].alias("kind")))))
+    kept = ledger.filter(F.size("findings") > 0).select("blob", valid.alias("valid"))
+    hits = kept.groupBy("blob").agg(ordered.alias("findings"))
     none = F.expr(f"cast(array() as {SPAN})")
     return addressed.join(cut_lineage(hits, "findings"), "blob", "left").select(
         "path", "blob", F.coalesce("findings", none).alias("findings"))

@@ -219,6 +219,33 @@ def test_the_ledger_saves_scans(spark, make, odd, empty, tmp_path):
     assert secret_scan.scan_all(empty)[0].count() == 0
 
 
+def test_findings_are_those_of_the_current_versions(spark, make, tmp_path):
+    path = str(tmp_path / "ledger")
+    texts = ["token=abcdefg token=wxyz", "x token=abcdefg " + "a" * 30]
+    docs = make([(i, t, "s") for i, t in enumerate(texts)])
+
+    def rules(version, least, kind="assign"):
+        return [secret_scan.Rule(kind, version, secret_scan.ASSIGN, least, 2), *secret_scan.BASE_RULES[1:]]
+
+    def spans(scanned):
+        return {r.path: [(s.kind, s.start, s.end) for s in r.findings] for r in scanned.collect()}
+
+    loose = {0: [("assign", 0, 13), ("assign", 14, 24)], 1: [("assign", 2, 15), ("hex", 16, 46)]}
+    strict = {0: [("assign", 0, 13)], 1: [("assign", 2, 15), ("hex", 16, 46)]}
+    found, entries = secret_scan.scan_all(docs, rules(1, 4))
+    secret_scan.append(entries, path)
+    assert spans(found) == loose
+    found, entries = secret_scan.scan_all(docs, rules(2, 6), spark.read.parquet(path))
+    secret_scan.append(entries, path)
+    assert spans(found) == strict  # found by both versions: once; found by the withdrawn one alone: gone
+    secret_scan.append(entries, path)  # the same scan appended twice
+    for current, want in ((rules(2, 6), strict), (rules(1, 4), loose), (rules(3, 8), {0: [], 1: [("hex", 16, 46)]})):
+        found, entries = secret_scan.scan_all(docs, current, spark.read.parquet(path))
+        assert spans(found) == want
+    assert {tuple(r.scanned) for r in entries.collect()} == {("assign@3",)}
+    assert spans(secret_scan.scan_all(docs, rules(1, 4)[1:], spark.read.parquet(path))[0]) == {0: [], 1: [("hex", 16, 46)]}
+
+
 def test_op5_agrees_with_sql(spark, small):
     assert difference(screening.secret_spans(spark, small), duck(small), screening._secrets_sql()) is None
 
