@@ -18,6 +18,7 @@ from millrace.llm.common import key_of, ranked, row_fraction, shuffle_partitions
 from millrace.session import cut_lineage
 
 PARTS_A_PARTITION = 4
+PART_ROWS_LOG2 = 16
 
 
 def assign_shards(docs: DataFrame, shards: int, seed: int = 0, id_col="doc_id", text_col="text",
@@ -47,12 +48,32 @@ def assign_shards(docs: DataFrame, shards: int, seed: int = 0, id_col="doc_id",
         "doc_id", "stratum", "size", "text_crc32", "shard", "slot")
 
 
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str, id_col="doc_id") -> None:
-    """Write the rows under `path`/shard=k, each file in slot order; ids must be unique and not null.
+def write_shards(docs: DataFrame, assigned: DataFrame, path: str, id_col="doc_id", text_col="text",
+                 stratum_col="source") -> None:
+    """Write every row once under `path`/shard=k, each file in slot order; `assigned` is that of these `docs`.
 
-    A shard is written by as many tasks as its slots need, not by one.
+    Rows meet their slots by all that the assignment tells apart and, among rows equal in that, which can trade
+    places, by their number. Ids may be null or repeated. A row without a slot, or the other way round, is an
+    error. A shard is written by as many tasks as its slots need, not by one.
     """
-    where = assigned.select(F.col("doc_id").alias("_id"), "shard", "slot")
-    joined = docs.select(F.struct("*").alias("row")).join(where, F.col(f"row.{id_col}") == F.col("_id"))
+    text = whole_text(text_col)
+    numbered = F.monotonically_increasing_id().alias("row_no")
+    rows = cut_lineage(docs.select(
+        F.struct("*").alias("row"), key_of(id_col).alias("id_key"), key_of(stratum_col).alias("stratum"),
+        (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"), numbered), "shard-docs")
+    slots = cut_lineage(assigned.select(
+        key_of("doc_id").alias("id_key"), "stratum", "size", "text_crc32", "shard", "slot", numbered), "shard-slots")
+    keys = ["id_key", "stratum", "size", "text_crc32"]
+
+    def placed(some):
+        return ranked(some.withColumn("part", F.shiftright("row_no", PART_ROWS_LOG2)), keys, "part", ["row_no"])
+
+    own = placed(rows.select(*keys, "row_no")).select(*keys, "place", "row_no")
+    met = own.join(placed(slots).select(*keys, "place", "shard", "slot"), [*keys, "place"], "full")
+    differ = F.raise_error(F.lit("docs are not the rows that were assigned")).cast("int")
+    where = cut_lineage(met.select("row_no", "slot", F.when(
+        F.col("row_no").isNotNull() & F.col("shard").isNotNull(), F.col("shard")).otherwise(differ).alias("shard")),
+        "shard-places")
+    joined = rows.select("row_no", "row").join(where, "row_no")
     ordered = joined.repartitionByRange(shuffle_partitions(docs), "shard", "slot").sortWithinPartitions("shard", "slot")
     ordered.select("row", "slot", "shard").write.partitionBy("shard").parquet(path)

@@ -75,6 +75,26 @@ def test_shards_of_odd_rows(spark, odd, empty, make, tmp_path):
     assert back.count() == 40 and {r.shard for r in back.select("shard").distinct().collect()} == {0, 1, 2, 3}
 
 
+@pytest.mark.parametrize("part_log2", [1, 16])
+def test_written_shards_hold_every_row_once(spark, odd, empty, make, tmp_path, monkeypatch, part_log2):
+    monkeypatch.setattr(sharding, "PART_ROWS_LOG2", part_log2)
+    hot = make([(None if i % 3 else 5, "hot" if i % 2 else f"t{i}", "a") for i in range(600)]).repartition(5)
+    for name, docs in (("odd", odd), ("hot", hot)):
+        assigned = sharding.assign_shards(docs, 4)
+        sharding.write_shards(docs, assigned, str(tmp_path / name))
+        back = spark.read.parquet(str(tmp_path / name))
+        assert back.select("row.*").columns == docs.columns
+        rows = back.collect()
+        assert sorted(str(r.row) for r in rows) == sorted(map(str, docs.collect()))
+        crc = {(r.shard, r.slot): (r.row.doc_id, ("0" if r.row.source is None else "1" + r.row.source),
+                                   zlib.crc32((r.row.text or "").encode())) for r in rows}
+        assert len(crc) == len(rows)
+        assert crc == {(r.shard, r.slot): (r.doc_id, r.stratum, r.text_crc32) for r in assigned.collect()}
+    sharding.write_shards(empty, sharding.assign_shards(empty, 4), str(tmp_path / "empty"))
+    with pytest.raises(Exception, match="not the rows that were assigned"):
+        sharding.write_shards(hot.limit(599), sharding.assign_shards(hot, 4), str(tmp_path / "other"))
+
+
 def brute_targets(sizes, weights, share, most):
     """Share by weight; cap, share the excess among the others, again."""
     total, full, targets = share * sum(sizes), set(), [0.0] * len(sizes)
