@@ -6,10 +6,11 @@ components whose smallest document stays.
 
 Which trees an entry meets: its 64 bits are cut into `radius` + 1 blocks; two entries within the radius
 agree on at least one block, so a shard holds the entries that share a block's value. A shard of more
-than `most` entries is cut again: the remaining bits into 8 blocks, a key for every choice of 8 - radius
-of them. Entries that share such a key can differ in `radius` small blocks only, which bounds the shard
-whatever the data (2^12 entries for radius 2). So no tree, and no task, holds an unbounded group, and
-nothing of the corpus passes through the driver.
+than `most` entries is cut again: the remaining bits into 4 * radius fine blocks (fewer from radius 4 on, so that
+there are at most 250 choices), a key for every choice of all but `radius` of them. Entries that share such a
+key can differ in `radius` small blocks only: at radius 2 and 3 that bounds the shard to 2^12 entries whatever
+the data. At wider radii every link is found too, but the left-out bits, and with them the bound, grow. A radius
+of 64 or more is refused. Nothing of the corpus passes through the driver.
 
 In a shard the entries build one BK-tree, children keyed by their integer Hamming distance to the
 parent, and each entry follows only the edges within the radius of its own distance. The links of a
@@ -23,6 +24,7 @@ carried untouched.
 
 from functools import partial
 from itertools import islice
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -37,7 +39,7 @@ from millrace.session import cut_lineage
 
 SEED = 42
 MOST = 512
-_FINE_BLOCKS = 8
+_MOST_CHOICES = 250
 _CHUNK = 1 << 15
 
 
@@ -144,19 +146,24 @@ def _coarse_keys(fp: Column, radius: int):
     return F.array(*keys)
 
 
+def _fine_blocks(radius: int) -> int:
+    """Four fine blocks a bit of the radius, or fewer, but more than the radius, where that gives too many choices."""
+    return max([radius + 1, *[n for n in range(radius + 1, 4 * radius + 1) if comb(n, radius) <= _MOST_CHOICES]])
+
+
 def _fine_keys(fp: Column, number: int, radius: int):
     """Keys over the bits outside block `number`, one for every choice of fine blocks left out."""
     from itertools import combinations
 
-    widths = _widths(64, radius + 1)
+    widths, blocks = _widths(64, radius + 1), _fine_blocks(radius)
     low = sum(widths[:number])
     free = [b for b in range(64) if not low <= b < low + widths[number]]
     cuts, at = [], 0
-    for width in _widths(len(free), _FINE_BLOCKS):
+    for width in _widths(len(free), blocks):
         cuts.append(free[at:at + width])
         at += width
     keys = []
-    for left_out in combinations(range(_FINE_BLOCKS), radius):
+    for left_out in combinations(range(blocks), radius):
         mask = sum(1 << b for i, cut in enumerate(cuts) if i not in left_out for b in cut)
         mask |= sum(1 << b for b in range(low, low + widths[number]))
         mask -= (1 << 64) if mask >> 63 else 0
@@ -197,6 +204,8 @@ def _search(radius):
 
 def fingerprint_links(entries: DataFrame, radius: int = 2, most: int = MOST) -> DataFrame:
     """(u, v): links between distinct fingerprints (column fp, a written table) that join every component."""
+    if not 0 <= radius < 64:
+        raise ValueError("fingerprints of 64 bits can be cut into shards for a radius of 0 to 63 only")
     keyed = entries.select("fp", F.explode(_coarse_keys(F.col("fp"), radius)).alias("k")).select(
         "fp", F.col("k.block").alias("block"), F.xxhash64("k.block", "k.value").alias("shard"))
     sizes = cut_lineage(keyed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shards")

@@ -137,6 +137,42 @@ def test_links_join_the_true_components(spark, most):
     assert [root(i) for i in range(len(fps))] == want
 
 
+@pytest.mark.parametrize("radius", [8, 9])
+def test_crowded_shards_are_cut_for_wide_radii(spark, radius):
+    random.seed(radius)
+    low = (1 << (64 // (radius + 1))) - 1
+    centres = [random.getrandbits(64) & ~low for _ in range(8)]  # one coarse block is the same in all
+    fps = sorted({c ^ sum(1 << b for b in random.sample(range(12, 64), random.randint(0, radius)))
+                  for c in centres for _ in range(20)})
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    entries = spark.createDataFrame([(f,) for f in signed], "fp bigint").cache()
+    place, parent = {f: i for i, f in enumerate(signed)}, list(range(len(fps)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for r in simhash.fingerprint_links(entries, radius, 4).collect():
+        assert ((r.u ^ r.v) & ((1 << 64) - 1)).bit_count() <= radius
+        a, b = root(place[r.u]), root(place[r.v])
+        parent[max(a, b)] = min(a, b)
+    want = []  # as brute_components, for this radius
+    for i, f in enumerate(fps):
+        want.append(i)
+        for j in range(i):
+            if (f ^ fps[j]).bit_count() <= radius and want[j] != want[i]:
+                old, new = max(want[i], want[j]), min(want[i], want[j])
+                want = [new if w == old else w for w in want]
+    assert len(set(want)) < len(fps) / 2 and [root(i) for i in range(len(fps))] == want
+
+
+def test_a_radius_is_cut_or_refused(spark):
+    assert simhash._fine_blocks(2) == 8 and all(simhash._fine_blocks(r) > r for r in range(64))
+    with pytest.raises(ValueError):
+        simhash.fingerprint_links(spark.createDataFrame([(1,)], "fp bigint"), 64)
+
+
 def check_components(rows, got):
     fps = [brute_simhash(text) for _, text in rows]
     comps = brute_components(fps)
