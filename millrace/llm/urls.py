@@ -96,8 +96,9 @@ def lexical(df: DataFrame, url_col: str) -> DataFrame:
 
 
 def suffix_statistics(labelled: DataFrame, suffix: str) -> DataFrame:
-    """(suffix, n, blocked) over all labelled URLs."""
-    return labelled.groupBy(suffix).agg(F.count(F.lit(1)).alias(f"n_{suffix}"), F.sum("label").alias(f"b_{suffix}"))
+    """(suffix, n, blocked) over all labelled URLs, each counted `copies` times."""
+    return labelled.groupBy(suffix).agg(F.sum("copies").alias(f"n_{suffix}"),
+                                        F.sum(F.col("label") * F.col("copies")).alias(f"b_{suffix}"))
 
 
 def with_rates(df: DataFrame, statistics, base: float, own: Column) -> DataFrame:
@@ -122,18 +123,22 @@ class UrlModel:
                  depth=4, seed=7):
         known = labelled.select(F.col(url_col).alias("url"), F.col(label_col).cast("double").alias("label")).filter(
             F.col("label").isNotNull())
+        known = known.groupBy("url", "label").agg(F.count(F.lit(1)).alias("copies"))
         known = cut_lineage(lexical(known, "url"), "url-labels")
-        rows, blocked = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()  # two numbers
+        distinct, rows, blocked = known.agg(
+            F.count(F.lit(1)), *[F.coalesce(F.sum(x), F.lit(0.0)) for x in (
+                F.col("copies").cast("double"), F.col("label") * F.col("copies"))]).first()  # three numbers
         self.statistics = {s: cut_lineage(suffix_statistics(known, s), s) for s in ("suffix_1", "suffix_2")}
         self.base = blocked / rows if rows else 0.0
         self.trees = None
         if 0 < blocked < rows:
-            chosen = F.pmod(F.xxhash64(F.lit(seed), "url"), F.lit(1 << 32)) < int(min(1.0, sample_rows / rows) * (1 << 32))
+            chosen = F.pmod(F.xxhash64(F.lit(seed), "url"), F.lit(1 << 32)) < int(min(1.0, sample_rows / distinct) * (1 << 32))
             sample = with_rates(known.filter(chosen), self.statistics, self.base, F.lit(1))
-            sample = cut_lineage(self._vectors(sample).select("features", "label", "url").repartition(4, "url")
-                                 .sortWithinPartitions("url"), "url-sample")
+            sample = self._vectors(sample).select("features", "label", "url", F.col("copies").cast("double").alias("copies"))
+            sample = cut_lineage(sample.repartition(4, "url").sortWithinPartitions("url", "label"), "url-sample")
             if sample.select("label").distinct().count() == 2:
-                self.trees = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, maxMemoryInMB=64).fit(sample)
+                self.trees = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, maxMemoryInMB=64,
+                                           weightCol="copies").fit(sample)
 
     @staticmethod
     def _vectors(df):

@@ -144,6 +144,19 @@ def test_trees_generalise(spark):
     assert sum((r.block_score > 0.5) == (r.label == 1) for r in scored) >= 190
 
 
+def test_a_hot_url_is_one_row_of_the_sample(spark, monkeypatch):
+    rows = [(f"http://h{i}.org/{'p/' * (i % 5)}", float(i % 3 == 0)) for i in range(60)]
+    rows += [("http://hot.org/x", 0.0)] * 500 + [("http://both.org/", 1.0)] * 30 + [("http://both.org/", 0.0)] * 10
+    written, cut = {}, urls.cut_lineage
+    monkeypatch.setattr(urls, "cut_lineage", lambda df, name: written.setdefault(name, cut(df, name)))
+    model = urls.UrlModel(spark.createDataFrame(rows, "url string, label double").repartition(6), trees=2, depth=2)
+    sample = {(r.url, r.label): r.copies for r in written["url-sample"].collect()}
+    assert sample == {key: float(n) for key, n in Counter(rows).items()} and written["url-sample"].count() == 63
+    assert model.base == sum(label for _, label in rows) / len(rows)
+    assert [(r.suffix_1, r.n_suffix_1, r.b_suffix_1) for r in written["suffix_1"].collect()] == [("org", 600, 50.0)]
+    assert model.trees.getWeightCol() == "copies"
+
+
 def brute_spans(text):
     text, out = text or "", []
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
