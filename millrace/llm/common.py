@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.session import cut_lineage
+
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -83,3 +85,12 @@ def ranked(rows: DataFrame, groups, bucket: str, order, sums=()) -> DataFrame:
         *rows.columns, (F.col("_first") + F.col("_place")).alias("place"),
         *[(F.col(f"_shift_{s}") + F.col(f"_before_{s}")).alias(f"before_{s}") for s in sums],
         "n_total", *[f"{s}_total" for s in sums])
+
+
+def in_order(rows: DataFrame, groups, order, tag: str, sums=()) -> DataFrame:
+    """`ranked` over parts of equal size, whatever ids repeat: `rows` are dealt by ranges of (`groups`, `order`)
+    and written with the number of their range. `order` must end in a column that tells all rows apart, and
+    `rows` must be cheap to read twice."""
+    dealt = rows.repartitionByRange(4 * shuffle_partitions(rows), *groups, *order).withColumn(
+        "range_no", F.spark_partition_id())
+    return ranked(cut_lineage(dealt, tag), groups, "range_no", order, sums).drop("range_no", "n_total")

@@ -1,9 +1,9 @@
-"""Queries that choose, order and encode documents: op7 to op10."""
+"""Queries that choose, order, encode and attest documents: op7 to op10 and op13."""
 
 from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, mixing, sharding, tokens
-from millrace.llm.common import table
+from millrace.llm import exact_dedup, merkle, mixing, sharding, tokens
+from millrace.llm.common import lower_ascii, table
 from millrace.llm.registry import query
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -88,3 +88,18 @@ def exact_duplicates(spark, folder):
            as taken from r""")
 def mixed(spark, folder):
     return mixing.mix_plan(table(spark, folder, "documents"), WEIGHTS, seed=SEED)
+
+
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query("op13_merkle")
+def manifest_proofs(spark, folder):
+    docs = table(spark, folder, "documents")
+    tampered = [lower_ascii(F.col(f)) if f == "text" else F.col(f) for f in LEAF_FIELDS]
+    changed = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    true, lowered = merkle.leaf_digest([F.col(f) for f in LEAF_FIELDS]), merkle.leaf_digest(tampered)
+    made = merkle.Manifest.build(docs, LEAF_FIELDS, claim=F.when(changed, lowered).otherwise(true))
+    root = F.lit(made.root).cast("string")
+    return made.proofs().select("doc_id", "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root",
+                                (F.col("folded_root") == root).alias("verified"))
