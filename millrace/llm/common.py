@@ -94,3 +94,26 @@ def in_order(rows: DataFrame, groups, order, tag: str, sums=()) -> DataFrame:
     dealt = rows.repartitionByRange(4 * shuffle_partitions(rows), *groups, *order).withColumn(
         "range_no", F.spark_partition_id())
     return ranked(cut_lineage(dealt, tag), groups, "range_no", order, sums).drop("range_no", "n_total")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col, text_col, label_col, seed: int,
+                    parts: int) -> DataFrame:
+    """(label, part, text) of about `rows` labelled ids, drawn by a hash of the id; part is 0 .. `parts` - 1.
+
+    One row per id, whatever repeats: null ids and labels, and ids that have both labels, are left out; of
+    several texts of an id the one of least hash is taken, before the texts are shuffled."""
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(
+        "id is not null and label is not null").groupBy("id").agg(
+        F.min("label").alias("label"), F.max("label").alias("other")).filter("label = other").drop("other")
+    n = known.count()
+    share = min(1.0, rows / n) if n else 0.0
+
+    def spot(salt):
+        return F.pmod(F.xxhash64(F.lit(salt), F.col("id").cast("string")), F.lit(1 << 32))
+
+    # about `rows` ids at most, whatever the tables: small enough to be sent everywhere
+    chosen = known.filter(spot(seed) < int(share * (1 << 32))).withColumn(
+        "part", F.pmod(spot(seed + 1), F.lit(parts)).cast("int"))
+    texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
+    return texts.join(F.broadcast(chosen), "id").groupBy("id", "label", "part").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text")).select("label", "part", "text")

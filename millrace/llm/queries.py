@@ -1,6 +1,6 @@
 """The queries of these operators and, where SQL can express one, the SQL it must agree with."""
 
-from millrace.llm import curation, screening
+from millrace.llm import curation, mining, screening
 from millrace.llm.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "curation", "screening"]
+__all__ = ["ORACLES", "QUERIES", "curation", "mining", "screening"]
