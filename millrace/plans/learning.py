@@ -5,22 +5,31 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text
 from millrace.operators import (
-    curves, density, evaluation, isolation, learn, neighbors, splits, textfeatures, validation,
+    comparison, curves, density, evaluation, isolation, learn, neighbors, splits, textfeatures, validation,
 )
+from millrace.operators.ensembles import Forest
 from millrace.plans import bindings as b
 from millrace.plans.registry import query
 from millrace.plans.tabular import _CLEAN, _DIGEST, CLASS_NAMES, r
 from millrace.session import cut_lineage, scratch_path
 
-# fixed values: a short English stop list used on both sides of the comparison
-STOP_WORDS = ["the", "and", "that", "for", "with", "her", "his", "was", "are", "not", "this", "from", "have", "you",
-              "in", "on", "an", "at", "as", "of", "to", "is", "it", "he", "or"]
+# fixed values: Spark's English stop list (a test holds the two together), as plain text for the SQL side
+STOP_WORDS = """i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+herself it its itself they them their theirs themselves what which who whom this that these those am is are was were be
+been being have has had having do does did doing a an the and but if or because as until while of at by for with about
+against between into through during before after above below to from up down in out on off over under again further then
+once here there when where why how all any both each few more most other some such no nor not only own same so than too
+very s t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're
+he's she's it's we're they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't
+didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's what's
+when's where's who's why's would""".split()
+_STOP_LIST = "[" + ", ".join("'" + word.replace("'", "''") + "'" for word in STOP_WORDS) + "]"
 
 
 def _term_ctes(prefix="", where="true"):
     """Words, their uses with word pairs, and term counts of the documents that meet `where`."""
     return f"""{prefix}words as (
-  select doc_id, list_filter(regexp_extract_all({_CLEAN}, '\\w\\w+'), lambda w: not list_contains({STOP_WORDS}, w)) as w
+  select doc_id, list_filter(regexp_extract_all({_CLEAN}, '\\w\\w+'), lambda w: not list_contains({_STOP_LIST}, w)) as w
   from documents where {where}),
 {prefix}uses as (
   select doc_id, unnest(w) as term from {prefix}words
@@ -159,32 +168,30 @@ def forest_predictions(spark, d):
 
 @query("classifier_benchmark")
 def classifier_benchmark(spark, d):
-    return learn.classifier_benchmark(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label")
+    return comparison.classifier_benchmark(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label")
 
 
 @query("grid_results")
 def grid_results(spark, d):
-    rows = learn.prepared(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", 5)
-    return learn.search(rows, *learn.forest_grid([50, 100, 200], [3, 5, 10], [1, 5]), b.PROFILE_COLUMNS)
+    return comparison.search(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label",
+                             comparison.forest_grid([50, 100, 200], [3, 5, 10], [1, 5]))
 
 
 @query("param_search")
 def param_search(spark, d):
-    rows = learn.prepared(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", 5)
-    return learn.search(rows, *learn.sampled_forests(20), b.PROFILE_COLUMNS)
+    return comparison.search(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", comparison.sampled_forests(20))
 
 
 @query("cv_scores")
 def cv_scores(spark, d):
     strategies = {"5-fold": (5, 7, False), "10-fold": (10, 7, False), "stratified 5-fold": (5, 42, True)}
-    return learn.cv_scores(
-        b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", learn.random_forest(100, 5), strategies)
+    return comparison.cv_scores(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", Forest(100, 5), strategies)
 
 
 @query("learning_curve")
 def learning_curve(spark, d):
-    models = {f"depth {depth}": learn.random_forest(100, depth) for depth in (1, 5, 10)}
-    return learn.learning_curve(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", models)
+    models = {f"depth {depth}": Forest(100, depth) for depth in (1, 5, 10)}
+    return comparison.learning_curve(b.profiles(spark, d), "id", b.PROFILE_COLUMNS, "label", models)
 
 
 @query("calibrated_scores")

@@ -348,14 +348,13 @@ def stream_low_confidence(spark, d):
     return spark.read.parquet(out)
 
 
-@query("stream_first", "select least(count(*), 250) as n_rows, least(count(*), 250) as n_different from events")
+@query("stream_first", b.with_ctes(b.PRED_LOG) + "select request_id, ts, prediction from pred_log order by ts, request_id limit 250")
 def stream_first(spark, d):
-    """A consumer that stops for good after 250 messages, started twice on the same checkpoint."""
+    """A consumer that takes 100 messages and stops, then takes up to 250 of the same stream."""
     out, checkpoint = _folders(spark, "first")
-    for _ in range(2):
-        streams.run_first(event_stream(spark, d), 250, out, checkpoint)
-    return spark.read.parquet(out).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("request_id").alias("n_different"))
+    for n in (100, 250):
+        streams.run_first(event_stream(spark, d), n, out, checkpoint, ["ts", "request_id"])
+    return spark.read.parquet(out).select("request_id", "ts", "prediction")
 
 
 @query("stream_summary", tabular.SUMMARY_SQL)
@@ -380,8 +379,9 @@ def rate_sliding(spark, d):
 def stream_rate(spark, d):
     out, checkpoint = _folders(spark, "rate")
     rows = streams.with_event_time(event_stream(spark, d))
-    streams.run_batches(streams.rate(rows), out, checkpoint, "update")
-    return plain_time(streams.current_state(spark, out, ["window_start"])).withColumn("rate", r("rate"))
+    keys = ["window_start"]
+    streams.run_batches(streams.rate(rows), out, checkpoint, "update", keys)
+    return plain_time(streams.current_state(spark, out, keys)).withColumn("rate", r("rate"))
 
 
 @query("counter_rate", b.with_ctes(b.PRED_LOG, """samples as (
@@ -401,8 +401,9 @@ def counter_rate(spark, d):
 def stream_monitor(spark, d):
     out, checkpoint = _folders(spark, "monitor")
     rows = streams.with_event_time(event_stream(spark, d))
-    streams.run_batches(streams.window_confusion(rows), out, checkpoint, "update")
-    counts = streams.current_state(spark, out, ["window_start", "y_true", "prediction"])
+    keys = ["window_start", "y_true", "prediction"]
+    streams.run_batches(streams.window_confusion(rows), out, checkpoint, "update", keys)
+    counts = streams.current_state(spark, out, keys)
     return plain_time(streams.confusion_report(counts, 0.8))
 
 
@@ -445,6 +446,7 @@ def stream_psi(spark, d):
     edges = streams.reference_edges(b.pred_log(spark, d).filter(F.col("ts") < cut), columns)
     out, checkpoint = _folders(spark, "psi")
     rows = streams.with_event_time(event_stream(spark, d))
-    streams.run_batches(streams.window_bins(rows, edges, columns, width="2 days"), out, checkpoint, "update")
-    bins = streams.current_state(spark, out, ["window_start", "feature", "bin"])
+    keys = ["window_start", "feature", "bin"]
+    streams.run_batches(streams.window_bins(rows, edges, columns, width="2 days"), out, checkpoint, "update", keys)
+    bins = streams.current_state(spark, out, keys)
     return plain_time(streams.window_psi(bins, edges))

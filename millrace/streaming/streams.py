@@ -5,7 +5,7 @@ frames; only `run_*` start anything. State lives in the query's checkpoint, so a
 restarted query continues where it stopped.
 """
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,14 +46,18 @@ def run_append(stream: DataFrame, path: str, checkpoint: str):
     return query
 
 
-def run_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "update"):
+def run_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "update", keys=None, every: int = 10):
     """Process what is there, writing every micro-batch to its own folder.
 
     The folder is named by the batch number and overwritten, so a batch that is
-    run again after a failure replaces itself.
+    run again after a failure replaces itself. With `keys`, the newest value per
+    key is folded into a base after every `every` batches, so that `current_state`
+    reads one base and at most `every` batches, however long the stream has run.
     """
     def write(batch, number):
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        if keys and (number + 1) % every == 0:
+            current_state(stream.sparkSession, path, keys).write.mode("overwrite").parquet(f"{path}{_BASE}/upto={number}")
 
     query = (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -63,34 +67,80 @@ def run_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "upda
     return query
 
 
-def run_first(stream: DataFrame, n: int, path: str, checkpoint: str):
-    """Write the first `n` rows to come, then stop for good, also over restarts.
+class _Enough(Exception):
+    """Raised to leave a micro-batch uncommitted."""
 
-    What is still missing is counted from the written batches; a batch that is run
-    again after a failure replaces itself, and the batch that fills the count is cut.
+
+def run_first(stream: DataFrame, n: int, path: str, checkpoint: str, order=()):
+    """Write the first `n` rows to come, then stop, also over restarts; messages after them stay to be read.
+
+    `order` are columns that say which rows of a micro-batch come first. The batch in which the n-th
+    row lies is not committed: a later run with a larger `n` gets it again and takes only
+    rows that are not written yet. What is missing is counted from the written rows, and a
+    batch that is run again after a failure goes on where its written rows end.
     """
-    spark = stream.sparkSession
+    spark, full = stream.sparkSession, []
 
-    def write(batch, number):
-        folder = f"{path}/batch={number}"
+    def written():
         try:
-            taken = spark.read.parquet(path).filter(F.col("batch") != number).count()
+            return spark.read.parquet(path)
         except AnalysisException:  # nothing is written yet
-            taken = 0
+            return None
+
+    def write(batch, number):
+        before = written()
+        taken = 0 if before is None else before.count()
         if taken < n:
-            batch.limit(n - taken).write.mode("overwrite").parquet(folder)
+            mine = None if before is None else before.filter(F.col("batch") == number).select(*batch.columns)
+            rest = batch if mine is None else batch.exceptAll(mine)
+            first = rest.orderBy(*order) if order else rest
+            first.limit(n - taken).write.mode("overwrite").parquet(f"{path}/batch={number}/after={taken}")
+            if written().filter(F.col("batch") == number).count() == batch.count():
+                return  # the whole batch is written
+        full.append(number)
+        raise _Enough(f"{n} rows are written")
 
     query = (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if not full:
+            raise
     return query
 
 
+_BASE = "-base"  # behind the path of the batches
+
+
+def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers n of the complete folders `name`=n under a path."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    found = (status.getPath().getName() for status in files.listStatus(root))
+    numbers = [int(folder.split("=")[1]) for folder in found if folder.startswith(f"{name}=")]
+    return sorted(n for n in numbers if files.exists(hadoop.Path(f"{path}/{name}={n}/_SUCCESS")))
+
+
+def state_parts(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
+    """(number of the newest base, numbers of the batches after it): all that a state is read from."""
+    bases = _numbers(spark, f"{path}{_BASE}", "upto")
+    base = bases[-1] if bases else None
+    return base, [n for n in _numbers(spark, path, "batch") if base is None or n > base]
+
+
 def current_state(spark: SparkSession, path: str, keys) -> DataFrame:
     """Newest value per key over the micro-batches of an update-mode run."""
-    rows = spark.read.parquet(path)
+    base, batches = state_parts(spark, path)
+    parts = [spark.read.parquet(f"{path}{_BASE}/upto={base}").withColumn("batch", F.lit(-1))] if base is not None else []
+    if batches or not parts:
+        parts.append(spark.read.option("basePath", path).parquet(*[f"{path}/batch={n}" for n in batches]))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     values = [c for c in rows.columns if c not in (*keys, "batch")]
     return latest_by(rows, keys, ["batch"], values)
 

@@ -5,10 +5,6 @@ import pytest
 from millrace.plans.catalogue import ORACLES, QUERIES
 from tools.compare import difference, duck
 
-# these fit a hundred and more ensembles; tests/test_learning.py runs their operators with small ones
-SLOW_WITHOUT_SQL = {"classifier_benchmark", "learning_curve", "grid_results", "param_search"}
-
-
 @pytest.fixture(scope="module")
 def con(small):
     return duck(small)
@@ -19,11 +15,18 @@ def test_agrees_with_sql(spark, small, con, name):
     assert difference(QUERIES[name](spark, small), con, ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES and n not in SLOW_WITHOUT_SQL])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ORACLES])
 def test_gives_rows(spark, small, name):
     assert QUERIES[name](spark, small).count() > 0
 
 
+def test_the_stop_list_is_the_whole_english_one(spark):
+    from millrace.operators.textfeatures import english_stop_words
+    from millrace.plans.learning import STOP_WORDS
+
+    assert STOP_WORDS == english_stop_words()
+
+
 def test_every_sql_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 

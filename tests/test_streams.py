@@ -65,6 +65,48 @@ def test_the_first_rows_are_taken_once(spark, tmp_path):
     assert spark.read.parquet(out).select("request_id").distinct().count() == spark.read.parquet(out).count() == 45
 
 
+def test_messages_after_the_nth_stay(spark, tmp_path):
+    """15 of 50, then 40, then all: in order, each once, nothing lost."""
+    src, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    write(spark, src, range(50), "a")
+    got = lambda: sorted(r["request_id"] for r in spark.read.parquet(out).select("request_id").collect())
+    whole = sorted(r["request_id"] for r in spark.read.parquet(src).select("request_id").collect())
+    first = [r["request_id"] for r in spark.read.parquet(src).orderBy("ts", "request_id").select("request_id").collect()]
+    for n in (15, 15, 40, 50, 60):
+        streams.run_first(source(spark, src), n, out, checkpoint, ["ts", "request_id"])
+        assert got() == sorted(first[:n])
+    write(spark, src, range(50, 80), "b")
+    streams.run_first(source(spark, src), 60, out, checkpoint, ["ts", "request_id"])
+    assert len(got()) == 60 and set(whole) <= set(got())
+
+
+def test_a_folded_state_reads_few_batches(spark, tmp_path):
+    """Over 100 batches the state equals the batch answer and is read from one base and a few batches."""
+    src, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    keys, sizes = ["window_start", "y_true", "prediction"], []
+    counts = lambda i: spark.createDataFrame([(i % 7, 0, 1, i)], "window_start int, y_true int, prediction int, n int")
+    for i in range(100):
+        counts(i).write.mode("overwrite").parquet(f"{out}/batch={i}")
+        if (i + 1) % 10 == 0:
+            streams.current_state(spark, out, keys).write.mode("overwrite").parquet(f"{out}-base/upto={i}")
+        if i % 9 == 4:
+            base, newer = streams.state_parts(spark, out)
+            sizes.append(len(newer))
+            state = {r["window_start"]: r["n"] for r in streams.current_state(spark, out, keys).collect()}
+            assert state == {j % 7: j for j in range(i + 1)}
+    assert max(sizes) <= 10
+    for i, name in enumerate("abcd"):
+        write(spark, src, range(i * 20, i * 20 + 30), name)
+    rows = streams.with_event_time(source(spark, src), delay="2 hours")
+    out2 = f"{out}2"
+    streams.run_batches(streams.window_confusion(rows), out2, checkpoint, "update", keys, every=2)
+    base, newer = streams.state_parts(spark, out2)
+    assert base is not None and len(newer) < 3
+    want = streams.window_confusion(spark.read.parquet(src))
+    state = streams.current_state(spark, out2, keys)
+    assert sorted(state.select(*want.columns).collect()) == sorted(want.collect())
+
+
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     src, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     write(spark, src, [600, 601], "a")
