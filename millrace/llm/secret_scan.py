@@ -7,10 +7,12 @@
 
 A rule is a regular expression searched leftmost and without overlap, a version, and the least length
 of a group of the match; matches that fail the length are dropped after the search. Offsets are code
-points, end exclusive: the text is split at the matches, and lengths of pieces and matches are added up.
+points, end exclusive: the text is split at the matches, and lengths of pieces and matches are added up
+in groups, so that the time grows in proportion to the findings of a text.
 
-Contents are moved by (path, blob), which is unique, so copies, however many, spread evenly; only the
+Contents are moved by (path, blob), once for each, so copies, however many, spread evenly; only the
 narrow table (path, blob) is joined by blob, between two written tables, where Spark splits a hot blob.
+With a ledger, contents that need no scan stay where they are, unless more than `KNOWN_ROWS` blobs need one.
 
 Defined results: a null content counts as the empty one; null paths and repeated (path, content) rows
 give one result row each; an empty table gives no rows; other columns are not read.
@@ -55,31 +57,61 @@ ADDED_RULES = (
     Rule("url_login", 2, r"[a-z][a-z0-9+.-]*(://[^\x09-\x0D\x20/@:]+:[^\x09-\x0D\x20/@]+@)|[a-z][a-z0-9+.-]{40,}",
          least=1, group=1),
 )
+PAIRS_TOGETHER = 128
+KNOWN_ROWS = 1 << 18  # blobs to scan that may be sent to every task
 SPAN = "array<struct<start:bigint,kind_no:int,end:bigint,kind:string>>"
 LEDGER = f"blob string, scanned array<string>, findings {SPAN}"
 
 
+def _bound(value, body):
+    """`body` of a value that is worked out once, however often `body` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _positions(pairs, width: int = PAIRS_TOGETHER):
+    """(start, end, match) of (match, gap) pairs: running sums of the lengths of gaps and matches.
+
+    An array can only grow by being copied, so pairs are summed in groups of `width` and the groups shifted."""
+    none = F.expr("cast(array() as array<bigint>)")
+
+    def running(lengths):
+        """Sums up to and with every length, and the whole sum."""
+        grown = F.aggregate(lengths, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("sums")), lambda s, x: F.struct(
+            (s["at"] + x).alias("at"), F.concat(s["sums"], F.array(s["at"] + x)).alias("sums")))
+        return grown["sums"]
+
+    def placed(pairs):
+        groups = F.transform(F.sequence(F.lit(0), F.greatest(F.size(pairs) - 1, F.lit(0)), F.lit(width)),
+                             lambda at: F.slice(pairs, at + 1, F.lit(width)))
+        local = F.transform(groups, lambda group: F.struct(group.alias("pairs"), running(F.transform(
+            group, lambda p: p["gap"] + F.length(p["match"]).cast("bigint"))).alias("ends")))
+
+        def whole(group):
+            return F.coalesce(F.try_element_at(group["ends"], F.lit(-1)), F.lit(0).cast("bigint"))
+
+        def shifted(local):
+            before = F.zip_with(local, running(F.transform(local, whole)), lambda group, upto: F.struct(
+                group.alias("group"), (upto - whole(group)).alias("at")))
+            return F.flatten(F.transform(before, lambda b: F.zip_with(
+                b["group"]["pairs"], b["group"]["ends"], lambda p, end: F.struct(
+                    (b["at"] + end - F.length(p["match"])).alias("start"), (b["at"] + end).alias("end"),
+                    p["match"].alias("match")))))
+        return _bound(local, shifted)
+
+    return _bound(pairs, placed)
+
+
 def matches(text: Column, rule: Rule, number: int) -> Column:
     """The rule's spans in a text, in order."""
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     gaps = F.transform(F.split(text, rule.pattern, -1), lambda piece: F.length(piece).cast("bigint"))
     paired = F.arrays_zip(found.alias("match"), gaps.alias("gap"))
+    known = F.filter(paired, lambda x: x["match"].isNotNull())  # one more piece than matches
     passes = (lambda m: F.length(F.regexp_extract(m, rule.pattern, rule.group)) >= rule.least) if rule.group else (
         lambda m: F.length(m) >= rule.least)
-    none = F.expr(f"cast(array() as {SPAN})")
-
-    def step(state, x):
-        start = state["at"] + x["gap"]
-        end = start + F.length(x["match"])
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind_no"), end.alias("end"),
-                        F.lit(rule.kind).alias("kind"))
-        kept = F.when(passes(x["match"]), F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), kept.alias("spans"))
-
-    known = F.filter(paired, lambda x: x["match"].isNotNull())  # one more piece than matches
-    spans = F.aggregate(known, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans")), step,
-                        lambda state: state["spans"])
-    return F.when(text.rlike(rule.pattern), spans).otherwise(none)
+    spans = F.transform(F.filter(_positions(known), lambda p: passes(p["match"])), lambda p: F.struct(
+        p["start"].alias("start"), F.lit(number).alias("kind_no"), p["end"].alias("end"), F.lit(rule.kind).alias("kind")))
+    return F.when(text.rlike(rule.pattern), spans).otherwise(F.expr(f"cast(array() as {SPAN})"))
 
 
 def address(versions: DataFrame, path_col, content_col) -> DataFrame:
@@ -103,12 +135,17 @@ def scan(versions: DataFrame, addressed: DataFrame, rules, ledger: DataFrame | N
         ).filter(F.size("missing") > 0).drop("seen")
     contents = versions.select(key_of(path_col).alias("path_key"), whole_text(content_col).alias("content")).withColumn(
         "blob", F.sha2("content", 256))
-    one = contents.join(unseen.hint("shuffle_hash"), ["path_key", "blob"])
+    if ledger is not None:
+        unseen = cut_lineage(unseen, "unseen")
+        if unseen.count() <= KNOWN_ROWS:  # the contents that the ledger knows are not moved at all
+            contents = contents.join(F.broadcast(unseen.select("path_key", "blob")), ["path_key", "blob"], "left_semi")
+    # a path may hold a blob many times: one of these rows is kept, before the contents are moved
+    one = contents.dropDuplicates(["path_key", "blob"]).join(unseen.hint("shuffle_hash"), ["path_key", "blob"])
     none = F.expr(f"cast(array() as {SPAN})")
     found = [F.when(F.array_contains("missing", rule.pair), matches(F.col("content"), rule, number)).otherwise(none)
              for number, rule in enumerate(rules)]
     scanned = one.select("blob", F.col("missing").alias("scanned"), F.array_sort(F.concat(*found)).alias("findings"))
-    return cut_lineage(scanned.dropDuplicates(["blob"]), "ledger")  # a path may hold a blob twice
+    return cut_lineage(scanned, "ledger")
 
 
 def append(entries: DataFrame, ledger_path: str) -> None:
@@ -127,9 +164,12 @@ def findings(addressed: DataFrame, ledger: DataFrame, rules) -> DataFrame:
     pairs = F.create_map(*[F.lit(x) for rule in rules for x in (rule.kind, rule.pair)])
     valid = F.filter("findings", lambda s: F.coalesce(
         F.array_contains("scanned", F.element_at(pairs, s["kind"])), F.lit(False)))
-    ordered = F.array_sort(F.array_distinct(F.transform(F.flatten(F.collect_list("valid")), lambda s: F.struct(
+    renumbered = F.array_sort(F.transform(F.flatten(F.collect_list("valid")), lambda s: F.struct(
         s["start"].alias("start"), F.element_at(current, s["kind"]).alias("kind_no"), s["end"].alias("end"),
-        s["kind"].alias("kind")))))
+        s["kind"].alias("kind"))))
+    # equal spans stand side by side now
+    ordered = _bound(renumbered, lambda spans: F.filter(
+        spans, lambda s, i: (i == 0) | (s != F.get(spans, F.greatest(i - 1, F.lit(0))))))
     kept = ledger.filter(F.size("findings") > 0).select("blob", valid.alias("valid"))
     hits = kept.groupBy("blob").agg(ordered.alias("findings"))
     none = F.expr(f"cast(array() as {SPAN})")
