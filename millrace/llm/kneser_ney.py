@@ -1,14 +1,15 @@
 """Interpolated modified Kneser-Ney bigram model, counted in Spark, looked up in memory-mapped arrays.
 
-Tokens are hashed to 64 bits, all words of a batch at once (prefix sums of a polynomial over the bytes).
-Three passes over the text, each a Spark job whose tasks hold one batch:
+A word stands for the 64-bit XXH3 of its bytes; the words of a batch are hashed once each. Three passes over the text, each a Spark job whose tasks hold one batch (about 1 MB of text, or the longest single text,
+at some 80 bytes a character):
 
 1. vocabulary: every batch sends its distinct token hashes with counts, cut by hash into shards; a task
    merges a shard and writes it as a sorted array. The place of a hash in the shards is the token's id.
 2. bigrams: every batch sends its distinct (context id, token id) pairs with counts, cut by pair into
    shards, so no word, however frequent, meets in one task; a task merges a shard, writes the sorted
    pair keys with their counts, and sends on, per id, how many pairs of each count an id opens and how
-   many it closes. Those are summed by ranges of ids in a last small step and written as arrays by id.
+   many it closes. Those are summed by ranges of ids in two last small steps, first within groups of pair
+   shards, so that neither step meets more than about the square root of their number, and written as arrays by id.
 3. scoring: workers look up their batch's distinct tokens and pairs in the shards they need, one shard
    at a time, memory-mapped, so neither a worker's memory nor its open files grow with the model.
 
@@ -29,11 +30,13 @@ other columns are not read.
 
 import json
 import os
+from itertools import chain
 from urllib.parse import urlparse
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,60 +49,32 @@ ID_RANGE = 1 << 18           # ids to a file of id statistics
 _BITS = 32                   # of an id in a pair key
 _TOGETHER = 1 << 20          # characters tokenised together
 _HELD = 1 << 22              # distinct keys a batch holds before it sends them on
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_TABLE = np.random.default_rng(20).integers(0, 1 << 64, 256, dtype=np.uint64)  # one random value a byte
-_BASE, _UNIT = 0x9E3779B97F4A7C15, 1 << 64
-_powers = {}
 END = np.uint64(1)  # the end token's hash, kept apart from every word's
 _CODEC = "zstd"
 
 
-def _power_table(n):
-    """Powers of the base and of its inverse modulo 2^64, at least n of them."""
-    have = len(_powers["up"]) if _powers else 0
-    if have < n:
-        size = 1 << (n - 1).bit_length()
-
-        def powers(base):
-            out = np.ones(size, dtype=np.uint64)
-            filled = 1
-            while filled < size:
-                out[filled:2 * filled] = out[:filled] * np.uint64(pow(base, filled, _UNIT))
-                filled *= 2
-            return out
-
-        _powers["up"], _powers["down"] = powers(_BASE), powers(pow(_BASE, -1, _UNIT))
-    return _powers["up"], _powers["down"]
-
-
 def _mixed(h):
     h = h ^ (h >> np.uint64(29))
     h = h * np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))
 
 
+def word_hash(word: bytes) -> int:
+    """XXH3 of a word's bytes, never END."""
+    return xxhash.xxh3_64_intdigest(word) | 2
+
+
 def token_hashes(texts):
     """(hashes of the words of all texts, each text closed by END; how many tokens each text has)."""
-    datas = [text.encode() for text in texts]
-    joined = np.frombuffer(b" ".join(datas) + b" ", dtype=np.uint8)
-    lengths = np.fromiter(map(len, datas), dtype=np.int64, count=len(datas))
-    ends_of_texts = np.cumsum(lengths + 1)  # just behind the blank that closes a text
-    word = ~_SPACE[joined]
-    change = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).view(np.int8)))
-    starts, ends = change[0::2], change[1::2]
-    up, down = _power_table(len(joined) + 1)
-    sums = np.zeros(len(joined) + 1, dtype=np.uint64)
-    np.cumsum(_TABLE[_LOWER[joined]] * up[:len(joined)], out=sums[1:])
-    hashes = _mixed((sums[ends] - sums[starts]) * down[starts]) | np.uint64(2)  # never END
-    before = np.searchsorted(starts, ends_of_texts)  # words up to the end of each text
-    counts = np.diff(np.concatenate(([0], before))) + 1
-    places = before + np.arange(len(datas))
-    tokens = np.empty(len(starts) + len(datas), dtype=np.uint64)
-    is_end = np.zeros(len(tokens), dtype=bool)
-    is_end[places] = True
+    words = [text.encode().lower().split() for text in texts]  # of bytes: A-Z alone, and ASCII white space
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    flat = list(chain.from_iterable(words))
+    known = {word: word_hash(word) for word in set(flat)}
+    hashes = np.fromiter(map(known.__getitem__, flat), dtype=np.uint64, count=len(flat))
+    counts = sizes + 1
+    is_end = np.zeros(len(flat) + len(words), dtype=bool)
+    is_end[np.cumsum(counts) - 1] = True
+    tokens = np.empty(len(is_end), dtype=np.uint64)
     tokens[is_end], tokens[~is_end] = END, hashes
     return tokens, counts
 
@@ -291,26 +266,21 @@ class KneserNey:
         last = int(starts[-1]) + 1  # the context of a text's first word
         ranges = last // ID_RANGE + 1
 
-        def add_up(batches):
+        groups = int(np.ceil(np.sqrt(pairs)))
+
+        def summed(batches, finish):
+            """The statistics of each (id range, group) of a sorted stream added up; `finish` them."""
             held, opened, closed = None, None, None
             sizes = np.zeros(6, dtype=np.int64)
-            out = []
-
-            def done():
-                used = slice(0, last + 1 - held * ID_RANGE)
-                _write(f"{folder}/opened-{held}.npy", _narrow(opened[:, used]))
-                _write(f"{folder}/closed-{held}.npy", _narrow(closed[used]))
-                out.append((1, np.bincount(np.minimum(closed, 5), minlength=6).tolist()))
-
             for batch in batches:
-                for shard, planes, n, data in zip(batch["shard"], batch["planes"], batch["n"], batch["data"]):
+                for shard, part, planes, n, data in zip(batch["shard"], batch["part"], batch["planes"], batch["n"], batch["data"]):
                     if shard == -1:
                         sizes += np.array(json.loads(data), dtype=np.int64)
                         continue
-                    if shard != held:
+                    if (shard, part) != held:
                         if held is not None:
-                            done()
-                        held = shard
+                            yield finish(*held, opened, closed)
+                        held = shard, part
                         opened, closed = np.zeros((4, ID_RANGE), dtype=np.int64), np.zeros(ID_RANGE, dtype=np.int64)
                     raw = pa.decompress(data, decompressed_size=n * (4 + 8 * planes), codec=_CODEC, asbytes=True)
                     ids = np.frombuffer(raw[:4 * n], dtype=np.uint32)
@@ -320,14 +290,43 @@ class KneserNey:
                     else:
                         closed[ids] += values[0]
             if held is not None:
-                done()
-            yield pd.DataFrame([*out, (2, sizes.tolist())], columns=["order", "sizes"])
+                yield finish(*held, opened, closed)
+            yield sizes
+
+        def within_groups(batches):
+            def rows(shard, part, opened, closed):
+                out = []
+                for values in (opened, closed[None]):
+                    ids = np.flatnonzero(values.any(axis=0))
+                    raw = ids.astype(np.uint32).tobytes() + np.ascontiguousarray(values[:, ids]).tobytes()
+                    out.append((shard, 0, len(values), len(ids), pa.compress(raw, codec=_CODEC, asbytes=True)))
+                return out
+
+            for found in summed(batches, rows):
+                if isinstance(found, np.ndarray):
+                    found = [(-1, 0, 0, 0, json.dumps(found.tolist()).encode())]
+                yield pd.DataFrame(found, columns=["shard", "part", "planes", "n", "data"])
+
+        def over_groups(batches):
+            def rows(shard, part, opened, closed):
+                used = slice(0, last + 1 - shard * ID_RANGE)
+                _write(f"{folder}/opened-{shard}.npy", _narrow(opened[:, used]))
+                _write(f"{folder}/closed-{shard}.npy", _narrow(closed[used]))
+                return 1, np.bincount(np.minimum(closed, 5), minlength=6).tolist()
+
+            out = [(2, found.tolist()) if isinstance(found, np.ndarray) else found for found in summed(batches, rows)]
+            yield pd.DataFrame(out, columns=["order", "sizes"])
+
+        def dealt(rows, tasks):
+            spread = F.when(F.col("shard") < 0, F.pmod(F.xxhash64("data"), F.lit(tasks))).otherwise(
+                F.pmod(F.xxhash64("shard", "part"), F.lit(tasks)))
+            return rows.withColumn("spread", spread).repartition(tasks, "spread").drop("spread").sortWithinPartitions("shard", "part")
 
         sizes = {1: np.zeros(6, dtype=np.int64), 2: np.zeros(6, dtype=np.int64)}
-        spread = statistics.withColumn("spread", F.when(
-            F.col("shard") < 0, F.pmod(F.xxhash64("data"), F.lit(ranges))).otherwise(F.col("shard")))
-        placed = spread.repartition(4 * ranges, "spread").drop("spread").sortWithinPartitions("shard")
-        for row in placed.mapInPandas(add_up, "order int, sizes array<bigint>").collect():  # counts of counts
+        part = F.pmod(F.xxhash64("n", "data"), F.lit(groups)).cast("bigint")
+        shape = "shard bigint, part bigint, planes int, n bigint, data binary"
+        first = dealt(statistics.withColumn("part", part), min(4 * ranges * groups, pairs + ranges)).mapInPandas(within_groups, shape)
+        for row in dealt(first, 4 * ranges).mapInPandas(over_groups, "order int, sizes array<bigint>").collect():  # counts of counts
             sizes[row["order"]] += np.array(row["sizes"], dtype=np.int64)
         for order, of in sizes.items():
             n1, n2, n3, n4 = (int(x) for x in of[1:5])
