@@ -7,8 +7,10 @@ the clause strengthens insults and is needed for a threat to count in full. The
 over every clause that holds an insult or threat; the sums of matched clauses, not single words, are a
 text's evidence, and a logistic curve turns the evidence into a score.
 
-What counts as an insult is learned: beginnings of words (4 to 8 letters) whose share among toxic
-training texts is far above that among the others, weighted by the log of the ratio, besides a short
+What counts as an insult is learned: beginnings of words (4 to 8 letters), whole longer words and whole words of
+up to 3 letters that occur in at least `LEAST_TEXTS` toxic training texts and whose share among these is far above
+that among the others: the log of the ratio, less `SURE` standard errors, must lie above zero, a bar that does not
+move with the size of the table. They are weighted by that log, besides a short
 list of known ones. The fit takes at most about `sample_rows` labelled texts, chosen by a hash of the
 id, so its cost is bounded and its small tables may go to the driver; the curve is fitted on evidence
 from words learned on the other half of the sample, so that it does not trust what was learned by
@@ -16,8 +18,8 @@ heart. Scoring reads every text whole; an Aho-Corasick automaton finds the begin
 clauses with a hit are cut into words.
 
 Defined results: a null text counts as the empty one; a text without evidence gets the curve's value at
-zero; labels that are null, or whose id is null, are not learned from; several labels of one id count
-each; with fewer than two labels of either class the listed words and a fixed curve are used; repeated
+zero; labels that are null, or whose id is null, and ids with labels of both kinds are not learned from; of
+several texts with a labelled id one is; with fewer than two labels of either class the listed words and a fixed curve are used; repeated
 rows get a row each; an empty table gives no rows; other columns are never read.
 """
 
@@ -32,12 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from millrace.llm.common import whole_text
+from millrace.llm.common import labelled_sample, whole_text
 from millrace.session import cut_lineage
 
 SAMPLE_ROWS = 20_000
 SHORTEST, LONGEST = 4, 8
-LEAST_TEXTS, LEAST_SHARE, LEAST_WEIGHT = 3, 0.005, 2.0
+LEAST_TEXTS, LEAST_WEIGHT, SURE = 5, 2.0, 3.0
 KNOWN_WEIGHT, THREAT_WEIGHT, TARGET_WEIGHT = 3.0, 1.5, 0.5
 
 # fixed values: words of the grammar's closed classes
@@ -129,17 +131,19 @@ class Evidence:
         self.stems = ahocorasick.Automaton()
         for stem, weight in lexicon.items():
             # squared, so that many weak beginnings in a long text do not add up to a few strong ones
-            self.stems.add_word(stem, (len(stem), weight * weight / KNOWN_WEIGHT))
+            self.stems.add_word(stem, (len(stem), weight * weight / KNOWN_WEIGHT, len(stem) < SHORTEST))
         for word in THREATS:
             if word not in lexicon:
-                self.stems.add_word(word, (len(word), 0.0))  # marks the clause; the class gives the weight
+                self.stems.add_word(word, (len(word), 0.0, False))  # marks the clause; the class gives the weight
         self.stems.make_automaton()
 
     def hits(self, text):
         """Weight of the heaviest beginning that starts at each hit word's first letter."""
         found = {}
-        for last, (length, weight) in self.stems.iter(text):
+        for last, (length, weight, whole) in self.stems.iter(text):
             at = last - length + 1
+            if whole and text[last + 1:last + 2].isalpha():  # short words are no beginnings
+                continue
             if (at == 0 or not text[at - 1].isalpha()) and weight >= found.get(at, 0.0):
                 found[at] = weight
         return found
@@ -186,17 +190,24 @@ class Evidence:
 
 
 def beginnings(text: str) -> set:
-    return {word[:n] for word in set(_WORD.findall(text.lower()))
-            for n in range(SHORTEST, min(len(word), LONGEST) + 1)}
+    """Beginnings of SHORTEST to LONGEST letters of a text's words, and the words that are shorter or longer."""
+    out = set()
+    for word in set(_WORD.findall(text.lower())):
+        out.update(word[:n] for n in range(SHORTEST, min(len(word), LONGEST) + 1))
+        if not SHORTEST <= len(word) <= LONGEST:
+            out.add(word)
+    return out
 
 
 def weigh(counts: pd.DataFrame, toxic: float, clean: float) -> dict:
     """Lexicon from (stem, t, c): texts of either class that hold the stem. A longer stem is kept only
     where it weighs more than the shorter one it extends."""
     lexicon = {word: KNOWN_WEIGHT for word in INSULTS}
-    enough = counts[counts["t"] >= max(LEAST_TEXTS, LEAST_SHARE * toxic)]
-    weights = np.log((enough["t"] + 0.5) / (toxic + 1)) - np.log((enough["c"] + 0.5) / (clean + 1))
-    learned = {s: float(w) for s, w in zip(enough["stem"], weights) if w >= LEAST_WEIGHT}
+    enough = counts[counts["t"] >= LEAST_TEXTS]
+    t, c = enough["t"] + 0.5, enough["c"] + 0.5
+    weights = np.log(t / (toxic + 1)) - np.log(c / (clean + 1))
+    error = np.sqrt(np.maximum(1 / t - 1 / (toxic + 1), 0) + np.maximum(1 / c - 1 / (clean + 1), 0))
+    learned = {s: float(w) for s, w, e in zip(enough["stem"], weights, error) if w >= LEAST_WEIGHT and w > SURE * e}
     for stem in sorted(learned, key=lambda s: (len(s), s)):
         shorter = max((lexicon.get(stem[:n], 0.0) for n in range(SHORTEST, len(stem))), default=0.0)
         if learned[stem] > shorter + 0.1:
@@ -244,22 +255,12 @@ class ToxicityModel:
     def fit(cls, docs: DataFrame, labels: DataFrame, sample_rows=SAMPLE_ROWS, id_col="doc_id", text_col="text",
             label_col="toxic", seed=11) -> "ToxicityModel":
         """Learn from the texts of `docs` that `labels` (id, 0 or 1) names."""
-        known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(
-            "id is not null and label is not null")
-        n = known.count()
-        share = min(1.0, sample_rows / n) if n else 0.0
-        spot = F.pmod(F.xxhash64(F.lit(seed), F.col("id").cast("string")), F.lit(1 << 32))
-        chosen = known.filter(spot < int(share * (1 << 32))).withColumn("half", F.pmod(
-            F.xxhash64(F.lit(seed + 1), F.col("id").cast("string")), F.lit(2)).cast("int"))
-        texts = docs.select(F.col(id_col).alias("id"), whole_text(text_col).alias("text"))
-        # the chosen labels are about `sample_rows` rows at most, whatever the tables
-        sample = cut_lineage(texts.join(F.broadcast(chosen), "id").select("text", "label", "half"), "toxic-sample")
+        sample = cut_lineage(labelled_sample(docs, labels, sample_rows, id_col, text_col, label_col, seed, 2)
+                             .withColumnRenamed("part", "half"), "toxic-sample")
         sizes = {(r["label"], r["half"]): r["count"] for r in sample.groupBy("label", "half").count().collect()}
         toxic, clean = ([sizes.get((label, half), 0) for half in (0, 1)] for label in (1, 0))
         if min(*toxic, *clean) < 1:
             return cls()
-        least = LEAST_TEXTS
-
         def counted(wanted):
             def count(batches):
                 met = Counter()
@@ -274,9 +275,7 @@ class ToxicityModel:
         by_stem = sample.filter("label = 1").mapInPandas(counted(None), shape).groupBy("stem").agg(
             F.sum(F.when(F.col("half") == 0, F.col("n"))).alias("t0"),
             F.sum(F.when(F.col("half") == 1, F.col("n"))).alias("t1")).na.fill(0)
-        floor = [max(least, LEAST_SHARE * t) for t in toxic]
-        stems = by_stem.filter((F.col("t0") >= floor[0]) | (F.col("t1") >= floor[1])
-                               | (F.col("t0") + F.col("t1") >= max(least, LEAST_SHARE * sum(toxic)))).toPandas()
+        stems = by_stem.filter(F.col("t0") + F.col("t1") >= LEAST_TEXTS).toPandas()
         clean_counts = sample.filter("label = 0").mapInPandas(counted(set(stems["stem"])), shape).groupBy("stem").agg(
             F.sum(F.when(F.col("half") == 0, F.col("n"))).alias("c0"),
             F.sum(F.when(F.col("half") == 1, F.col("n"))).alias("c1")).na.fill(0).toPandas()
