@@ -83,11 +83,11 @@ def exact_duplicates(spark, folder):
                  coalesce(sum(d.size) over (partition by d.source order by d.digest, d.doc_id
                      rows between unbounded preceding and 1 preceding), 0)::bigint as earlier
           from d join t on d.source is not distinct from t.source)
-    select doc_id, size, source_size, target,
-           (greatest(0, least(size, words - earlier)) + greatest(0, least(size, words - source_size - earlier)))::bigint
-           as taken from r""")
+    select doc_id, size, source_size, target, (case when size > 0 and 2 * words >= 2 * earlier + size
+             then size * least(2, (2 * words - 2 * earlier - size) // (2 * source_size) + 1) else 0 end)::bigint as taken
+    from r""")
 def mixed(spark, folder):
-    return mixing.mix_plan(table(spark, folder, "documents"), WEIGHTS, seed=SEED)
+    return mixing.mix_plan(table(spark, folder, "documents"), WEIGHTS, seed=SEED).drop("first_slot")
 
 
 LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]

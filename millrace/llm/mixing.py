@@ -2,33 +2,34 @@
 
 * Targets: every source gets its weight's share of `total` words, at most `most_repeats` times its
   size; what is cut off goes to the others by weight until none is above (water filling).
-* Schedule: slot i has the golden-ratio point frac((i + 1) * 0.618...), mapped through the cumulative
-  targets to a source. Slots are ranked per source; a source short of slots gets the missing ones at
-  the end, and slots beyond its target are left out. Low discrepancy keeps both to a few per source.
-* Blocks: each source's documents, in a seeded shuffle, form one stream of words cut into blocks of
-  `block_words`. The r-th slot of a source takes its r-th block, starting over when the blocks are
-  used up; the last slot takes only the words missing to the target.
-
-Ranks and running sums come from counts of small parts, slots are generated by Spark, and a block
-meets at most `block_words` documents. Only the table of sources (one row each) is ordered as a whole.
-
-Defined results: a null source is a source, ordered last; a null or empty text has size 0, belongs to
-no block and is never taken; equal (source, id) rows are ordered by text CRC, and rows equal in all
-of these are interchangeable; an empty table gives no rows; sources of size 0 have target 0.
+* Streams: each source's documents, in a seeded shuffle, form one stream of words, read again from its start
+  when it ends, and cut into blocks of `block_words`. The mix takes whole documents: the last one of a source is
+  taken if the target is nearer with it than without it.
+* Schedule: slot i of 2^m stands at its van der Corput point, the bits of i reversed behind the binary point.
+  The points in a source's stretch of the cumulative targets are its slots; they are ranked, and the r-th takes
+  the source's r-th block. So every beginning of the schedule holds the sources in about their shares. A document
+  has the slot of the block in which it begins; slots that a source does not need are left out, and a source
+  short of slots, because its share is less than one, gets the missing ones behind all others.
+
+A source's slots are found from its own stretch, in chunks that are spread before they are counted out, so no
+task holds a source. Ranks and running sums come from counts of small parts. Only the table of sources (one row
+each) is ordered as a whole.
+
+Defined results: a null source is a source, ordered last; a null or empty text has size 0 and is never taken;
+equal (source, id) rows are ordered by text hash, and rows equal in all of these are interchangeable; an empty
+table gives no rows; sources of size 0 have target 0.
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import key_of, ranked, row_fraction, shuffle_partitions, whole_text, word_count
-from millrace.operators.balance import bucket_by
+from millrace.llm.common import in_order, key_of, ranked, shuffle_partitions, whole_text, word_count
 from millrace.session import cut_lineage
 
-GOLDEN = 0.6180339887498949
 PARTS_A_PARTITION = 4
 BLOCK_WORDS = 256
-_WORD_ENDS = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
+CHUNK_SLOTS = 1 << 16
 
 
 def source_targets(sizes: DataFrame, weights, share: float, most_repeats: int) -> DataFrame:
@@ -60,37 +61,44 @@ def source_targets(sizes: DataFrame, weights, share: float, most_repeats: int) -
         "key", "is_null", "source_size", "target", F.floor("target").alias("words"))
 
 
+def reversed_bits(number, bits: int):
+    """The lowest `bits` bits of a number in reverse order."""
+    return F.conv(F.reverse(F.lpad(F.bin(number), bits, "0")), 2, 10).cast("bigint")
+
+
 def schedule(targets: DataFrame, block_words: int) -> DataFrame:
-    """(key, place): the slots every source needs, `place` being the slot's rank in its source.
+    """(key, place, slot): the slots that every source needs, `place` being the slot's rank in its source.
 
-    `targets` is a written table of sources. Slot numbers come from a distributed range.
+    `targets` is a written table of sources.
     """
-    spark, block = targets.sparkSession, int(block_words)
-    parts = PARTS_A_PARTITION * shuffle_partitions(targets)
+    block = int(block_words)
     everything = W.partitionBy(F.lit(0))
-    wanted = targets.filter("words > 0").withColumn("needed", F.expr(
-        f"(words div source_size) * ((source_size + {block - 1}) div {block})"
-        f" + (words % source_size + {block - 1}) div {block}"))
-    bounds = wanted.withColumn("to", F.sum("words").over(everything.orderBy("is_null", "key"))
-                               / F.sum("words").over(everything)).select("key", "needed", "to")
-    bounds = cut_lineage(bounds, "mix-bounds")  # read by several subqueries
+    through = everything.orderBy("is_null", "key")
+    needed = targets.filter("words > 0").withColumn("needed", F.expr(f"(words + {block - 1}) div {block}"))
+    bounds = cut_lineage(needed.select(
+        "key", "needed", F.sum("words").over(through).alias("to"), "words", F.sum("words").over(everything).alias("all"),
+        (F.row_number().over(through) - 1).alias("source_no")), "mix-bounds")
     n, sources = bounds.agg(F.coalesce(F.sum("needed"), F.lit(0)), F.count(F.lit(1))).first()  # two numbers
-    edges = F.array_sort(F.collect_list(F.struct("to", "key")))
-    known = bounds.agg(edges.alias("edges"))
-    width = 1 << max(1, (max(sources, 1) - 1).bit_length())
-    padded = known.select(F.transform(F.sequence(F.lit(0), F.lit(width - 2)), lambda i: F.coalesce(
-        F.get("edges", i)["to"], F.lit(2.0))).alias("to")).scalar()
-    point = (F.col("id") + 1) * F.lit(GOLDEN)
-    slots = spark.range(0, n, 1, max(1, min(parts, n // 65_536 + 1))).select(
-        F.col("id").alias("slot"), (point - F.floor(point)).alias("point"),
-        F.floor(F.col("id") * parts / max(n, 1)).alias("part"))
-    mapped = bucket_by(slots, F.col("point"), padded, "source_no", width).withColumn(
-        "key", F.get(known.select(F.col("edges.key")).scalar(), "source_no")).drop("source_no", "point")
-    placed = ranked(mapped, ["key"], "part", ["slot"]).select("key", "place")
-    met = placed.groupBy("key").agg(F.count(F.lit(1)).alias("met"))
-    on_time = placed.join(bounds.select("key", "needed"), "key").filter("place < needed").select("key", "place")
-    missing = bounds.join(met, "key", "left").withColumn("met", F.coalesce("met", F.lit(0))).filter("met < needed")
-    late = missing.select("key", F.explode(F.sequence("met", F.col("needed") - 1)).alias("place"))
+    bits = max(1, (2 * n).bit_length())
+    total = 1 << bits
+    # points j / 2^bits from the stretch's beginning to its end
+    first, end = ((F.ceil(e.cast("double") / F.col("all") * total)).cast("bigint") for e in (F.col("to") - F.col("words"), F.col("to")))
+    stretches = bounds.select("key", first.alias("first"), (end - 1).alias("last")).filter("first <= last")
+    chunks = stretches.select("key", "first", "last", F.explode(F.expr(
+        f"sequence(first div {CHUNK_SLOTS}, last div {CHUNK_SLOTS})")).alias("chunk"))
+    spread = chunks.repartition(max(1, min(PARTS_A_PARTITION * shuffle_partitions(targets), total // CHUNK_SLOTS + 1)))
+    points = spread.select("key", F.explode(F.expr(
+        f"sequence(greatest(first, chunk * {CHUNK_SLOTS}), least(last, chunk * {CHUNK_SLOTS} + {CHUNK_SLOTS - 1}))")).alias("point"))
+    parts = PARTS_A_PARTITION * shuffle_partitions(targets)
+    slots = points.select("key", reversed_bits(F.col("point"), bits).alias("slot")).withColumn(
+        "part", F.floor(F.col("slot") / total * parts))
+    placed = cut_lineage(ranked(cut_lineage(slots, "mix-slots"), ["key"], "part", ["slot"]).select(
+        "key", "place", "slot", "n_total"), "mix-schedule")
+    on_time = placed.join(bounds.select("key", "needed"), "key").filter("place < needed").select("key", "place", "slot")
+    met = placed.groupBy("key").agg(F.max("n_total").alias("met"))
+    late = bounds.join(met, "key", "left").withColumn("met", F.coalesce("met", F.lit(0))).filter("met < needed").select(
+        "key", "met", "source_no", F.explode(F.sequence("met", F.col("needed") - 1)).alias("place")).select(
+        "key", "place", (F.lit(total) + (F.col("place") - F.col("met")) * sources + F.col("source_no")).alias("slot"))
     return on_time.unionByName(late)
 
 
@@ -103,51 +111,48 @@ def _streamed(docs, seed, id_col, text_col, source_col, *more):
 
 
 def _taken(rows, weights, share, most_repeats, block_words):
-    """`rows` with source_size, target, taken and the words taken in each pass over the source."""
+    """(row_no, size, source_size, target, passes, starts) of every row: how often it is taken, and the
+    (slot, place in the slot) of every time."""
     block = int(block_words)
     sizes = rows.groupBy("key", "is_null").agg(F.sum("size").alias("source_size"))
     targets = cut_lineage(source_targets(sizes, weights, share, most_repeats), "mix-targets")
-    parts = PARTS_A_PARTITION * shuffle_partitions(rows)
-    shuffled = rows.withColumn("part", F.floor(row_fraction(F.col("digest")) * parts))
-    streamed = cut_lineage(ranked(shuffled, ["key"], "part", ["digest", "doc_id", "size", "tie", "row_no"], ["size"])
-                           .select("row_no", "key", "size", "before_size"), "mix-streams")
-    pieces = streamed.filter("size > 0").withColumn("block", F.explode(F.expr(
-        f"sequence(before_size div {block}, (before_size + size - 1) div {block})")))
-    slots = schedule(targets, block).join(targets.select("key", "source_size", "words"), "key").withColumns({
-        "blocks": F.expr(f"(source_size + {block - 1}) div {block}")}).select(
-        "key", F.expr("place % blocks").alias("block"), F.expr("place div blocks").alias("pass"),
-        F.least(F.lit(block), F.expr(f"source_size - (place % blocks) * {block}"),
-                F.expr(f"words - (place div blocks) * source_size - (place % blocks) * {block}")).alias("length"))
-    low = F.greatest("before_size", F.col("block") * block)
-    high = F.least(F.col("before_size") + F.col("size"), F.col("block") * block + F.col("length"))
-    met = pieces.join(slots, ["key", "block"]).withColumn("words", F.greatest(high - low, F.lit(0)))
-    passes = met.groupBy("row_no", "pass").agg(F.sum("words").alias("words")).filter("words > 0")
-    takes = passes.groupBy("row_no").agg(F.sum("words").alias("taken"),
-                                         F.array_sort(F.collect_list("words")).alias("copies"))
-    return rows.join(takes, "row_no", "left").join(targets.select("key", "source_size", "target"), "key").withColumn(
-        "taken", F.coalesce("taken", F.lit(0)))
+    streamed = in_order(rows, ["key"], ["digest", "doc_id", "size", "tie", "row_no"], "mix-order", ["size"])
+    placed = streamed.select("row_no", "key", "size", "before_size").join(
+        targets.select("key", "source_size", "target", "words"), "key")
+    # a document is taken in a pass if its middle does not lie behind the target
+    passes = F.when((F.col("size") > 0) & (2 * F.col("words") >= 2 * F.col("before_size") + F.col("size")), F.least(
+        F.lit(int(most_repeats)), F.expr("(2 * words - 2 * before_size - size) div (2 * source_size) + 1"))).otherwise(0)
+    counted = cut_lineage(placed.withColumn("passes", passes.cast("bigint")), "mix-streams")
+    starts = counted.filter("passes > 0").select("row_no", "key", "source_size", "before_size", F.explode(F.expr(
+        "sequence(0L, passes - 1)")).alias("pass")).withColumn("at", F.expr("pass * source_size + before_size"))
+    slots = cut_lineage(schedule(targets, block), "mix-needed")
+    # a block meets at most `block_words` documents; a begun block is in the schedule, for its words are
+    met = starts.withColumn("place", F.expr(f"at div {block}")).join(slots, ["key", "place"]).groupBy("row_no").agg(
+        F.array_sort(F.collect_list(F.struct("slot", F.expr(f"at % {block}").alias("at")))).alias("starts"))
+    return counted.select("row_no", "size", "source_size", "target", "passes").join(met, "row_no", "left")
 
 
 def mix_plan(docs: DataFrame, weights, share=1.5, most_repeats=2, block_words=BLOCK_WORDS, seed=0, id_col="doc_id",
              text_col="text", source_col="source") -> DataFrame:
-    """One row per row of `docs`: doc_id, size, source_size, target, taken (words, repeats counted)."""
+    """One row per row of `docs`: doc_id, size, source_size, target, taken (words, repeats counted) and first_slot,
+    the slot in which the row is taken first, null where it is not."""
     rows = cut_lineage(_streamed(docs, seed, id_col, text_col, source_col), "mix-rows")
-    return _taken(rows, weights, share, most_repeats, block_words).select(
-        "doc_id", "size", "source_size", "target", "taken")
+    taken = _taken(rows, weights, share, most_repeats, block_words)
+    return rows.select("row_no", "doc_id").join(taken, "row_no").select(
+        "doc_id", "size", "source_size", "target", (F.col("passes") * F.col("size")).alias("taken"),
+        F.get("starts", F.lit(0))["slot"].alias("first_slot"))
 
 
 def mix(docs: DataFrame, weights, share=1.5, most_repeats=2, block_words=BLOCK_WORDS, seed=0, id_col="doc_id",
-        text_col="text", source_col="source") -> DataFrame:
-    """The rows of the mix, with the columns of `docs`: one row for every pass that takes words of a row.
-
-    A pass that stops inside a document leaves its first words only; at most one row a source and pass.
-    """
+        text_col="text", source_col="source", slot_col: str | None = None) -> DataFrame:
+    """The rows of the mix, with the columns of `docs` (and the slot as `slot_col`, if named): a row for every
+    time that a document is taken. Rows lie in the order of the schedule within each of its stretches."""
     rows = cut_lineage(_streamed(docs, seed, id_col, text_col, source_col, F.struct("*").alias("row")), "mix-rows")
-    narrow = rows.drop("row")
-    takes = _taken(narrow, weights, share, most_repeats, block_words).filter("taken > 0").select(
-        "row_no", "size", F.explode("copies").alias("words"))
-    whole = whole_text(F.col(f"row.{text_col}"))
-    lead = F.array_join(F.slice(F.split(whole, _WORD_ENDS), F.lit(1), F.col("words").cast("int")), "")
-    text = F.when(F.col("words") < F.col("size"), lead).otherwise(F.col(f"row.{text_col}"))
-    return rows.select("row_no", "row").join(takes, "row_no").select(
-        *[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+    taken = cut_lineage(_taken(rows.drop("row"), weights, share, most_repeats, block_words).filter("passes > 0").select(
+        "row_no", F.explode("starts").alias("start")), "mix-taken")
+    last = taken.agg(F.coalesce(F.max("start.slot"), F.lit(0))).first()[0] + 1  # one number
+    parts = PARTS_A_PARTITION * shuffle_partitions(docs)
+    mixed = rows.select("row_no", "row").join(taken, "row_no").withColumn("part", F.floor(F.col("start.slot") * parts / last))
+    ordered = mixed.repartition(shuffle_partitions(docs), "part").sortWithinPartitions("part", "start.slot", "start.at", "row_no")
+    slot = [F.col("start.slot").alias(slot_col)] if slot_col else []
+    return ordered.select(*[F.col("row")[c].alias(c) for c in docs.columns], *slot)

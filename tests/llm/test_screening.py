@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -216,6 +217,50 @@ def test_long_runs_cost_no_more_than_their_length(spark, make):
     assert {r.path: [(s.start, s.end) for s in r.findings] for r in found.collect()} == {0: [], 1: [], 2: [(0, 1_000_007)]}
 
 
+def test_many_findings_take_time_in_proportion(spark, make):
+    """40,000 findings in one text; a repeated (path, content) row is scanned once."""
+    text = "".join(f"é token=abc{i:06d} " for i in range(40_000))
+    docs = make([(1, text, "s")] * 3 + [(2, text, "s"), (3, "x", "s")])
+    started = time.monotonic()
+    found, entries = secret_scan.scan_all(docs)
+    rows = found.collect()
+    assert time.monotonic() - started < 60
+    want = [(m.start(), m.end()) for m in re.finditer(r"token=[a-z0-9]+", text)]
+    for r in rows:
+        assert [(s.start, s.end) for s in r.findings] == (want if r.path != 3 else [])
+    assert len(rows) == 5 and entries.count() == 2
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 128])
+def test_positions_in_groups(spark, width):
+    for n in (0, 1, 2, 5, 9):
+        pairs = [("m" * (i % 3 + 1), i * 7 % 5) for i in range(n)]
+        df = spark.createDataFrame([(pairs,)], "p array<struct<match:string,gap:bigint>>")
+        got = df.select(secret_scan._positions(F.col("p"), width).alias("s")).first().s
+        at, want = 0, []
+        for match, gap in pairs:
+            want.append((at + gap, at + gap + len(match), match))
+            at = want[-1][1]
+        assert [tuple(x) for x in got] == want
+
+
+def test_known_contents_stay_where_they_are(spark, make):
+    """With a ledger the texts are filtered by a broadcast before any exchange."""
+    docs = make([(i, f"password=secret{i}", "s") for i in range(50)])
+    _, entries = secret_scan.scan_all(docs)
+    more = docs.unionByName(make([(99, "password=another", "s")]))
+    seen = []
+    original = secret_scan.cut_lineage
+    try:
+        secret_scan.cut_lineage = lambda df, tag: seen.append((tag, df)) or original(df, tag)
+        found, fresh = secret_scan.scan_all(more, ledger=entries)
+    finally:
+        secret_scan.cut_lineage = original
+    plan = dict(seen)["ledger"]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and fresh.count() == 1
+    assert {r.path: len(r.findings) for r in found.collect()} == {**{i: 1 for i in range(50)}, 99: 1}
+
+
 def test_the_ledger_saves_scans(spark, make, odd, empty, tmp_path):
     first = make([(1, "token=abcdef", "s"), (2, "plain", "s")])
     _, entries = secret_scan.scan_all(first)
