@@ -5,8 +5,6 @@ Every stage takes all rows its predecessor kept; `run` writes each stage's rows
 scratch folder and reads them again, so a lost executor never costs more than its stage.
 """
 
-from pyspark.sql import functions as F
-
 from millrace.llm import curation, exact_dedup, mixing, screening, simhash, toxicity
 from millrace.session import cut_lineage
 
@@ -30,10 +28,8 @@ def drop_near_copies(spark, docs, sf_dir):
 
 
 def mix_sources(spark, docs, sf_dir):
-    """A row for every pass over a source that takes words of a document; a text cut by the end of the
-    mix holds its first words, and n_chars is that of the text taken."""
-    mixed = mixing.mix(docs, curation.WEIGHTS, seed=curation.SEED)
-    return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """A row for every time that the mix takes a document, whole, laid out in the order of the schedule."""
+    return mixing.mix(docs, curation.WEIGHTS, seed=curation.SEED)
 
 
 def encode(spark, docs, sf_dir):
