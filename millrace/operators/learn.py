@@ -12,7 +12,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, IsotonicRegression, LinearRegression
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from millrace.functions.scalars import label_name
 from millrace.operators.evaluation import (
     classification_report, quality, quality_gate, regression_metrics,
 )
+from millrace.operators.isotonic import IsotonicModel
 from millrace.operators.neighbors import knn_topk, knn_vote
 from millrace.operators.splits import exact_split, kfold_assign, stratified_split
 from millrace.operators.validation import run_checks
@@ -274,16 +275,15 @@ class IsotonicScaling:
     """Non-decreasing step function of the score, linear between its steps."""
 
     def fit(self, scored: DataFrame):
-        # equal scores become one weighted row before the fit
-        merged = scored.groupBy("score").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
-        return IsotonicRegression(featuresCol="score", weightCol="weight").fit(merged)
+        return IsotonicModel.fit(scored)
 
     def transform(self, fitted, df: DataFrame, name: str) -> DataFrame:
-        return fitted.setPredictionCol(name).transform(df)
+        return fitted.transform(df, name)
 
 
-def calibrated_scores(train: DataFrame, test: DataFrame, key: str, estimator, scaling, folds: int = 5) -> DataFrame:
-    """`test` with `calibrated`: the mean over folds of (model of the other folds, scaling of this fold).
+def calibrated_by(train: DataFrame, test: DataFrame, key: str, estimator, scalings: dict, folds: int = 5) -> DataFrame:
+    """`test` with a column per scaling in `scalings`: the mean over folds of (model of the other folds,
+    scaling of this fold). Every fold's model is fitted once, for all scalings.
 
     Both frames have the key, a 0/1 `label` and what the estimator reads.
     """
@@ -292,17 +292,24 @@ def calibrated_scores(train: DataFrame, test: DataFrame, key: str, estimator, sc
     def one(fold):
         model = estimator.fit(dealt.filter(F.col("fold") != fold))
         held_out = _positive(model.transform(dealt.filter(F.col("fold") == fold))).select("score", "label").persist()
-        fitted = scaling.fit(held_out)
+        fitted = {name: scaling.fit(held_out) for name, scaling in scalings.items()}
         held_out.unpersist()
         return model, fitted
 
     scored = test
     for fold, (model, fitted) in enumerate(_in_parallel([(lambda i=i: one(i)) for i in range(folds)])):
-        scored = scaling.transform(fitted, _positive(model.transform(scored)), f"_c{fold}").select(
-            *scored.columns, f"_c{fold}")
+        kept, scored = scored.columns, _positive(model.transform(scored))
+        for name, scaling in scalings.items():
+            scored = scaling.transform(fitted[name], scored, f"_c{fold}_{name}")
+        scored = scored.select(*kept, *[f"_c{fold}_{name}" for name in scalings])
     dealt.unpersist()
-    parts = [F.col(f"_c{i}") for i in range(folds)]
-    return scored.withColumn("calibrated", sum(parts[1:], parts[0]) / folds).drop(*[f"_c{i}" for i in range(folds)])
+    means = {name: sum([F.col(f"_c{i}_{name}") for i in range(1, folds)], F.col(f"_c0_{name}")) / folds for name in scalings}
+    return scored.select(*test.columns, *[mean.alias(name) for name, mean in means.items()])
+
+
+def calibrated_scores(train: DataFrame, test: DataFrame, key: str, estimator, scaling, folds: int = 5) -> DataFrame:
+    """`test` with `calibrated`, for one scaling."""
+    return calibrated_by(train, test, key, estimator, {"calibrated": scaling}, folds)
 
 
 # --- regression and clustering -----------------------------------------------
@@ -335,10 +342,11 @@ def best_kmeans(df: DataFrame, k: int, restarts: int = 10, seed: int = 42):
 
 def kmeans_elbow(df: DataFrame, ks=range(2, 10), restarts: int = 10) -> DataFrame:
     """(k, inertia, silhouette_squared): the silhouette is the squared-distance form Spark computes at scale."""
-    rows = []
+    held, rows = df.select("features").persist(), []  # read by every fit
     for k in ks:
-        model = best_kmeans(df, k, restarts)
-        rows.append((k, float(model.summary.trainingCost), float(ClusteringEvaluator().evaluate(model.transform(df)))))
+        model = best_kmeans(held, k, restarts)
+        rows.append((k, float(model.summary.trainingCost), float(ClusteringEvaluator().evaluate(model.transform(held)))))
+    held.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette_squared double")
 
 

@@ -1,10 +1,12 @@
 """Exact k nearest neighbours of many queries among many rows.
 
-The rows are cut into blocks of bounded size around a fixed number of pivots.
-By the triangle inequality a query needs only the blocks that can hold one of
-its k nearest rows, so queries are sent to those blocks alone. Blocks and
-chunks of queries meet in groups of bounded size, each of which gives at most k
-rows per query; the last step merges them.
+The rows are placed around pivots, whose number follows the data: a row goes to the nearest of a few top pivots
+and then to the nearest pivot that belongs to that one, so placing it compares it with about twice the root of
+their number. Every pivot's rows are cut into blocks of bounded size. By the triangle inequality a
+query needs only the blocks that can hold one of its k nearest rows, so queries are sent to those blocks alone,
+and a block is copied only to as many chunks as the queries that ask for it need. A block meets its
+chunk in one matrix product; what may be among the k nearest by that is measured again exactly. Each group gives
+at most k rows per query; the last step merges them.
 """
 
 import numpy as np
@@ -13,9 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.session import cut_lineage
+
 BLOCK_ROWS = 50_000
 CHUNK_ROWS = 50_000
+ROWS_A_PIVOT = 1 << 13
+FEWEST_PIVOTS, MOST_PIVOTS = 32, 4096  # the most are kept on the driver and sent to every task
 _SLACK = 1e-9  # room for rounding when blocks are ruled out
+_TOGETHER = 1 << 22  # distances held at once
 
 
 def _distances(points, centre):
@@ -23,18 +30,45 @@ def _distances(points, centre):
     return np.sqrt(np.einsum("ij,ij->i", gap, gap))
 
 
+def _all_distances(points, centres):
+    """Squared distances of all points to all centres by one matrix product: near the true ones."""
+    squares = np.einsum("ij,ij->i", points, points)[:, None] + np.einsum("ij,ij->i", centres, centres)[None]
+    return np.maximum(squares - 2 * points @ centres.T, 0)
+
+
 def _matrix(vectors):
     return np.stack(vectors.to_numpy()).astype(float)
 
 
-def _pick_pivots(train, key, vector, count):
-    """The `count` rows first in digest order: a fixed, small number on the driver."""
-    rows = train.orderBy(F.xxhash64(key), key).limit(count).select(vector).collect()
-    return np.array([list(row[0]) for row in rows], dtype=float)
+class PivotTree:
+    """Pivots, the first rows of a fixed digest order, below the first few of them."""
+
+    def __init__(self, pivots: np.ndarray):
+        self.pivots = pivots
+        tops = max(1, int(np.ceil(np.sqrt(len(pivots)))))
+        self.tops = pivots[:tops]
+        owner = _all_distances(pivots, self.tops).argmin(axis=1)
+        owner[:tops] = np.arange(tops)
+        self.members = [np.flatnonzero(owner == t) for t in range(tops)]
+
+    @classmethod
+    def of(cls, train: DataFrame, count: int) -> "PivotTree | None":
+        """A tree over `count` rows of (id, v): a bounded number on the driver."""
+        rows = train.orderBy(F.xxhash64("id"), "id").limit(count).select("v").collect()
+        return cls(np.array([list(row[0]) for row in rows], dtype=float)) if rows else None
+
+    def place(self, points):
+        """(pivot, distance to it) of every point."""
+        top = _all_distances(points, self.tops).argmin(axis=1)
+        cell = np.empty(len(points), dtype=np.int64)
+        for t in np.unique(top):
+            mine = top == t
+            cell[mine] = self.members[t][_all_distances(points[mine], self.pivots[self.members[t]]).argmin(axis=1)]
+        return cell, _distances(points, self.pivots[cell])
 
 
 def knn_topk(train: DataFrame, queries: DataFrame, k: int = 5, key: str = "id", vector: str = "features",
-             pivots: int = 32, block_rows: int = BLOCK_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+             pivots: int | None = None, block_rows: int = BLOCK_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """(query_id, neighbor_id, distance, rank): the k nearest training rows of every query.
 
     Euclidean distance, ties by id. Fewer than k rows come back only when the
@@ -43,81 +77,37 @@ def knn_topk(train: DataFrame, queries: DataFrame, k: int = 5, key: str = "id",
     train = train.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     queries = queries.select(F.col(key).alias("query_id"), F.col(vector).cast("array<double>").alias("v"))
     id_type, query_type = dict(train.dtypes)["id"], dict(queries.dtypes)["query_id"]
-    centres = _pick_pivots(train, "id", "v", pivots)
-    if not len(centres):
+    if pivots is None:
+        pivots = min(MOST_PIVOTS, max(FEWEST_PIVOTS, -(-train.count() // ROWS_A_PIVOT)))
+    tree = PivotTree.of(train, pivots)
+    if tree is None:
         return queries.sparkSession.createDataFrame(
             [], f"query_id {query_type}, neighbor_id {id_type}, distance double, rank int")
-
-    def place(frames):
-        for pdf in frames:
-            if len(pdf):
-                points = _matrix(pdf["v"])
-                all_distances = np.stack([_distances(points, c) for c in centres], axis=1)
-                cell = all_distances.argmin(axis=1)
-                yield pdf.assign(cell=cell.astype("int32"), radius=all_distances[np.arange(len(pdf)), cell])
-
-    placed = train.mapInPandas(place, f"id {id_type}, v array<double>, cell int, radius double")
-
-    # per pivot: size, reach, and the k smallest radii, which bound every query's k-th distance
-    nearest_radii = (
-        placed.select("cell", "radius", "id")
-        .withColumn("_r", F.row_number().over(W.partitionBy("cell").orderBy("radius", "id")))
-        .filter(F.col("_r") <= k).groupBy("cell").agg(F.collect_list("radius").alias("near"))
-    )
-    cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("radius").alias("reach"))
-    layout = cells.join(nearest_radii, "cell").orderBy("cell").collect()  # one row per pivot
-
-    cell_ids = np.array([row["cell"] for row in layout])
-    reach = np.array([row["reach"] for row in layout])
-    near = [np.sort(np.array(row["near"])) for row in layout]
-    parts = np.array([-(-row["n"] // block_rows) for row in layout])
-    n_parts = F.create_map(*[F.lit(int(x)) for row, p in zip(layout, parts) for x in (row["cell"], p)])
-
-    def route(frames):
-        for pdf in frames:
-            if not len(pdf):
-                continue
-            points = _matrix(pdf["v"])
-            to_pivot = np.stack([_distances(points, centres[c]) for c in cell_ids], axis=1)
-            reachable = np.concatenate(
-                [to_pivot[:, [i]] + near[i][None, :] for i in range(len(cell_ids))], axis=1)
-            reachable.sort(axis=1)
-            limit = reachable[:, min(k, reachable.shape[1]) - 1]
-            wanted = to_pivot - reach[None, :] <= (limit * (1 + _SLACK) + _SLACK)[:, None]
-            for i, cell in enumerate(cell_ids):
-                chosen = pdf[wanted[:, i]]
-                for part in range(parts[i]):
-                    yield chosen.assign(cell=np.int32(cell), part=np.int32(part))
-
-    n_chunks = max(1, -(-queries.count() // chunk_rows))
-    blocks = (
-        placed.withColumn("part", F.pmod(F.xxhash64("id"), F.element_at(n_parts, F.col("cell"))).cast("int"))
-        .withColumn("chunk", F.explode(F.array(*[F.lit(i) for i in range(n_chunks)]) if n_chunks <= 64
-                                       else F.sequence(F.lit(0), F.lit(n_chunks - 1))))
-        .select("cell", "part", "chunk", "id", "v")
-    )
-    routed = (
-        queries.mapInPandas(route, f"query_id {query_type}, v array<double>, cell int, part int")
-        .withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)).cast("int"))
-    )
+    blocks, routed = _met(train, queries, tree, k, block_rows, chunk_rows)
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": [], "neighbor_id": [], "distance": []})
         if not len(left) or not len(right):
             return empty
         left = left.sort_values("id", kind="stable")
-        points, ids = _matrix(left["v"]), left["id"].to_numpy()
+        points, ids, asked = _matrix(left["v"]), left["id"].to_numpy(), _matrix(right["v"])
+        longest = float(np.einsum("ij,ij->i", points, points).max())
         near_ids, near_distances, sizes = [], [], []
-        for vector in right["v"]:
-            distance = _distances(points, np.asarray(vector, dtype=float))
-            best = np.arange(len(distance))
-            if len(distance) > k:
-                best = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
-            # rows are in id order, so a stable sort breaks ties by id
-            best = best[np.argsort(distance[best], kind="stable")][:k]
-            near_ids.append(ids[best])
-            near_distances.append(distance[best])
-            sizes.append(len(best))
+        step = max(1, _TOGETHER // len(points))
+        for at in range(0, len(asked), step):
+            some = asked[at:at + step]
+            squares = _all_distances(some, points)
+            last = min(k, len(points)) - 1
+            limit = np.partition(squares, last, axis=1)[:, last]
+            limit += 1e-9 * (np.einsum("ij,ij->i", some, some) + longest)  # more than the product's rounding
+            for query, row, most in zip(some, squares, limit):
+                maybe = np.flatnonzero(row <= most)
+                distance = _distances(points[maybe], query)
+                # rows are in id order, so a stable sort breaks ties by id
+                best = np.argsort(distance, kind="stable")[:k]
+                near_ids.append(ids[maybe[best]])
+                near_distances.append(distance[best])
+                sizes.append(len(best))
         return pd.DataFrame({"query_id": np.repeat(right["query_id"].to_numpy(), sizes),
                              "neighbor_id": np.concatenate(near_ids),
                              "distance": np.concatenate(near_distances)})
@@ -132,6 +122,77 @@ def knn_topk(train: DataFrame, queries: DataFrame, k: int = 5, key: str = "id",
     )
 
 
+def _met(train, queries, tree, k, block_rows, chunk_rows):
+    """(blocks, routed queries), both by (cell, part, chunk): a block only where a query asks for it."""
+    id_type, query_type = dict(train.dtypes)["id"], dict(queries.dtypes)["query_id"]
+
+    def placed(frames):
+        for pdf in frames:
+            if len(pdf):
+                cell, radius = tree.place(_matrix(pdf["v"]))
+                yield pdf.assign(cell=cell.astype("int32"), radius=radius)
+
+    # written, since a row between two pivots must not be placed twice in different ways
+    rows = cut_lineage(train.mapInPandas(placed, f"id {id_type}, v array<double>, cell int, radius double"), "placed")
+
+    def summarised(frames):
+        met = {}
+        for pdf in frames:
+            if len(pdf):
+                cell, radius = pdf["cell"].to_numpy(), pdf["radius"].to_numpy()
+                for c in np.unique(cell):
+                    own = radius[cell == c]
+                    n, near = met.get(c, (0, np.zeros(0)))
+                    reach = max(own.max(), met[c][2]) if c in met else own.max()
+                    met[c] = n + len(own), np.sort(np.append(near, own))[:k], reach
+        yield pd.DataFrame([(int(c), n, float(reach), near.tolist()) for c, (n, near, reach) in met.items()],
+                           columns=["cell", "n", "reach", "near"])
+
+    # per pivot: size, reach, and the k smallest radii, which bound every query's k-th distance
+    smallest = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k)
+    layout = rows.select("cell", "radius").mapInPandas(summarised, "cell int, n bigint, reach double, near array<double>").groupBy("cell").agg(
+        F.sum("n").alias("n"), F.max("reach").alias("reach"), smallest.alias("near")).orderBy("cell").collect()  # a row a pivot
+    cell_ids = np.array([row["cell"] for row in layout])
+    reach = np.array([row["reach"] for row in layout])
+    near = [np.array(row["near"]) for row in layout]
+    parts = np.array([-(-row["n"] // block_rows) for row in layout])
+    which = np.repeat(np.arange(len(layout)), [len(x) for x in near])
+    every_near = np.concatenate(near)
+
+    def route(frames):
+        step = max(1, _TOGETHER // max(1, len(which)))
+        for whole in frames:
+            for at in range(0, len(whole), step):
+                pdf = whole.iloc[at:at + step]
+                points = _matrix(pdf["v"])
+                to_pivot = np.stack([_distances(points, tree.pivots[c]) for c in cell_ids], axis=1)
+                reachable = to_pivot[:, which] + every_near
+                last = min(k, len(which)) - 1
+                limit = np.partition(reachable, last, axis=1)[:, last]
+                wanted = to_pivot - reach[None, :] <= (limit * (1 + _SLACK) + _SLACK)[:, None]
+                row, cell = np.nonzero(wanted)
+                times = parts[cell]
+                part = np.concatenate([np.arange(n) for n in times]) if len(times) else np.zeros(0, dtype=int)
+                chosen = pdf.iloc[np.repeat(row, times)]
+                yield chosen.assign(cell=np.repeat(cell_ids[cell], times).astype("int32"), part=part.astype("int32"))
+
+    routed = cut_lineage(queries.mapInPandas(route, f"query_id {query_type}, v array<double>, cell int, part int"), "routed")
+    asked = {row["cell"]: row["count"] for row in routed.filter("part = 0").groupBy("cell").count().collect()}  # a row a pivot
+    sizes = train.sparkSession.createDataFrame(
+        [(int(c), int(p), int(-(-asked[c] // chunk_rows))) for c, p in zip(cell_ids, parts) if c in asked],
+        "cell int, parts int, chunks int")
+
+    blocks = (
+        rows.join(F.broadcast(sizes), "cell")
+        .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .select("cell", "part", "chunk", "id", "v")
+    )
+    chunked = routed.join(F.broadcast(sizes.select("cell", "chunks")), "cell").withColumn(
+        "chunk", F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int")).drop("chunks")
+    return blocks, chunked
+
+
 def knn_vote(neighbors: DataFrame, labels: DataFrame, key: str = "id", label: str = "label") -> DataFrame:
     """(query_id, prediction, votes): the most frequent label among the neighbours, smallest on ties."""
     votes = (

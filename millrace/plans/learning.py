@@ -200,11 +200,10 @@ def calibrated_scores(spark, d):
     marked = cut_lineage(splits.exact_split(rows.select("id", "label", *b.PROFILE_COLUMNS), "id", 0.3), "calibration")
     train, test = marked.filter(~F.col("is_test")), marked.filter("is_test").drop("is_test")
     forest = learn.with_preparation(b.PROFILE_COLUMNS, learn.random_forest(100, 5))
-    parts = [
-        learn.calibrated_scores(train.drop("is_test"), test, "id", forest, scaling, 5).select(
-            F.lit(name).alias("method"), F.col("label").alias("y"), F.col("calibrated").alias("score"))
-        for name, scaling in (("platt", learn.PlattScaling()), ("isotonic", learn.IsotonicScaling()))]
-    return curves.calibration_curve(parts[0].unionByName(parts[1]), 10, keys=["method"])
+    scored = learn.calibrated_by(train.drop("is_test"), test, "id", forest,
+                                 {"platt": learn.PlattScaling(), "isotonic": learn.IsotonicScaling()}, 5)
+    long = scored.select(F.col("label").alias("y"), "platt", "isotonic").unpivot("y", ["platt", "isotonic"], "method", "score")
+    return curves.calibration_curve(long, 10, keys=["method"])
 
 
 @query("regression_models")

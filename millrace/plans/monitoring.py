@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from millrace.operators import curves, drift, evaluation, frames
+from millrace.operators import curves, drift, evaluation, frames, sketches
 from millrace.plans import bindings as b
 from millrace.plans import tabular
 from millrace.plans.registry import query
@@ -450,3 +450,37 @@ def stream_psi(spark, d):
     streams.run_batches(streams.window_bins(rows, edges, columns, width="2 days"), out, checkpoint, "update", keys)
     bins = streams.current_state(spark, out, keys)
     return plain_time(streams.window_psi(bins, edges))
+
+
+_SKETCHED = """long as (
+  select ts, 'value' as feature, value as v from pred_log union all select ts, 'k', k::double from pred_log),
+ref as (select feature, list_sort(list(v)) as rs, count(*) as rn from long where ts < timestamp '2024-01-08' and v is not null
+        group by feature),
+cur as (select feature, time_bucket(interval 2 days, ts, timestamp '1970-01-01') as window_start, list_sort(list(v)) as cs,
+               count(*) as n from long where v is not null group by all),
+met as (select feature, window_start, n, list_transform(range(1, 501), lambda i: rs[ceil(round(i * rn / 500, 6))::int]) as r,
+               list_transform(range(1, 501), lambda i: cs[ceil(round(i * n / 500, 6))::int]) as c from cur join ref using (feature)),
+ends as (select *, [0.0::double] || list_transform(range(1, 10), lambda i: len(list_filter(r, lambda v: v <= r[50 * i])) / 500)
+                || [1.0::double] as re,
+                [0.0::double] || list_transform(range(1, 10), lambda i: len(list_filter(c, lambda v: v <= r[50 * i])) / 500)
+                || [1.0::double] as ce,
+                list_max(list_transform(r || c, lambda e: abs(len(list_filter(r, lambda v: v <= e)) / 500
+                                                              - len(list_filter(c, lambda v: v <= e)) / 500))) as gap
+         from met),
+terms as (select *, list_sum(list_transform(range(1, 11), lambda i: (greatest(ce[i + 1] - ce[i], 0.0001) - greatest(re[i + 1] - re[i], 0.0001))
+                  * ln(greatest(ce[i + 1] - ce[i], 0.0001) / greatest(re[i + 1] - re[i], 0.0001)))) as index from ends)"""
+
+
+@query("sketch_drift", b.with_ctes(b.PRED_LOG, _SKETCHED) + """
+select window_start, feature, n, round(index, 4) as psi, index >= 0.2 as psi_drift, round(gap, 4) as ks_statistic from terms""")
+def sketch_drift(spark, d):
+    """Drift of every two days of a stream against its first week, from one sketch a window and feature."""
+    out, checkpoint = _folders(spark, "sketches")
+    keys = ["window_start", "feature"]
+    rows = streams.with_event_time(event_stream(spark, d))
+    kept = sketches.window_sketches(rows, ["value", "k"], width="2 days")
+    streams.run_batches(kept, out, checkpoint, "update", keys)
+    week = b.pred_log(spark, d).filter(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz"))
+    reference = sketches.merged(sketches.window_sketches(week.withColumn("ts", F.col("ts").cast("timestamp")), ["value", "k"]))
+    found = sketches.sketch_drift(reference, streams.current_state(spark, out, keys), ["window_start"])
+    return plain_time(found.drop("ks_error"))

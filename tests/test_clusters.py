@@ -108,3 +108,32 @@ def test_tree_samples_have_the_exact_size(spark):
     df = plane(spark, np.random.default_rng(0).normal(size=(3000, 2)))
     sizes = isolation.tree_samples(df, "id", ["c0", "c1"], trees=20, rows=64).groupBy("tree").count().collect()
     assert len(sizes) == 20 and {r["count"] for r in sizes} == {64}
+
+
+def test_blocks_go_only_where_queries_ask(spark):
+    """Two far groups of rows and queries beside one of them: no row of the other group is moved."""
+    random = np.random.default_rng(8)
+    far = np.vstack([random.normal(size=(300, 2)), random.normal(size=(300, 2)) + 1000])
+    rows = spark.createDataFrame([(i, list(map(float, p))) for i, p in enumerate(far)], "id bigint, v array<double>")
+    asked = spark.createDataFrame([(i, list(map(float, p))) for i, p in enumerate(far[:40])], "query_id bigint, v array<double>")
+    tree = neighbors.PivotTree.of(rows, 20)
+    blocks, routed = neighbors._met(rows, asked, tree, 5, 50, 10)
+    ids = [r["id"] for r in blocks.select("id", "chunk").distinct().collect()]
+    assert 0 < len(set(ids)) and max(ids) < 300
+    needed = {tuple(r) for r in routed.select("cell", "part", "chunk").distinct().collect()}
+    cells = {c for c, _, _ in needed}
+    assert {r["cell"] for r in blocks.select("cell").distinct().collect()} <= cells
+    cell, radius = tree.place(far)
+    assert np.allclose(radius, np.sqrt(((far - tree.pivots[cell]) ** 2).sum(1)))
+
+
+def test_many_copies_of_a_row(spark):
+    rows = [(i, [1.0, 1.0] if i % 3 else [float(i), 0.0]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "id bigint, features array<double>")
+    got = {}
+    for r in neighbors.knn_topk(frame, frame.filter("id < 30"), 4, block_rows=60, chunk_rows=7).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["neighbor_id"]))
+    points = np.array([v for _, v in rows])
+    for q, found in got.items():
+        distance = np.sqrt(((points - points[q]) ** 2).sum(1))
+        assert [i for _, i in sorted(found)] == sorted(range(400), key=lambda i: (distance[i], i))[:4]
