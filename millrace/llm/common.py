@@ -40,19 +40,49 @@ def row_fraction(digest: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
-def rows_that_stay(docs: DataFrame, id_col, marks: dict, kept: DataFrame) -> DataFrame:
+FEWEST_BITS, MOST_BITS = 1 << 16, 1 << 26
+
+
+def id_filter(ids: DataFrame, n: int):
+    """A function that keeps, or leaves out, the rows of a frame whose id (`id_key`) may be among the `n` ids.
+
+    A bitmap of 16 bits an id, at most `MOST_BITS` (a million words of 64 bits, sent to every task): beyond 4 million
+    ids more rows are taken for one of them than are, never fewer.
+    """
+    bits = min(MOST_BITS, max(FEWEST_BITS, 1 << max(0, 16 * n - 1).bit_length()))
+    spot = F.pmod(F.xxhash64("id_key"), F.lit(bits))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(spot, F.lit(64)).cast("int"))
+    words = ids.select(F.expr(f"pmod(xxhash64(id_key), {bits}L) div 64").alias("_word"), bit.alias("_bit")).groupBy(
+        "_word").agg(F.bit_or("_bit").alias("_bits"))
+    words = cut_lineage(words, "id-bits")
+
+    def may_be(rows: DataFrame, wanted: bool) -> DataFrame:
+        met = rows.withColumns({"_word": F.expr(f"pmod(xxhash64(id_key), {bits}L) div 64"), "_bit": bit}).join(
+            F.broadcast(words), "_word", "left")
+        hit = F.coalesce(F.col("_bits").bitwiseAND(F.col("_bit")), F.lit(0)) != 0
+        return met.filter(hit if wanted else ~hit).select(*rows.columns)
+
+    return may_be
+
+
+def rows_that_stay(docs: DataFrame, id_col, marks: dict, decided: DataFrame) -> DataFrame:
     """The rows of `docs`, with all their columns, whose id and `marks` (names to columns over `docs`)
-    are in `kept` (doc_id and the marks); of rows that agree in all of these one.
+    `decided` (doc_id, the marks, kept) keeps; of rows that agree in all of these one.
 
-    The rows are read again and shuffled once by id and marks, so no second copy of them is written.
+    Rows whose id no dropped row has stay where they are: they are read, tested against a bitmap of the
+    dropped rows' ids and passed on. Only the others are shuffled, equal ones added up before, and decided exactly.
     """
     keys = ["id_key", *marks]
-    wanted = kept.select(key_of("doc_id").alias("id_key"), *marks)
-    marked = docs.select(F.struct("*").alias("row"), key_of(id_col).alias("id_key"),
-                         *[mark.alias(name) for name, mark in marks.items()])
-    met = marked.join(wanted, keys, "left_semi")  # leaves the rows of equal keys together and in order
-    return met.withColumn("place", F.row_number().over(W.partitionBy(*keys).orderBy(*keys))).filter(
-        "place = 1").select("row.*")
+    decided = cut_lineage(decided.select(key_of("doc_id").alias("id_key"), *marks, "kept"), "decided")
+    dropped = decided.filter(~F.col("kept")).select("id_key").distinct()
+    may_go = id_filter(dropped, dropped.count())
+    tagged = docs.select(F.struct("*").alias("row"), key_of(id_col).alias("id_key"))
+    stay = may_go(tagged, False).select("row.*")
+    doubtful = may_go(tagged, True).select("row.*").select(
+        F.struct("*").alias("row"), key_of(id_col).alias("id_key"), *[mark.alias(name) for name, mark in marks.items()])
+    one = doubtful.groupBy(*keys).agg(F.first("row").alias("row"))
+    wanted = may_go(decided.filter("kept").drop("kept"), True)
+    return stay.unionByName(one.join(wanted, keys, "left_semi").select("row.*"))
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -93,7 +123,7 @@ def in_order(rows: DataFrame, groups, order, tag: str, sums=()) -> DataFrame:
     `rows` must be cheap to read twice."""
     dealt = rows.repartitionByRange(4 * shuffle_partitions(rows), *groups, *order).withColumn(
         "range_no", F.spark_partition_id())
-    return ranked(cut_lineage(dealt, tag), groups, "range_no", order, sums).drop("range_no", "n_total")
+    return ranked(cut_lineage(dealt, tag), groups, "range_no", order, sums).drop("range_no")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col, text_col, label_col, seed: int,

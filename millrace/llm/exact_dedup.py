@@ -62,5 +62,5 @@ def decisions(docs: DataFrame, id_col="doc_id", text_col="text", tracked: int =
 
 def deduplicate(docs: DataFrame, id_col="doc_id", text_col="text", tracked: int = TRACKED) -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
-    kept = decide(_digested(docs, id_col, text_col), tracked).filter("kept")
-    return rows_that_stay(docs, id_col, {"digest": text_digest(text_col)}, kept)
+    decided = decide(_digested(docs, id_col, text_col), tracked)
+    return rows_that_stay(docs, id_col, {"digest": text_digest(text_col)}, decided)

@@ -140,7 +140,7 @@ class Manifest:
             key_of(group_col).alias("tree"), F.col(id_col).alias("doc_id"), leaf.alias("digest"),
             (leaf if claim is None else claim).alias("claim"), F.monotonically_increasing_id().alias("row_no")), "leaves")
         leaves = cut_lineage(in_order(rows, ["tree"], ["doc_id", "digest", "row_no"], "leaf-order").withColumnRenamed(
-            "place", "idx").drop("row_no"), "ranked-leaves")
+            "place", "idx").drop("row_no", "n_total"), "ranked-leaves")
         sizes = leaves.groupBy("tree").agg(F.count(F.lit(1)).alias("n"))
         largest, n_groups = sizes.agg(F.coalesce(F.max("n"), F.lit(0)), F.count(F.lit(1))).first()
         inner = _grown(leaves, largest)

@@ -4,7 +4,7 @@ Within each source the rows are shuffled by a seeded digest and ranked; row r (f
 of n rows gets the fractional rank (2r + 1) / 2n. All rows in the order of that number hold every
 source at its overall share in any stretch, so cutting the order into equal stretches gives shards
 that all match the mixture. Both ranks are exact and found from counts of small parts
-(`common.ranked`): no source, however large, is sorted in one task.
+(`common.in_order`, `common.ranked`): no source or id, however large, is sorted in one task.
 
 Defined results: a null source is a source of its own; a null text has size 1 and the CRC of the
 empty text; rows with the same id are ordered by their text's CRC and size, so only rows equal in
@@ -14,7 +14,7 @@ all of these can trade places; an empty table gives no rows; other columns are c
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import key_of, ranked, row_fraction, shuffle_partitions, whole_text
+from millrace.llm.common import in_order, key_of, ranked, shuffle_partitions, whole_text
 from millrace.session import cut_lineage
 
 PARTS_A_PARTITION = 4
@@ -32,11 +32,11 @@ def assign_shards(docs: DataFrame, shards: int, seed: int = 0, id_col="doc_id",
         F.col(id_col).alias("doc_id"), key_of(stratum_col).alias("stratum"),
         F.md5(F.concat(F.lit(f"{seed}:"), identity)).alias("digest"),
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
-        F.crc32(text).alias("text_crc32")), "shard-rows")
+        F.crc32(text).alias("text_crc32"), F.monotonically_increasing_id().alias("row_no")), "shard-rows")
     parts = PARTS_A_PARTITION * shuffle_partitions(docs)
     tie = ["digest", "doc_id", "text_crc32", "size"]
-    shuffled = rows.withColumn("part", F.floor(row_fraction(F.col("digest")) * parts))
-    placed = ranked(shuffled, ["stratum"], "part", tie)
+    # dealt by ranges of the whole order: rows with one id, or none, share a digest and still spread
+    placed = in_order(rows, ["stratum"], [*tie, "row_no"], "shard-order")
     share = (2 * F.col("place") + 1) / (2 * F.col("n_total"))
     spread = cut_lineage(placed.select("doc_id", "stratum", "digest", "size", "text_crc32", share.alias("share")),
                          "shard-shares")

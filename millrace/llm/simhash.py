@@ -249,5 +249,5 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, most: in
 def deduplicate(docs: DataFrame, shingle: int = 3, radius: int = 2, most: int = MOST, id_col="doc_id",
                 text_col="text") -> DataFrame:
     """The rows of `docs` that stay, one of every component, with all their columns."""
-    kept = _decide(_rows(docs, shingle, id_col, text_col), radius, most).filter("kept")
-    return rows_that_stay(docs, id_col, {"text_hash": F.xxhash64(whole_text(text_col))}, kept)
+    decided = _decide(_rows(docs, shingle, id_col, text_col), radius, most)
+    return rows_that_stay(docs, id_col, {"text_hash": F.xxhash64(whole_text(text_col))}, decided)

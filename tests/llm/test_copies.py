@@ -8,7 +8,7 @@ from collections import defaultdict
 import pytest
 import xxhash
 
-from millrace.llm import exact_dedup, simhash
+from millrace.llm import common, exact_dedup, simhash
 from millrace.llm.screening import simhash_components
 
 
@@ -195,3 +195,36 @@ def test_near_duplicates_on_odd_rows(odd, empty):
 def test_op1_on_a_whole_table(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     check_components([(r.doc_id, r.text) for r in docs.collect()], simhash_components(spark, small).collect())
+
+
+@pytest.mark.parametrize("bits", [1 << 10, 1 << 26])
+def test_rows_of_hot_ids_are_decided_exactly(spark, make, monkeypatch, bits):
+    """A third of the rows with one id, a third with none, copies among all of them, and a bitmap too small for them."""
+    monkeypatch.setattr(common, "FEWEST_BITS", 64)
+    monkeypatch.setattr(common, "MOST_BITS", bits)
+    rows = [((7, None, i)[i % 3], f"text {i % 400}" if i % 5 else "one text", "s") for i in range(1800)]
+    docs = make(rows).repartition(6)
+    groups = brute_groups([r[:2] for r in rows])
+    kept = exact_dedup.deduplicate(docs).collect()
+    assert sorted((str(r.doc_id), normal(r.text)) for r in kept) == sorted((str(least(ids)), text) for text, ids in groups.items())
+
+
+def test_rows_that_stay_are_not_shuffled(spark, make):
+    """The texts that nobody drops pass from the scan to the result without an exchange."""
+    docs = make([(i, f"text {i} " + "word " * 200 if i > 20 else "copy", "s") for i in range(2000)]).repartition(4)
+    path = common.cut_lineage(docs, "docs")
+    kept = exact_dedup.deduplicate(path)
+    assert kept.count() == 1980
+    exchanged = [0]
+    plan = kept._jdf.queryExecution().executedPlan()
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("Exchange"):
+            found = {str(node.output().apply(i)).split("#")[0] for i in range(node.output().size())}
+            exchanged[0] += "row" in found or "text" in found
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+        if name == "AdaptiveSparkPlan":
+            walk(node.initialPlan())
+    walk(plan)
+    assert exchanged[0] <= 1  # the doubtful rows alone
