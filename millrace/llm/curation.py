@@ -93,7 +93,56 @@ def mixed(spark, folder):
 LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
-@query("op13_merkle")
+def _written_sql(field, value=None):
+    value = value or f"{field}::varchar"
+    return f"case when {field} is null then '-' else strlen({value}) || ':' || {value} end"
+
+
+_LEAF = "sha256(" + " || ".join(_written_sql(f) for f in LEAF_FIELDS) + ")"
+_TAMPERED = "sha256(" + " || ".join(_written_sql(f, "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+                                  if f == "text" else _written_sql(f) for f in LEAF_FIELDS) + ")"
+
+
+def _tree_sql(name, leaves):
+    """Nodes of all trees level by level, and per level the runs of eight under one parent."""
+    return f"""
+    {name}_nodes(tree, level, idx, digest) as (
+      select tree, 0::bigint, idx, digest from {leaves}
+      union all
+      select tree, level + 1, idx // 8, sha256(string_agg(digest, '' order by idx))
+      from (select *, count(*) over (partition by tree) as width from {name}_nodes) where width > 1 group by tree, level, idx // 8),
+    {name}_runs as (
+      select tree, level, idx // 8 as parent, list(digest order by idx) as run
+      from (select *, count(*) over (partition by tree, level) as width from {name}_nodes) where width > 1 group by tree, level, idx // 8),
+    {name}_tops as (select tree, max(level) as height, arg_max(digest, level) as top from {name}_nodes group by tree)"""
+
+
+def _walk_sql(name, starts):
+    """What a claim folds to on its way up, with the siblings it meets."""
+    return f"""
+    {name}_walk(row_no, tree, level, place, folded, proof) as (
+      select row_no, tree, 0::bigint, place, folded, proof from {starts}
+      union all
+      select w.row_no, w.tree, w.level + 1, w.place // 8,
+             sha256(array_to_string(run[1:w.place % 8], '') || w.folded || array_to_string(run[w.place % 8 + 2:], '')),
+             w.proof || array_to_string(run[1:w.place % 8], '') || array_to_string(run[w.place % 8 + 2:], '')
+      from {name}_walk w join {name}_runs r on r.tree = w.tree and r.level = w.level and r.parent = w.place // 8)"""
+
+
+@query("op13_merkle", f"""
+    with recursive d as (
+      select doc_id, lang, {_LEAF} as leaf, case when ({_CRC32.replace('text', 'doc_id::varchar')}) % 3 = 0 and doc_id is not null
+             then {_TAMPERED} else {_LEAF} end as claim from documents),
+    o as (select *, row_number() over () as row_no, dense_rank() over (order by lang nulls first) - 1 as tree,
+                 row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as idx from d),
+    leaves as (select tree, idx, leaf as digest from o),{_tree_sql('lang', 'leaves')},
+    subroots as (select 0::bigint as tree, tree as idx, top as digest from lang_tops),{_tree_sql('all', 'subroots')},
+    begun as (select row_no, tree, idx as place, claim as folded, '' as proof from o),{_walk_sql('lang', 'begun')},
+    half as (select w.row_no, 0::bigint as tree, w.tree as place, w.folded, w.proof from lang_walk w join lang_tops t
+             on t.tree = w.tree and t.height = w.level),{_walk_sql('all', 'half')}
+    select o.doc_id, o.leaf, s.top as subroot, a.top as root, sha256(w.proof) as proof_sha256, w.folded as folded_root,
+           w.folded = a.top as verified
+    from all_walk w join all_tops a on a.height = w.level join o on o.row_no = w.row_no join lang_tops s on s.tree = o.tree""")
 def manifest_proofs(spark, folder):
     docs = table(spark, folder, "documents")
     tampered = [lower_ascii(F.col(f)) if f == "text" else F.col(f) for f in LEAF_FIELDS]

@@ -78,6 +78,14 @@ def test_whole_table(spark, folder):
     assert {r[-1] for r in got} == {True, False}
 
 
+def test_agrees_with_sql(spark):
+    from millrace.llm.queries import ORACLES
+    from tools.compare import difference, duck
+
+    folder = "/root/testdata/sf0.01"
+    assert difference(QUERIES["op13_merkle"](spark, folder), duck(folder), ORACLES["op13_merkle"]) is None
+
+
 def manifest(docs):
     claim = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, merkle.leaf_digest(
         [F.translate(f, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz") if f == "text" else F.col(f) for f in FIELDS]))
