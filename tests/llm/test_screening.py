@@ -10,9 +10,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.llm import fingerprints, kneser_ney, screening, secret_scan, toxicity, urls
+from millrace.llm import common, fingerprints, kneser_ney, screening, secret_scan, toxicity, urls
 from tools.compare import difference, duck
 
 
@@ -68,6 +71,67 @@ def test_words_are_learned_from_labels(spark, make, odd, empty):
     assert untaught.curve is toxicity.ToxicityModel.FALLBACK
 
 
+def test_a_hot_id_with_many_labels_gives_one_text(spark, make):
+    """A third of 3,000 rows on one id with three labels, two thirds on their own: the sample stays bounded."""
+    rows = [(1 if i % 3 == 0 else i + 10, f"word{i} here", "s") for i in range(3000)]
+    docs = make(rows)
+    labels = spark.createDataFrame([(1, 1)] * 3 + [(i + 10, i % 2) for i in range(3000) if i % 3], "doc_id bigint, toxic int")
+    sample = common.labelled_sample(docs, labels, 100_000, "doc_id", "text", "toxic", 11, 2)
+    assert sample.count() == 1 + 2000 and sample.filter("text rlike 'word(0|3|6|9) here'").count() <= 1
+    assert common.labelled_sample(docs, labels, 8, "doc_id", "text", "toxic", 11, 2).count() < 40
+    both = labels.unionByName(spark.createDataFrame([(1, 0)], labels.schema))
+    assert common.labelled_sample(docs, both, 100_000, "doc_id", "text", "toxic", 11, 2).count() == 2000
+
+
+def brute_lexicon(rows):
+    """The words that the stated test lets in, from (text, label), with plain counting."""
+    toxic, clean = ([t.lower() for t, y in rows if y == v] for v in (1, 0))
+    stems = set()
+    for text in toxic:
+        for word in re.findall(r"[^\W\d_]+", text):
+            stems |= {word[:n] for n in range(4, min(len(word), 8) + 1)} | ({word} if not 4 <= len(word) <= 8 else set())
+    out = {}
+    for stem in stems:
+        def holds(text):
+            return any((w == stem) if not 4 <= len(stem) <= 8 else w.startswith(stem) for w in re.findall(r"[^\W\d_]+", text))
+        t, c = sum(map(holds, toxic)) + 0.5, sum(map(holds, clean)) + 0.5
+        if t < 5:
+            continue
+        weight = math.log(t / (len(toxic) + 1)) - math.log(c / (len(clean) + 1))
+        error = math.sqrt(1 / t - 1 / (len(toxic) + 1) + 1 / c - 1 / (len(clean) + 1))
+        if weight >= 2 and weight > 3 * error:
+            out[stem] = weight
+    return out
+
+
+def test_the_lexicon_by_brute_force(spark, make):
+    docs, labels = labelled(make, spark, 400)
+    rows = [(f"{r.text} {'zik verylongword' if r.toxic and r.doc_id % 10 == 0 else ''}", r.toxic, r.doc_id)
+            for r in docs.join(labels, "doc_id").collect()]
+    docs = make([(i, t, "s") for t, _, i in rows])
+    model = toxicity.ToxicityModel.fit(docs, labels)
+    want = brute_lexicon([(t, y) for t, y, _ in rows])
+    assert "zik" in want and "verylongword" in want
+    learned = {s: w for s, w in model.lexicon.items() if s not in toxicity.INSULTS}
+    assert set(learned) <= set(want) and all(w == pytest.approx(want[s]) for s, w in learned.items())
+    for stem in set(want) - set(learned):  # left out only where a shorter one weighs as much
+        assert any(model.lexicon.get(stem[:n], 0) >= want[stem] - 0.1 for n in range(4, len(stem)))
+
+
+def test_short_words_are_no_beginnings():
+    lexicon = {"zik": 4.0}
+    assert evidence("a zik!", lexicon) > 0 and evidence("a ziko zikzik", lexicon) == 0
+
+
+def test_the_bar_does_not_move_with_the_table():
+    """The same counts of a word are conclusive in a small sample and in one a hundred times as large."""
+    import pandas as pd
+
+    for size in (1, 10, 100):
+        counts = pd.DataFrame({"stem": ["rare"], "t": [8], "c": [0]})
+        assert "rare" in toxicity.weigh(counts, 100 * size, 700 * size)
+
+
 def test_op3_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     got = {r.doc_id: r for r in screening.toxic_scores(spark, folder).collect()}
@@ -377,6 +441,24 @@ def test_model_of_nothing(spark, odd, empty):
         kneser_ney.KneserNey.fit(odd, folder="hdfs://somewhere/model")
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.binary(min_size=1, max_size=40).map(lambda b: bytes(x if x not in b" \t\n\r\x0b\x0c" else 65 for x in b)), max_size=12))
+def test_word_hashes_are_those_of_the_library(some):
+    data = b" ".join(some) + b" " * 8
+    lengths = np.array([len(w) for w in some], dtype=np.int64)
+    starts = np.cumsum(lengths + 1) - lengths - 1
+    assert kneser_ney.word_hashes(data, starts, lengths).tolist() == [xxhash.xxh64_intdigest(w) for w in some]
+
+
+def test_words_that_a_polynomial_takes_for_one(spark, make):
+    """Thue-Morse words over a and b and their mirrors agree under any polynomial modulo 2^64."""
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    model = kneser_ney.KneserNey.fit(make([(1, one, "s")]))
+    got = {r.doc_id: r.n_known for r in model.score(make([(1, one, "s"), (2, other, "s")])).collect()}
+    assert got == {1: 2, 2: 1}
+
+
 def test_token_hashes(words, lowered):
     texts = ["", " ", "A b\tc", "ab ba aB", "ü Ü", "end "]
     tokens, counts = kneser_ney.token_hashes(texts)
