@@ -3,6 +3,11 @@ near copies, mix the sources to their target weights, and encode what remains.
 
 Every stage takes all rows its predecessor kept; `run` writes each stage's rows as Parquet in the shared
 scratch folder and reads them again, so a lost executor never costs more than its stage.
+
+Defined results, for every stage: a null text counts as the empty one, a null source as a source; null ids lose
+against every other id; of rows equal in id and text one stays, of equal texts the row with the smallest
+id; ties in the mix go by a digest of the id and the text; very long texts are read whole; an empty table gives
+an empty one; further columns of the documents are carried untouched, whatever their names.
 """
 
 from millrace.llm import curation, exact_dedup, mixing, screening, simhash, toxicity
