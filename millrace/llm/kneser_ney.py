@@ -67,11 +67,11 @@ def _turned(x, bits):
     return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
 
 
-def word_hashes(data: bytes, starts, lengths):
-    """XXH64 (seed 0) of words given by their places in `data`, which 8 bytes or more follow: words of less than 32
+def word_hashes(data: bytes, starts, lengths, seed: int = 0):
+    """XXH64 of words given by their places in `data`, which 8 bytes or more follow: words of less than 32
     bytes all at once, a step of the hash at a time, longer ones by the library."""
     eight, four, one = (np.ndarray((len(data) - 7,), kind, data, strides=(1,)) for kind in ("<u8", "<u4", "u1"))
-    h = _P5 + lengths.astype(np.uint64)
+    h = (_P5 + np.uint64(seed)) + lengths.astype(np.uint64)
     long = np.flatnonzero(lengths >= 32)
     at, left = starts.copy(), lengths.copy()
     left[long] = 0
@@ -93,7 +93,7 @@ def word_hashes(data: bytes, starts, lengths):
     h = (h ^ (h >> np.uint64(29))) * _P3
     h ^= h >> np.uint64(32)
     for i in long.tolist():
-        h[i] = xxhash.xxh64_intdigest(data[starts[i]:starts[i] + lengths[i]])
+        h[i] = xxhash.xxh64_intdigest(data[starts[i]:starts[i] + lengths[i]], seed)
     return np.where(h == END, np.uint64(3), h)
 
 
