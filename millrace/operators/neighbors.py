@@ -142,9 +142,8 @@ def _met(train, queries, tree, k, block_rows, chunk_rows):
                 cell, radius = pdf["cell"].to_numpy(), pdf["radius"].to_numpy()
                 for c in np.unique(cell):
                     own = radius[cell == c]
-                    n, near = met.get(c, (0, np.zeros(0)))
-                    reach = max(own.max(), met[c][2]) if c in met else own.max()
-                    met[c] = n + len(own), np.sort(np.append(near, own))[:k], reach
+                    n, near, reach = met.get(c, (0, np.zeros(0), 0.0))
+                    met[c] = n + len(own), np.sort(np.append(near, own))[:k], max(own.max(), reach)
         yield pd.DataFrame([(int(c), n, float(reach), near.tolist()) for c, (n, near, reach) in met.items()],
                            columns=["cell", "n", "reach", "near"])
 

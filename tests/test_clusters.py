@@ -90,6 +90,26 @@ def test_neighbours_of_a_tiny_training_set(spark):
     assert neighbors.knn_topk(frame.limit(0), frame, 5).count() == 0
 
 
+def test_neighbours_when_a_task_gets_many_batches(spark):
+    """The rows of a pivot come in several batches, whose sizes, reaches and smallest radii are put together."""
+    random = np.random.default_rng(10)
+    train, ask = random.normal(size=(300, 3)), random.normal(size=(40, 3))
+    frame = lambda x: spark.createDataFrame(
+        [(i, [float(c) for c in p]) for i, p in enumerate(x)], "id bigint, features array<double>").coalesce(1)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "16")
+    try:
+        got = neighbors.knn_topk(frame(train), frame(ask), 5, pivots=4, block_rows=40, chunk_rows=30).collect()
+    finally:
+        spark.conf.set(setting, before)
+    found = {}
+    for r in sorted(got, key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append(r["neighbor_id"])
+    for i, q in enumerate(ask):
+        assert found[i] == list(np.argsort(((train - q) ** 2).sum(1), kind="stable")[:5])
+
+
 def test_isolation_forest_finds_planted_outliers(spark):
     random = np.random.default_rng(11)
     points = np.vstack([random.normal(size=(500, 2)), [[9, 9], [-9, 8], [8, -9], [-10, -9]]])
