@@ -8,9 +8,9 @@ gradients in fixed point), so neither the number of blocks nor their order chang
 * A tree is fixed by the seed, its number, the training rows and the smallest leaf, not by the number of
   trees or the depth asked for: a forest of 50 trees and depth 3 is the first 50 trees of one of 200 and depth 10,
   cut at depth 3. Parameter maps that differ in these alone are therefore grown once and read off at their sizes.
-* When the table is a single block, a task grows its trees to the end; otherwise the driver holds the trees
-  grown so far (bounded by their nodes, as with any fitted model) and starts a pass per level. Both call the same
-  functions.
+* A task that can keep the binned rows (`TREE_ROWS`, `BOOSTED_ROWS`) grows its range of trees to the end. Over larger
+  tables the driver starts a pass per level, in which a task adds up a range of trees on one block. Over many blocks
+  trees are grown in waves of bounded size, and the driver holds one wave. All call the same functions.
 
 Training rows are given by marks: per row and fold a number, -1 for rows to judge, -2 for neither, else the
 first step (of a learning curve; 0 in cross-validation) whose training rows include it.
@@ -28,6 +28,9 @@ from millrace.session import cut_lineage
 BINS = 32
 BLOCK_ROWS = 1 << 16
 TREES_A_TASK = 25
+TREE_ROWS = 1 << 23  # at most this many rows (13 bytes and a mark each) are kept by a task that grows whole trees
+BOOSTED_ROWS = 1 << 20  # the same for a task that boosts, whose rows carry scores
+WAVE_NODES = 1 << 22  # tree nodes that the driver holds and sends out at once, about 20 bytes each
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 _POISSON = np.cumsum([np.exp(-1.0) / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320)])
 _POINT = float(1 << 20)  # fixed point of gradients
@@ -68,6 +71,7 @@ class Blocks:
 
     rows: DataFrame
     count: int
+    n: int
     features: int
     classes: int
     folds: int
@@ -100,7 +104,7 @@ class Blocks:
             *[F.col(m).cast("int").alias(f"m{i}") for i, m in enumerate(marks)])
         blocks = shaped.groupBy("block").applyInPandas(
             packed, "block bigint, n bigint, codes binary, labels binary, keys binary, marks binary")
-        return cls(cut_lineage(blocks, "blocks"), count, len(columns), int(facts["top"] or 0) + 1, len(marks))
+        return cls(cut_lineage(blocks, "blocks"), count, int(facts["n"]), len(columns), int(facts["top"] or 0) + 1, len(marks))
 
     @staticmethod
     def open(row) -> dict:
@@ -166,6 +170,10 @@ class Tree:
         down[inner] = self.child[nodes] + (codes[inner, feature[inner]] > self.cut[nodes])
         return down
 
+    def arrays(self):
+        """The tree as plain arrays, to be sent to tasks."""
+        return self.feature, self.cut, self.child, self.sums
+
     def shares(self):
         """Class shares of every node."""
         return self.sums / np.maximum(self.sums.sum(axis=1, keepdims=True), 1e-300)
@@ -234,13 +242,15 @@ class Run:
     step: int = 0
 
 
-def _grown_together(runs):
-    """Groups of runs that are read off the same trees: [(largest model, fold, step, runs)]."""
+def _grown_together(runs, features: int):
+    """Groups of runs that are read off the same trees: [(largest model, fold, step, runs)].
+
+    Subsets by different rules that try as many features give the same trees."""
     groups = {}
     for run in runs:
         m = run.model
         if isinstance(m, Forest):
-            groups.setdefault((m.leaf, m.subset, m.bagged, m.seed, run.fold, run.step), []).append(run)
+            groups.setdefault((m.leaf, m.tried(features), m.bagged, m.seed, run.fold, run.step), []).append(run)
         else:
             groups.setdefault((m, run.fold, run.step), []).append(run)
     out = []
@@ -319,9 +329,8 @@ def _dealt(blocks: Blocks, tasks: int) -> DataFrame:
     return wide.repartition(tasks * blocks.count)
 
 
-def _forest_parts(blocks: Blocks, groups, grown=None) -> DataFrame:
-    """Summed class shares of the judged rows, per (group, task, depth, block). With `grown`, a broadcast of
-    trees by (group, number), rows walk those; else every task grows its trees on its block."""
+def _forest_parts(blocks: Blocks, groups) -> DataFrame:
+    """Summed class shares of the judged rows of a single block, per (group, task, depth): every task grows its trees."""
     tasks = []
     for g, (model, _, _, same) in enumerate(groups):
         if isinstance(model, Forest):
@@ -336,48 +345,88 @@ def _forest_parts(blocks: Blocks, groups, grown=None) -> DataFrame:
                 block, (model, fold, step, same) = opened(row), groups[g]
                 sums = _Sums(block, fold, step, {r.model.depth for r in same}, classes)
                 for number in range(first, upto):
-                    if grown is None:
-                        grow_tree(block, model, fold, step, number, model.tried(features), classes, sums.visit)
-                        continue
-                    tree, at = grown.value[g, number], np.zeros(len(block["codes"]), np.int64)
-                    for level in range(model.depth + 1):
-                        sums.visit(level, tree, at)
-                        at = tree.step(block["codes"], at)
+                    grow_tree(block, model, fold, step, number, model.tried(features), classes, sums.visit)
                 yield pd.DataFrame([(g, upto, d, row["block"], s.tobytes()) for d, s in sums.sums.items()],
                                    columns=["grp", "upto", "depth", "block", "scores"])
 
     return _dealt(blocks, len(tasks)).mapInPandas(run, _PART)
 
 
-def _wide_forests(blocks: Blocks, groups):
-    """Trees by (group, number), a pass over all blocks per level."""
+def _drawn(block, model: Forest, fold, step, number):
+    """The rows of a block that a tree is grown on."""
+    rows = np.flatnonzero(_weights(block, model, fold, step, number))
+    return {name: values[rows] for name, values in block.items()}
+
+
+_TREE = "grp int, number int, feature binary, cut binary, child binary, sums binary"
+
+
+def _gathered(blocks: Blocks, tasks: int, task: str = "task"):
+    """Every block beside every task number, the blocks of a task together."""
+    wide = blocks.rows.withColumn(task, F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))))
+    return wide.repartitionByRange(tasks, task).groupBy(task)
+
+
+def _one(blocks) -> dict:
+    """Blocks of a frame as a single one, in the order of their numbers."""
+    opened = [Blocks.open(row) for row in blocks.sort_values("block").to_dict("records")]
+    return {name: np.concatenate([block[name] for block in opened]) for name in opened[0]}
+
+
+def _whole_trees(blocks: Blocks, groups, wave):
+    """Trees of the groups `wave` by (group, number): a task gathers the rows and grows a range of trees to the end."""
+    tasks = []
+    for g in wave:
+        ends = _ends(groups[g][0], groups[g][3])
+        tasks += [(g, a, b) for a, b in zip([0, *ends], ends)]
+    classes, features = blocks.classes, blocks.features
+
+    def grown(rows: pd.DataFrame) -> pd.DataFrame:
+        g, first, upto = tasks[int(rows["task"].iloc[0])]
+        model, fold, step, _ = groups[g]
+        block, out = _one(rows), []
+        training = np.flatnonzero(_training(block, fold, step))
+        block = {name: values[training] for name, values in block.items()}
+        for number in range(first, upto):
+            tree = grow_tree(_drawn(block, model, fold, step, number), model, fold, step, number, model.tried(features),
+                             classes, lambda *_: None)
+            out.append((g, number, *(x.tobytes() for x in tree.arrays())))
+        return pd.DataFrame(out, columns=["grp", "number", "feature", "cut", "child", "sums"])
+
+    found = _gathered(blocks, len(tasks)).applyInPandas(grown, _TREE).collect()  # one row a tree: the model itself
+    return {(row["grp"], row["number"]): Tree(
+        np.frombuffer(row["feature"], np.int16), np.frombuffer(row["cut"], np.int16), np.frombuffer(row["child"], np.int32),
+        np.frombuffer(row["sums"]).reshape(-1, classes)) for row in found}
+
+
+def _level_trees(blocks: Blocks, groups, wave):
+    """The same, a pass over all blocks per level: a task adds up a range of trees on one block."""
     spark, classes, features, opened = blocks.rows.sparkSession, blocks.classes, blocks.features, blocks.open
-    trees = {(g, i): Tree.root(classes) for g, (model, _, _, _) in enumerate(groups) if isinstance(model, Forest)
-             for i in range(model.trees)}
+    trees = {(g, i): Tree.root(classes) for g in wave for i in range(groups[g][0].trees)}
     frontier = {job: np.zeros(1, np.int64) for job in trees}
-    for level in range(max([groups[g][0].depth for g, _ in trees], default=0)):
+    for level in range(max(groups[g][0].depth for g in wave)):
         jobs = sorted(job for job in trees if len(frontier[job]) and level < groups[job[0]][0].depth)
         if not jobs:
             break
-        shared = spark.sparkContext.broadcast((jobs, {j: trees[j] for j in jobs}, {j: frontier[j] for j in jobs}))
+        shared = spark.sparkContext.broadcast((jobs, {j: (*trees[j].arrays()[:3], None) for j in jobs}, {j: frontier[j] for j in jobs}))
 
         def added(batches):
             jobs, now, open_ = shared.value
             for batch in batches:
                 for row in batch.to_dict("records"):
-                    block, out = opened(row), []
-                    for n, job in enumerate(jobs):
+                    block, first = opened(row), row["task"] * TREES_A_TASK
+                    for n, job in enumerate(jobs[first:first + TREES_A_TASK], first):
                         model, fold, step, _ = groups[job[0]]
-                        at = np.zeros(len(block["codes"]), np.int64)
+                        some, tree = _drawn(block, model, fold, step, job[1]), Tree(*now[job])
+                        at = np.zeros(len(some["codes"]), np.int64)
                         for _ in range(level):
-                            at = now[job].step(block["codes"], at)
-                        local = np.full(len(now[job].feature), -1)
+                            at = tree.step(some["codes"], at)
+                        local = np.full(len(tree.feature), -1)
                         local[open_[job]] = np.arange(len(open_[job]))
-                        sums = class_histogram(block["codes"], local[at], len(open_[job]), block["labels"],
-                                               _weights(block, model, fold, step, job[1]), classes).ravel()
+                        sums = class_histogram(some["codes"], local[at], len(open_[job]), some["labels"],
+                                               _weights(some, model, fold, step, job[1]), classes).ravel()
                         cells = np.flatnonzero(sums)
-                        out.append((n, cells.tobytes(), sums[cells].tobytes()))
-                    yield pd.DataFrame(out, columns=["job", "cells", "sums"])
+                        yield pd.DataFrame({"job": [n], "cells": [cells.tobytes()], "sums": [sums[cells].tobytes()]})
 
         def chosen(parts: pd.DataFrame) -> pd.DataFrame:
             jobs, _, open_ = shared.value
@@ -390,7 +439,8 @@ def _wide_forests(blocks: Blocks, groups):
                                 _salt(model.seed, job[1], 1), nodes, False)
             return pd.DataFrame({"job": [int(parts["job"].iloc[0])], **{f"x{i}": [x.tobytes()] for i, x in enumerate(found)}})
 
-        splits = blocks.rows.mapInPandas(added, "job int, cells binary, sums binary").groupBy("job").applyInPandas(
+        splits = _dealt(blocks, -(-len(jobs) // TREES_A_TASK)).mapInPandas(
+            added, "job int, cells binary, sums binary").groupBy("job").applyInPandas(
             chosen, "job int, x0 binary, x1 binary, x2 binary, x3 binary, x4 binary")
         for row in splits.collect():  # one row a tree: the model itself
             job = jobs[row["job"]]
@@ -398,7 +448,86 @@ def _wide_forests(blocks: Blocks, groups):
                      np.frombuffer(row["x2"], np.int16), np.frombuffer(row["x3"], np.int16),
                      np.frombuffer(row["x4"]).reshape(-1, classes))
             frontier[job] = trees[job].split(frontier[job], found)
-    return spark.sparkContext.broadcast(trees)
+        shared.unpersist()
+    return trees
+
+
+def _read_off(block, model, same, fold, step, trees, numbers, classes):
+    """Confusion counts of a group's runs on one block: the shares are added up by the ranges of `_ends`, as where a
+    task grows a range."""
+    kinds, out = _judged(block, fold, step), []
+    rows = np.flatnonzero(np.logical_or.reduce(list(kinds.values())))
+    labels, kinds = block["labels"][rows], {kind: mask[rows] for kind, mask in kinds.items()}
+    codes = np.ascontiguousarray(block["codes"][rows])
+    flat, start = codes.ravel(), np.arange(len(rows)) * codes.shape[1]
+    most = {}
+    for run in same:
+        most[run.model.depth] = max(run.model.trees, most.get(run.model.depth, 0))
+    total = {depth: np.zeros((len(rows), classes)) for depth in most}
+    ends = _ends(model, same)
+    for first, upto in zip([0, *ends], ends):
+        part = {depth: np.zeros((len(rows), classes)) for depth, trees_of in most.items() if trees_of >= upto}
+        for number in range(first, upto):
+            tree = trees[number]
+            # a leaf leads to itself
+            leaf = tree.feature < 0
+            feature, cut = np.where(leaf, 0, tree.feature), np.where(leaf, BINS, tree.cut)
+            child = np.where(leaf, np.arange(len(leaf)), tree.child)
+            at, shares = np.zeros(len(rows), np.int64), tree.shares()
+            for level in range(max(part) + 1):
+                if level:
+                    at = child[at] + (flat[start + feature[at]] > cut[at])
+                if level in part:
+                    part[level] += shares[at]
+        for depth, shares in part.items():
+            total[depth] += shares
+            for run in same:
+                if (run.model.trees, run.model.depth) == (upto, depth):
+                    for kind, some in kinds.items():
+                        out += _cells(numbers[run], kind, confusion(total[depth][some], labels[some], classes), classes)
+    return out
+
+
+def _waves(groups, forests):
+    """Yields lists of groups to grow together and takes back the trees of each: nodes a tree are judged by those before."""
+    waiting, nodes = list(forests), None
+    while waiting:
+        some = 24 * TREES_A_TASK if nodes is None else max(1, WAVE_NODES // nodes)
+        wave = [waiting.pop(0)]
+        while waiting and sum(groups[g][0].trees for g in [*wave, waiting[0]]) <= some:
+            wave.append(waiting.pop(0))
+        trees = yield wave
+        nodes = max(1, sum(len(tree.feature) for tree in trees.values()) // len(trees))
+
+
+def _wide_results(blocks: Blocks, runs, groups, forests) -> DataFrame:
+    """Confusion counts of all forests over many blocks. Trees are grown in waves of bounded size, and a wave's trees
+    are read off by tasks of one group and one block before the next is grown."""
+    spark, classes, opened = blocks.rows.sparkSession, blocks.classes, blocks.open
+    numbers, met, waves, trees = {r: n for n, r in enumerate(runs)}, [], _waves(groups, forests), None
+    grow = _whole_trees if blocks.n <= TREE_ROWS else _level_trees
+    while True:
+        try:
+            wave = waves.send(trees)
+        except StopIteration:
+            break
+        trees = grow(blocks, groups, wave)
+        shared = spark.sparkContext.broadcast({job: tree.arrays() for job, tree in trees.items()})
+
+        def judged(batches):
+            for batch in batches:
+                for row in batch.to_dict("records"):
+                    g = wave[row["task"]]
+                    model, fold, step, same = groups[g]
+                    mine = {i: Tree(*shared.value[g, i]) for i in range(model.trees)}
+                    yield pd.DataFrame(_read_off(opened(row), model, same, fold, step, mine, numbers, classes),
+                                       columns=["run", "kind", "label", "prediction", "n"])
+
+        counts = _dealt(blocks, len(wave)).mapInPandas(judged, _JUDGED).groupBy("run", "kind", "label", "prediction").agg(
+            F.sum("n").alias("n"))
+        met += [tuple(row) for row in counts.collect()]  # a few rows a run
+        shared.unpersist()
+    return spark.createDataFrame(met, _JUDGED)
 
 
 _JUDGED = "run int, kind string, label int, prediction int, n bigint"
@@ -410,8 +539,10 @@ def _cells(run, kind, counts, classes):
 
 def _forest_results(blocks: Blocks, runs, groups) -> DataFrame:
     """Confusion counts of all forests: the tasks' sums of a block are added in the order of their trees."""
-    grown = None if blocks.count == 1 else _wide_forests(blocks, groups)
-    parts = _forest_parts(blocks, groups, grown)
+    forests = [g for g, (model, *_) in enumerate(groups) if isinstance(model, Forest)]
+    if blocks.count > 1:
+        return _wide_results(blocks, runs, groups, forests)
+    parts = _forest_parts(blocks, groups)
     numbers, opened, classes = {r: n for n, r in enumerate(runs)}, blocks.open, blocks.classes
 
     def judged(key, scores: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
@@ -431,7 +562,6 @@ def _forest_results(blocks: Blocks, runs, groups) -> DataFrame:
                                 out += _cells(numbers[run], kind, confusion(total[some], block["labels"][rows][some], classes), classes)
         return pd.DataFrame(out, columns=["run", "kind", "label", "prediction", "n"])
 
-    forests = [g for g, (model, *_) in enumerate(groups) if isinstance(model, Forest)]
     wide = blocks.rows.withColumn("grp", F.explode(F.array(*map(F.lit, forests))))
     return parts.groupBy("grp", "block").cogroup(wide.groupBy("grp", "block")).applyInPandas(judged, _JUDGED)
 
@@ -596,18 +726,29 @@ def _wide_boosted(blocks: Blocks, boosted):
 def _boosted_results(blocks: Blocks, runs, groups) -> DataFrame:
     boosted = [(g, model, fold, step) for g, (model, fold, step, _) in enumerate(groups) if isinstance(model, Boosted)]
     numbers, opened, classes, single = {r: n for n, r in enumerate(runs)}, blocks.open, blocks.classes, blocks.count == 1
+
+    def counted(block, task, scores):
+        (g, _, fold, step), out = boosted[task], []
+        for kind, mask in _judged(block, fold, step).items():
+            counts = confusion(scores[mask], block["labels"][mask], classes)
+            for of in groups[g][3]:
+                out += _cells(numbers[of], kind, counts, classes)
+        return pd.DataFrame(out, columns=["run", "kind", "label", "prediction", "n"])
+
+    if not single and blocks.n <= BOOSTED_ROWS:
+        def whole(rows: pd.DataFrame) -> pd.DataFrame:
+            block, task = _one(rows), int(rows["task"].iloc[0])
+            return counted(block, task, boost(block, *boosted[task][1:], classes))
+
+        return _gathered(blocks, len(boosted)).applyInPandas(whole, _JUDGED)
     state = _dealt(blocks, len(boosted)) if single else _wide_boosted(blocks, boosted)
 
     def run(batches):
         for batch in batches:
             for row in batch.to_dict("records"):
-                block, (g, model, fold, step), out = opened(row), boosted[row["task"]], []
-                scores = boost(block, model, fold, step, classes) if single else np.frombuffer(row["scores"]).reshape(-1, classes)
-                for kind, mask in _judged(block, fold, step).items():
-                    counts = confusion(scores[mask], block["labels"][mask], classes)
-                    for of in groups[g][3]:
-                        out += _cells(numbers[of], kind, counts, classes)
-                yield pd.DataFrame(out, columns=["run", "kind", "label", "prediction", "n"])
+                block = opened(row)
+                yield counted(block, row["task"], boost(block, *boosted[row["task"]][1:], classes) if single
+                              else np.frombuffer(row["scores"]).reshape(-1, classes))
 
     return state.mapInPandas(run, _JUDGED)
 
@@ -618,7 +759,7 @@ def judge(blocks: Blocks, runs) -> DataFrame:
     """(run, kind, label, prediction, n): confusion counts of every run, a number in the list `runs`, on its
     validation rows and on its training rows."""
     runs = list(dict.fromkeys(runs))
-    groups = _grown_together(runs)
+    groups = _grown_together(runs, blocks.features)
     parts = []
     if any(isinstance(r.model, Forest) for r in runs):
         parts.append(_forest_results(blocks, runs, groups))

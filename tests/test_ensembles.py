@@ -47,6 +47,33 @@ def test_many_blocks_give_the_same_models(rows, together):
     assert ensembles.scores(blocks, RUNS) == together
 
 
+def test_passes_per_level_give_the_same_models(rows, together, monkeypatch):
+    monkeypatch.setattr(ensembles, "TREE_ROWS", 0)
+    monkeypatch.setattr(ensembles, "BOOSTED_ROWS", 0)
+    blocks = Blocks.of(rows, "id", COLUMNS, "label", ["m0", "m1"], block_rows=120)
+    assert blocks.count > 1 and blocks.n == 240
+    few = RUNS[:4] + RUNS[6:]
+    assert ensembles.scores(blocks, few) == {run: together[run] for run in few}
+
+
+def test_trees_are_grown_in_waves(monkeypatch):
+    """The first wave holds a few hundred trees, the next as many as their nodes allow, one group at least."""
+    groups = [(Forest(300, 5), i, 0, []) for i in range(6)]
+    monkeypatch.setattr(ensembles, "WAVE_NODES", 6300)
+    waves = ensembles._waves(groups, range(6))
+    assert next(waves) == [0, 1]
+    small = {(0, i): ensembles.Tree(np.full(7, -1), None, None, None) for i in range(3)}
+    assert waves.send(small) == [2, 3, 4]
+    large = {(2, 0): ensembles.Tree(np.full(5000, -1), None, None, None)}
+    assert waves.send(large) == [5]
+
+
+def test_subsets_that_try_as_many_features_share_their_trees():
+    runs = [Run("a", Forest(10, 4, 2, "sqrt"), 0), Run("b", Forest(20, 3, 2, "log2"), 0), Run("c", Forest(5, 3, 1, "log2"), 0)]
+    assert [same for *_, same in ensembles._grown_together(runs, 4)] == [runs[:2], runs[2:]]
+    assert len(ensembles._grown_together(runs, 9)) == 3
+
+
 def test_a_forest_learns(together):
     assert together[RUNS[0]]["validation"][0] > 0.55 and together[RUNS[0]]["train"][0] > 0.85
     assert together[RUNS[0]]["validation"][2] == 60 and together[RUNS[0]]["train"][2] == 180
