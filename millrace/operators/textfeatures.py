@@ -14,6 +14,7 @@ from millrace.operators.ordered import row_index
 from millrace.session import cut_lineage, scratch_path
 
 SMALL_VOCABULARY = 100_000
+TEXT_BYTES = 1 << 22  # cleaned text of one partition, whose n-grams take some thirty times as much
 
 
 def english_stop_words() -> list[str]:
@@ -26,9 +27,12 @@ def term_rows(df: DataFrame, key: str, cleaned: Column, stop_words=(), ngram_ran
 
     The texts are shuffled by `key` before they are cut up: they are a fraction
     of the size of their n-grams, and all later grouping by document finds its
-    rows in place.
+    rows in place. Their size sets the number of partitions: by default it would
+    follow the size of the texts alone, and what a task holds is their n-grams.
     """
-    texts = df.select(key, cleaned.alias("_text")).repartition(key)
+    texts = df.select(key, cleaned.alias("_text"))
+    size = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    texts = texts.repartition(max(1, -(-size // TEXT_BYTES)), key)
     words = texts.select(key, tokens(F.col("_text"), stop_words).alias("_words"))
     return (
         words.select(key, F.explode(ngrams(F.col("_words"), *ngram_range)).alias("term"))

@@ -85,6 +85,18 @@ def test_scaling_learns_from_the_fitted_rows_alone(rows):
     assert np.allclose(model.stages[1].std.toArray(), list(part))
 
 
+def test_terms_are_counted_in_partitions_of_bounded_text(spark, monkeypatch):
+    """More text gives more partitions, none of them holding much; repeated and null ids still meet in one row a term."""
+    rows = [(i, f"red fox w{i} red fox") for i in range(60)] + [(7, "red fox"), (None, "red fox"), (None, "red fox")]
+    df = spark.createDataFrame(rows, "k bigint, c string")
+    monkeypatch.setattr(textfeatures, "TEXT_BYTES", 100)
+    terms = textfeatures.term_rows(df, "k", F.col("c"))
+    assert terms.select(F.spark_partition_id()).distinct().count() > 5
+    got = {(r["k"], r["term"]): r["tf"] for r in terms.collect()}
+    assert (got[7, "red fox"], got[8, "red fox"], got[None, "red fox"]) == (3, 2, 2)
+    assert textfeatures.term_rows(df.limit(0), "k", F.col("c")).count() == 0
+
+
 def test_learning_curve_sizes_grow_exactly(rows):
     _, df = rows
     curve = learn.learning_curve(df, "id", COLUMNS, "label", {"tree": learn.random_forest(3, 3)}, [0.25, 1.0], folds=2).toPandas()
