@@ -8,9 +8,10 @@ gradients in fixed point), so neither the number of blocks nor their order chang
 * A tree is fixed by the seed, its number, the training rows and the smallest leaf, not by the number of
   trees or the depth asked for: a forest of 50 trees and depth 3 is the first 50 trees of one of 200 and depth 10,
   cut at depth 3. Parameter maps that differ in these alone are therefore grown once and read off at their sizes.
-* A task that can keep the binned rows (`TREE_ROWS`, `BOOSTED_ROWS`) grows its range of trees to the end. Over larger
-  tables the driver starts a pass per level, in which a task adds up a range of trees on one block. Over many blocks
-  trees are grown in waves of bounded size, and the driver holds one wave. All call the same functions.
+* Rows with the same bins stand at the same node of every tree. A task that can keep the binned rows (`TREE_ROWS`,
+  `BOOSTED_ROWS`) adds them up by their bins (`Cells`), grows all trees of a group on these and judges them there, so
+  neither trees nor scores leave it. Over larger tables the driver starts a pass per level, in which a task adds up a
+  range of trees on one block; trees are grown in waves of bounded size, and the driver holds one wave.
 
 Training rows are given by marks: per row and fold a number, -1 for rows to judge, -2 for neither, else the
 first step (of a learning curve; 0 in cross-validation) whose training rows include it.
@@ -29,11 +30,17 @@ BINS = 32
 BLOCK_ROWS = 1 << 16
 TREES_A_TASK = 25
 TREE_ROWS = 1 << 23  # at most this many rows (13 bytes and a mark each) are kept by a task that grows whole trees
-BOOSTED_ROWS = 1 << 20  # the same for a task that boosts, whose rows carry scores
+BOOSTED_ROWS = TREE_ROWS  # the same for a task that boosts: scores belong to cells, not to rows
 WAVE_NODES = 1 << 22  # tree nodes that the driver holds and sends out at once, about 20 bytes each
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 _POISSON = np.cumsum([np.exp(-1.0) / f for f in (1, 1, 2, 6, 24, 120, 720, 5040, 40320)])
 _POINT = float(1 << 20)  # fixed point of gradients
+_SLICE = 1 << 15  # keys hashed together
+_UNSURE = 255
+_EDGES = np.arange((1 << 16) + 1) / (1 << 16)
+# draws by the first 16 bits of a hash, where they decide
+_DRAWN = np.searchsorted(_POISSON, _EDGES[:-1], side="right").astype(np.uint8)
+_DRAWN[_DRAWN != np.searchsorted(_POISSON, _EDGES[1:], side="left")] = _UNSURE
 
 
 @dataclass(frozen=True)
@@ -130,7 +137,14 @@ def _salt(*numbers) -> np.uint64:
 
 def bag(keys, salt):
     """How often each row is drawn with replacement: Poisson with mean 1, by the row's key."""
-    return np.searchsorted(_POISSON, (_mixed(keys ^ salt) >> np.uint64(11)) * 2.0 ** -53, side="right")
+    out = np.empty(len(keys), np.uint8)
+    for at in range(0, len(keys), _SLICE):
+        mixed = _mixed(keys[at:at + _SLICE] ^ salt)
+        drawn = _DRAWN[(mixed >> np.uint64(48)).astype(np.intp)]
+        unsure = np.flatnonzero(drawn == _UNSURE)
+        drawn[unsure] = np.searchsorted(_POISSON, (mixed[unsure] >> np.uint64(11)) * 2.0 ** -53, side="right")
+        out[at:at + len(drawn)] = drawn
+    return out
 
 
 # --- trees -------------------------------------------------------------------
@@ -199,18 +213,23 @@ def class_histogram(codes, local, nodes: int, labels, weights, classes: int):
     return met.reshape(nodes, features, BINS, classes)
 
 
+def _chosen(features: int, tried: int, salt, nodes):
+    """The features tried at every node, in their order."""
+    if tried == features:
+        return np.broadcast_to(np.arange(features), (len(nodes), features))
+    draw = _mixed(salt ^ _mixed((nodes[:, None] * features + np.arange(features)).astype(np.uint64)))
+    return np.sort(np.argsort(draw, axis=1, kind="stable")[:, :tried], axis=1)
+
+
 def best_splits(sums, leaf: int, tried: int, salt, nodes, gradients: bool):
     """(totals, worth it, feature, last bin to the left, sums of the left) of every node.
 
     Gini for class counts; for gradients (count, gradient, ...) the fall of the squared error."""
     features = sums.shape[1]
     totals = sums[:, 0].sum(axis=1)
+    chosen = _chosen(features, tried, salt, nodes)
     if tried < features:
-        draw = _mixed(salt ^ _mixed((nodes[:, None] * features + np.arange(features)).astype(np.uint64)))
-        chosen = np.sort(np.argsort(draw, axis=1, kind="stable")[:, :tried], axis=1)
         sums = np.take_along_axis(sums, chosen[:, :, None, None], axis=1)
-    else:
-        chosen = np.broadcast_to(np.arange(features), (len(nodes), features))
     left = sums.cumsum(axis=2)[:, :, :-1]
     right = totals[:, None, None, :] - left
     if gradients:
@@ -230,6 +249,31 @@ def best_splits(sums, leaf: int, tried: int, salt, nodes, gradients: bool):
     return totals, good, chosen[at, which].astype(np.int16), cut.astype(np.int16), left[at, which, cut]
 
 
+_NODES = 256  # nodes whose splits are compared together
+
+
+def best_class_splits(sums, leaf: int, chosen):
+    """`best_splits` for class counts by (class, tried feature, node, bin): the classes lie apart, so that what is added
+    up over them is added up in long rows."""
+    nodes = sums.shape[2]
+    totals = sums[:, 0].sum(axis=-1)
+    worth = lambda x: (x * x).sum(axis=0) / np.maximum(x.sum(axis=0), 1)
+    floor, found = worth(totals), []
+    for at in range(0, nodes, _NODES):
+        some = slice(at, min(at + _NODES, nodes))
+        left = sums[:, :, some].cumsum(axis=-1)[..., :-1]
+        right = totals[:, None, some, None] - left
+        gain = worth(left) + worth(right)
+        gain[(left.sum(axis=0) < leaf) | (right.sum(axis=0) < leaf)] = -np.inf
+        flat = gain.transpose(1, 0, 2).reshape(some.stop - at, -1)
+        best, own = flat.argmax(axis=1), np.arange(some.stop - at)
+        which, cut = best // left.shape[-1], best % left.shape[-1]
+        found.append((flat[own, best], which, cut, left[:, which, own, cut].T))
+    gain, which, cut, left = (np.concatenate(x) for x in zip(*found))
+    good = gain > floor + 1e-9 * np.maximum(1.0, np.abs(floor))
+    return totals.T, good, chosen[np.arange(nodes), which].astype(np.int16), cut.astype(np.int16), left
+
+
 # --- plans: which trees, on which rows, read off where -----------------------
 
 @dataclass(frozen=True)
@@ -367,36 +411,136 @@ def _gathered(blocks: Blocks, tasks: int, task: str = "task"):
     return wide.repartitionByRange(tasks, task).groupBy(task)
 
 
-def _one(blocks) -> dict:
-    """Blocks of a frame as a single one, in the order of their numbers."""
-    opened = [Blocks.open(row) for row in blocks.sort_values("block").to_dict("records")]
-    return {name: np.concatenate([block[name] for block in opened]) for name in opened[0]}
+class Cells:
+    """The rows that a group trains on or judges, added up by their bins: a cell is a combination of bins that occurs.
 
+    `counts` are the rows by (cell, class) of either kind. The keys of the training rows, which decide their draws, are
+    kept in the order of cell and class."""
+
+    def __init__(self, blocks, fold: int, step: int, classes: int):
+        """`blocks` are rows of `Blocks`, in any order."""
+        parts = []
+        for row in blocks:
+            block = Blocks.open(row)
+            kinds = _judged(block, fold, step)
+            rows = np.flatnonzero(kinds["validation"] | kinds["train"])
+            parts.append((block["codes"][rows], block["labels"][rows].astype(np.uint8), block["keys"][rows], kinds["train"][rows]))
+        codes, labels, keys, training = (np.concatenate(x) for x in zip(*parts))
+        self.codes, slots = self.distinct(codes)
+        slots *= classes
+        slots += labels
+        size, asked = len(self.codes) * classes, slots[~training]
+        self.classes, self.columns, self.flat = classes, np.ascontiguousarray(self.codes.T), self.codes.ravel()
+        keys, slots = keys[training], slots[training]
+        order = np.argsort(slots, kind="stable")
+        self.keys, slots = keys[order], slots[order]
+        self.first = np.flatnonzero(np.diff(slots, prepend=-1))
+        self.slots = slots[self.first]
+        self.counts = {"validation": np.bincount(asked, minlength=size).reshape(-1, classes),
+                       "train": np.bincount(slots, minlength=size).reshape(-1, classes)}
+
+    @staticmethod
+    def distinct(codes):
+        """(distinct rows of `codes`, the number of each row's)."""
+        ids = first = np.zeros(len(codes), np.int64)
+        for at in range(0, codes.shape[1], 7):
+            for column in codes[:, at:at + 7].T:
+                ids = ids * BINS + column
+            _, first, ids = np.unique(ids, return_index=True, return_inverse=True)
+        return np.ascontiguousarray(codes[first]), ids.astype(np.int64)
+
+    def weights(self, model: Forest, number: int):
+        """Draws of a tree by (class, cell)."""
+        out = self.counts["train"].astype(np.float64)
+        if model.bagged and len(self.first):
+            out.ravel()[self.slots] = np.add.reduceat(bag(self.keys, _salt(model.seed, number)), self.first, dtype=np.int64)
+        return np.ascontiguousarray(out.T)
+
+
+def _descended(cells: Cells, live, local, good, feature, cut):
+    """The cells whose nodes were split, the places of their new nodes among these, and which cells these are of `live`."""
+    down = np.flatnonzero(good[local])
+    live, local = live[down], local[down]
+    right = cells.flat[live * len(cells.columns) + feature[local]] > cut[local]
+    return live, 2 * (np.cumsum(good) - 1)[local] + right, down
+
+
+def grow_on_cells(cells: Cells, model: Forest, number, visit):
+    """`grow_tree` on cells; `visit(level, tree, node of every cell)`."""
+    features, classes, weights = len(cells.columns), cells.classes, cells.weights(model, number)
+    tried, salt = model.tried(features), _salt(model.seed, number, 1)
+    tree, frontier = Tree.root(classes), np.zeros(1, np.int64)
+    tree.sums[0] = weights.sum(axis=1)
+    at, live = np.zeros(len(cells.codes), np.int64), np.arange(len(cells.codes))
+    local = at.copy()
+    visit(0, tree, at)
+    for level in range(model.depth):
+        if len(frontier):
+            chosen = _chosen(features, tried, salt, frontier)
+            sums = np.empty((classes, tried, len(frontier), BINS))
+            for t in range(tried):
+                codes = cells.columns[t][live] if tried == features else cells.flat[live * features + chosen[local, t]]
+                index = local * BINS + codes
+                for c in range(classes):
+                    sums[c, t] = np.bincount(index, weights[c], len(frontier) * BINS).reshape(-1, BINS)
+            found = best_class_splits(sums, model.leaf, chosen)
+            frontier = tree.split(frontier, found)
+            live, local, down = _descended(cells, live, local, *found[1:4])
+            weights = weights[:, down]
+            if len(frontier):
+                at[live] = frontier[0] + local
+        visit(level + 1, tree, at)
+    return tree
+
+
+def _cell_counts(cells: Cells, scores):
+    """{kind: confusion counts} of all rows by the scores of their cells."""
+    said = scores.argmax(axis=1)
+    return {kind: np.concatenate([np.bincount(said, counts[:, c], cells.classes) for c in range(cells.classes)])
+            for kind, counts in cells.counts.items()}
+
+
+def _forest_counts(cells: Cells, model: Forest, same, numbers):
+    """Confusion counts of a group's runs. Shares are added up by the ranges of `_ends`, and trees grown no deeper than
+    the runs that are read off them ask for."""
+    most, out, shape = {}, [], (len(cells.codes), cells.classes)
+    for run in same:
+        most[run.model.depth] = max(run.model.trees, most.get(run.model.depth, 0))
+    total, ends = {depth: np.zeros(shape) for depth in most}, _ends(model, same)
+    for first, upto in zip([0, *ends], ends):
+        part = {depth: np.zeros(shape) for depth, trees in most.items() if trees >= upto}
+
+        def visit(level, tree, at):
+            if level in part:
+                part[level] += tree.shares()[at]
 
-def _whole_trees(blocks: Blocks, groups, wave):
-    """Trees of the groups `wave` by (group, number): a task gathers the rows and grows a range of trees to the end."""
-    tasks = []
-    for g in wave:
-        ends = _ends(groups[g][0], groups[g][3])
-        tasks += [(g, a, b) for a, b in zip([0, *ends], ends)]
-    classes, features = blocks.classes, blocks.features
-
-    def grown(rows: pd.DataFrame) -> pd.DataFrame:
-        g, first, upto = tasks[int(rows["task"].iloc[0])]
-        model, fold, step, _ = groups[g]
-        block, out = _one(rows), []
-        training = np.flatnonzero(_training(block, fold, step))
-        block = {name: values[training] for name, values in block.items()}
         for number in range(first, upto):
-            tree = grow_tree(_drawn(block, model, fold, step, number), model, fold, step, number, model.tried(features),
-                             classes, lambda *_: None)
-            out.append((g, number, *(x.tobytes() for x in tree.arrays())))
-        return pd.DataFrame(out, columns=["grp", "number", "feature", "cut", "child", "sums"])
+            grow_on_cells(cells, replace(model, depth=max(part)), number, visit)
+        for depth, shares in part.items():
+            total[depth] += shares
+            for run in same:
+                if (run.model.trees, run.model.depth) == (upto, depth):
+                    for kind, counts in _cell_counts(cells, total[depth]).items():
+                        out += _cells(numbers[run], kind, counts, cells.classes)
+    return out
 
-    found = _gathered(blocks, len(tasks)).applyInPandas(grown, _TREE).collect()  # one row a tree: the model itself
-    return {(row["grp"], row["number"]): Tree(
-        np.frombuffer(row["feature"], np.int16), np.frombuffer(row["cut"], np.int16), np.frombuffer(row["child"], np.int32),
-        np.frombuffer(row["sums"]).reshape(-1, classes)) for row in found}
+
+def _whole_results(blocks: Blocks, runs, groups, which) -> DataFrame:
+    """Confusion counts of the groups `which`: a task gathers the binned rows of a group, grows its trees and judges them."""
+    which = sorted(which, key=lambda g: -groups[g][0].depth * getattr(groups[g][0], "trees", 0))  # the longest first
+    numbers, classes = {r: n for n, r in enumerate(runs)}, blocks.classes
+
+    def counted(rows: pd.DataFrame) -> pd.DataFrame:
+        model, fold, step, same = groups[which[int(rows["task"].iloc[0])]]
+        cells = Cells(rows.to_dict("records"), fold, step, classes)
+        if isinstance(model, Forest):
+            out = _forest_counts(cells, model, same, numbers)
+        else:
+            found = _cell_counts(cells, boost_cells(cells, model))
+            out = [cell for run in same for kind, counts in found.items() for cell in _cells(numbers[run], kind, counts, classes)]
+        return pd.DataFrame(out, columns=["run", "kind", "label", "prediction", "n"])
+
+    return _gathered(blocks, len(which)).applyInPandas(counted, _JUDGED)
 
 
 def _level_trees(blocks: Blocks, groups, wave):
@@ -501,17 +645,16 @@ def _waves(groups, forests):
 
 
 def _wide_results(blocks: Blocks, runs, groups, forests) -> DataFrame:
-    """Confusion counts of all forests over many blocks. Trees are grown in waves of bounded size, and a wave's trees
+    """Confusion counts of all forests over more blocks than a task keeps. Trees are grown in waves of bounded size, and a wave's trees
     are read off by tasks of one group and one block before the next is grown."""
     spark, classes, opened = blocks.rows.sparkSession, blocks.classes, blocks.open
     numbers, met, waves, trees = {r: n for n, r in enumerate(runs)}, [], _waves(groups, forests), None
-    grow = _whole_trees if blocks.n <= TREE_ROWS else _level_trees
     while True:
         try:
             wave = waves.send(trees)
         except StopIteration:
             break
-        trees = grow(blocks, groups, wave)
+        trees = _level_trees(blocks, groups, wave)
         shared = spark.sparkContext.broadcast({job: tree.arrays() for job, tree in trees.items()})
 
         def judged(batches):
@@ -540,6 +683,8 @@ def _cells(run, kind, counts, classes):
 def _forest_results(blocks: Blocks, runs, groups) -> DataFrame:
     """Confusion counts of all forests: the tasks' sums of a block are added in the order of their trees."""
     forests = [g for g, (model, *_) in enumerate(groups) if isinstance(model, Forest)]
+    if blocks.count > 1 and blocks.n <= TREE_ROWS:
+        return _whole_results(blocks, runs, groups, forests)
     if blocks.count > 1:
         return _wide_results(blocks, runs, groups, forests)
     parts = _forest_parts(blocks, groups)
@@ -579,10 +724,15 @@ def first_scores(labels, classes: int):
     return np.log(np.maximum(met, 1e-9) / max(met.sum(), 1.0)) if len(met) == classes else np.zeros(classes)
 
 
-def residuals(scores, labels, classes: int):
-    """(residual, weight of the leaf's denominator) per row and class, shared by a round's trees."""
+def _softmax(scores):
     p = np.exp(scores - scores.max(axis=1, keepdims=True))
     p /= p.sum(axis=1, keepdims=True)
+    return p
+
+
+def residuals(scores, labels, classes: int):
+    """(residual, weight of the leaf's denominator) per row and class, shared by a round's trees."""
+    p = _softmax(scores)
     gap = (labels[:, None] == np.arange(classes)) - p
     return _whole(gap), _whole(np.abs(gap) * (1 - np.abs(gap)))
 
@@ -634,6 +784,38 @@ def boost(block, model: Boosted, fold, step, classes, visit=lambda number, score
     return scores
 
 
+def boost_cells(cells: Cells, model: Boosted):
+    """Scores of all cells after all rounds: `boost`, with the sums of a cell's training rows in fixed point."""
+    counts, classes = cells.counts["train"].astype(np.float64), cells.classes
+    size, scores = counts.sum(axis=1), np.tile(first_scores(counts.sum(axis=0), classes), (len(counts), 1))
+    for _ in range(model.rounds):
+        p, trees = _softmax(scores), []
+        for k in range(classes):
+            own, others, up, down = counts[:, k], size - counts[:, k], 1 - p[:, k], p[:, k]
+            channels = (size, own * _whole(up) - others * _whole(down),
+                        own * _whole(up * (1 - up)) + others * _whole(down * (1 - down)))
+            tree, frontier = Tree.root(3), np.zeros(1, np.int64)
+            at, live = np.zeros(len(size), np.int64), np.arange(len(size))
+            local = at.copy()
+            for level in range(model.depth):
+                if len(frontier):
+                    sums = np.empty((len(frontier), len(cells.columns), BINS, 3))
+                    for f, column in enumerate(cells.columns):
+                        index = local * BINS + (column if len(live) == len(column) else column[live])
+                        for c, values in enumerate(channels):
+                            sums[:, f, :, c] = np.bincount(index, values, len(frontier) * BINS).reshape(-1, BINS)
+                    found = best_splits(sums, model.leaf, len(cells.columns), np.uint64(0), frontier, True)
+                    frontier = tree.split(frontier, found)
+                    live, local, kept = _descended(cells, live, local, *found[1:4])
+                    channels = [values[kept] for values in channels]
+                    if len(frontier):
+                        at[live] = frontier[0] + local
+            trees.append((tree, at))
+        for k, (tree, at) in enumerate(trees):
+            scores[:, k] += leaf_values(tree, model, classes)[at]
+    return scores
+
+
 _CARRIED = 10  # rounds between two writings of the rows' scores
 
 
@@ -736,11 +918,7 @@ def _boosted_results(blocks: Blocks, runs, groups) -> DataFrame:
         return pd.DataFrame(out, columns=["run", "kind", "label", "prediction", "n"])
 
     if not single and blocks.n <= BOOSTED_ROWS:
-        def whole(rows: pd.DataFrame) -> pd.DataFrame:
-            block, task = _one(rows), int(rows["task"].iloc[0])
-            return counted(block, task, boost(block, *boosted[task][1:], classes))
-
-        return _gathered(blocks, len(boosted)).applyInPandas(whole, _JUDGED)
+        return _whole_results(blocks, runs, groups, [g for g, *_ in boosted])
     state = _dealt(blocks, len(boosted)) if single else _wide_boosted(blocks, boosted)
 
     def run(batches):

@@ -157,3 +157,41 @@ def test_many_copies_of_a_row(spark):
     for q, found in got.items():
         distance = np.sqrt(((points - points[q]) ** 2).sum(1))
         assert [i for _, i in sorted(found)] == sorted(range(400), key=lambda i: (distance[i], i))[:4]
+
+
+def test_boxes_rule_out_all_but_a_few_cells():
+    """A query in four dimensions meets a few cells of hundreds, and its neighbours lie in these."""
+    random = np.random.default_rng(11)
+    points, asked = random.normal(size=(40_000, 4)), random.normal(size=(100, 4))
+    tree = neighbors.BoxTree(points[:4096], 8)
+    cell = tree.place(points)
+    met = np.unique(cell)
+    tree.fill(met, np.bincount(cell)[met], np.array([points[cell == c].min(axis=0) for c in met]),
+              np.array([points[cell == c].max(axis=0) for c in met]))
+    home, top = tree.home(asked, 5)
+    distance = np.sqrt(((asked[:, None] - points[None]) ** 2).sum(-1))
+    kth = np.sort(distance, axis=1)[:, 4]
+    assert (top >= kth).all() and (tree.n[tree.first + home] > 0).all()
+    query, reached = tree.reached(asked, kth)
+    assert len(query) < 12 * len(asked)
+    nearest = np.argsort(distance, axis=1)[:, :5]
+    pairs = set(zip(query, reached))
+    assert all((i, cell[j]) in pairs for i in range(100) for j in nearest[i])
+
+
+def test_few_dimensions_equal_brute_force(spark, monkeypatch):
+    """Cells without rows, a crowded point, one far away, a missing coordinate, fewer rows in a cell than asked for."""
+    monkeypatch.setattr(neighbors, "ROWS_A_BOX", 8)
+    random = np.random.default_rng(12)
+    train = np.vstack([random.normal(size=(200, 3)), np.tile([[0.5, 0, 0]], (90, 1)), [[900.0, 0, 0], [np.nan, 0, 0]]])
+    ask = np.vstack([random.normal(size=(60, 3)), [[0.5, 0, 0], [-700.0, 5, 5]]])
+    frame = lambda x: spark.createDataFrame([(i, [float(c) for c in p]) for i, p in enumerate(x)], "id bigint, features array<double>")
+    for k, block_rows, chunk_rows in ((5, 50_000, 50_000), (30, 25, 7)):
+        found = {}
+        for r in neighbors.knn_topk(frame(train), frame(ask), k, block_rows=block_rows, chunk_rows=chunk_rows).orderBy("query_id", "rank").collect():
+            found.setdefault(r["query_id"], []).append((r["neighbor_id"], r["distance"]))
+        for i, q in enumerate(ask):
+            d = np.sqrt(((train[:-1] - q) ** 2).sum(1))
+            order = np.lexsort((np.arange(len(d)), d))[:k]
+            assert [n for n, _ in found[i]] == list(order)
+            assert np.allclose([x for _, x in found[i]], d[order])

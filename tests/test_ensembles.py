@@ -240,3 +240,35 @@ def test_shares_take_the_first_rows_of_the_others(rows):
         assert (marked[marked["fold"] == fold][f"m{fold}"] == -1).all()
         ends = [int(np.ceil(s * len(others))) for s in (0.1, 0.5, 1.0)]
         assert others[f"m{fold}"].tolist() == [next(s for s, e in enumerate(ends) if i < e) for i in range(len(others))]
+
+
+def test_cells_add_up_rows_of_the_same_bins(rows):
+    """Rows met three times make no new cells; draws and counts are those of the rows."""
+    block = Blocks.of(rows, "id", COLUMNS, "label", ["m0", "m1"]).rows.first()
+    opened, thrice = Blocks.open(block), ensembles.Cells([block] * 3, 1, 1, 3)
+    used = opened["marks"][:, 1] != 2
+    assert len(thrice.codes) == len(np.unique(opened["codes"][used], axis=0))
+    assert thrice.counts["train"].sum() == 3 * np.isin(opened["marks"][:, 1], (0, 1)).sum()
+    assert thrice.counts["validation"].sum() == 3 * (opened["marks"][:, 1] == -1).sum()
+    cell = {tuple(c): i for i, c in enumerate(thrice.codes)}
+    drawn = np.zeros_like(thrice.counts["train"])
+    for codes, label, key, mark in zip(opened["codes"], opened["labels"], opened["keys"], opened["marks"][:, 1]):
+        if mark in (0, 1):
+            uniform = (ensembles._mixed(np.array([key]) ^ ensembles._salt(42, 7)) >> np.uint64(11)) * 2.0 ** -53
+            drawn[cell[tuple(codes)], label] += 3 * np.searchsorted(ensembles._POISSON, uniform, side="right")[0]
+    assert (thrice.weights(Forest(1), 7) == drawn.T).all()
+    wide = np.random.default_rng(2).integers(0, 2, (500, 9)).astype(np.uint8)
+    distinct, ids = ensembles.Cells.distinct(wide)
+    assert (distinct[ids] == wide).all() and len(distinct) == len(np.unique(wide, axis=0))
+
+
+def test_cells_grow_the_trees_of_their_rows(rows):
+    block = Blocks.of(rows, "id", COLUMNS, "label", ["m0", "m1"]).rows.first()
+    opened, cells = Blocks.open(block), ensembles.Cells([block], 0, 0, 3)
+    for model in (Forest(1, 6, 3), Forest(1, 5, subset="all", bagged=False)):
+        tree = ensembles.grow_on_cells(cells, model, 4, lambda *_: None)
+        same = ensembles.grow_tree(opened, model, 0, 0, 4, model.tried(3), 3, lambda *_: None)
+        assert all((a == b).all() for a, b in zip(tree.arrays(), same.arrays())) and len(tree.feature) > 9
+    by_row = ensembles.boost(opened, Boosted(8, 3), 0, 0, 3)
+    at = {tuple(c): i for i, c in enumerate(cells.codes)}
+    assert (by_row == ensembles.boost_cells(cells, Boosted(8, 3))[[at[tuple(c)] for c in opened["codes"]]]).all()
