@@ -459,10 +459,31 @@ class Cells:
 
 def _descended(cells: Cells, live, local, good, feature, cut):
     """The cells whose nodes were split, the places of their new nodes among these, and which cells these are of `live`."""
-    down = np.flatnonzero(good[local])
+    down = slice(None) if good.all() else np.flatnonzero(good.take(local))
     live, local = live[down], local[down]
-    right = cells.flat[live * len(cells.columns) + feature[local]] > cut[local]
-    return live, 2 * (np.cumsum(good) - 1)[local] + right, down
+    right = cells.flat.take(live * len(cells.columns) + feature.take(local)) > cut.take(local)
+    return live, (2 * (np.cumsum(good) - 1)).take(local) + right, down
+
+
+def _class_sums(index, weights, cells: int, most: float):
+    """Sums of whole `weights` (class, row) by `index`. No sum is over `most`, so several fit side by side in the 52 bits
+    of a number and are added up at once."""
+    bits = int(most).bit_length()
+    together, out = max(1, 52 // max(1, bits)), []
+    for at in range(0, len(weights), together):
+        some = weights[at:at + together]
+        packed = some[-1]
+        for values in some[-2::-1]:
+            packed = packed * float(1 << bits) + values
+        met = np.bincount(index, packed, cells)
+        if len(some) == 1:
+            out.append(met)
+            continue
+        met = met.astype(np.int64)
+        for _ in some:
+            out.append((met & ((1 << bits) - 1)).astype(np.float64))
+            met >>= bits
+    return out
 
 
 def grow_on_cells(cells: Cells, model: Forest, number, visit):
@@ -478,15 +499,14 @@ def grow_on_cells(cells: Cells, model: Forest, number, visit):
         if len(frontier):
             chosen = _chosen(features, tried, salt, frontier)
             sums = np.empty((classes, tried, len(frontier), BINS))
+            own, start, most = live * features, local * BINS, tree.sums[frontier].max()
             for t in range(tried):
-                codes = cells.columns[t][live] if tried == features else cells.flat[live * features + chosen[local, t]]
-                index = local * BINS + codes
-                for c in range(classes):
-                    sums[c, t] = np.bincount(index, weights[c], len(frontier) * BINS).reshape(-1, BINS)
+                index = start + cells.flat.take(own + np.ascontiguousarray(chosen[:, t]).take(local))
+                sums[:, t] = np.reshape(_class_sums(index, weights, len(frontier) * BINS, most), (classes, -1, BINS))
             found = best_class_splits(sums, model.leaf, chosen)
             frontier = tree.split(frontier, found)
             live, local, down = _descended(cells, live, local, *found[1:4])
-            weights = weights[:, down]
+            weights = [values[down] for values in weights]
             if len(frontier):
                 at[live] = frontier[0] + local
         visit(level + 1, tree, at)

@@ -272,3 +272,12 @@ def test_cells_grow_the_trees_of_their_rows(rows):
     by_row = ensembles.boost(opened, Boosted(8, 3), 0, 0, 3)
     at = {tuple(c): i for i, c in enumerate(cells.codes)}
     assert (by_row == ensembles.boost_cells(cells, Boosted(8, 3))[[at[tuple(c)] for c in opened["codes"]]]).all()
+
+
+def test_classes_added_up_side_by_side():
+    """Whole numbers of any size meet exactly, one, two or many classes to a number."""
+    random = np.random.default_rng(8)
+    for classes, top in ((3, 9), (5, 900_000), (2, 1 << 40), (3, 0)):
+        weights, index = random.integers(0, top + 1, (classes, 400)).astype(float), random.integers(0, 6, 400)
+        plain = np.array([np.bincount(index, w, 7) for w in weights])
+        assert (np.array(ensembles._class_sums(index, weights, 7, plain.max())) == plain).all()
